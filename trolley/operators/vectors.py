@@ -73,10 +73,14 @@ def block_topk(
     several cells; ``items`` has (item_id, vector[, cell]).
     """
     key = cell or "_cell"
-    if cell is None:
-        queries, items = queries.withColumn(key, F.lit(0)), items.withColumn(key, F.lit(0))
-    queries = queries.select(key, F.col("query_id").cast("long"), "vector")
-    items = items.select(key, F.col("item_id").cast("long"), "vector")
+    own_key = F.col(cell) if cell else F.lit(0)
+    # fresh aliases keep the sides apart when both come from one table
+    queries = queries.select(
+        own_key.alias(key), F.col("query_id").cast("long").alias("query_id"), F.col("vector").alias("vector")
+    )
+    items = items.select(
+        own_key.alias(key), F.col("item_id").cast("long").alias("item_id"), F.col("vector").alias("vector")
+    )
     # one row per cell: at most nlist rows
     sizes = _blocks(queries, key, query_block, "_nq").join(_blocks(items, key, item_block, "_ni"), key)
 
