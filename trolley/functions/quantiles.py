@@ -1,10 +1,9 @@
 """Exact order statistics without bringing a column into one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in the memory of
-one task. Here the values are first counted, the distinct values are cut into
-buckets of about equal size with a mergeable sketch, and only the buckets that
-hold a wanted rank are sorted. The result is exact for any cut; the sketch
-only decides how even the buckets are.
+one task. Here a mergeable sketch brackets every wanted rank, the values are
+counted, and only the narrow brackets are sorted. The result is exact for any
+brackets; the sketch only decides how much has to be sorted.
 """
 
 from __future__ import annotations
@@ -12,27 +11,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+BRACKET, ACCURACY = 0.0005, 20_000
+
 
 def order_statistics(
-    df: DataFrame, groups: list[str], value: str, ranks: dict[str, str], buckets: int = 1000
+    df: DataFrame, groups: list[str], value: str, ranks: dict[str, tuple[float, str]]
 ) -> DataFrame:
     """One row per group with the values at the wanted 0-based ranks.
 
-    ``ranks`` maps an output name to an SQL expression over ``n``, the number
-    of non-null values of the group, e.g. ``{"p50": "n div 2"}``.
+    ``ranks`` maps an output name to the approximate fraction of the rank and
+    to an SQL expression over ``n``, the number of non-null values of the
+    group, e.g. ``{"p50": (0.5, "n div 2")}``.
     """
-    g = ["_all"] if not groups else groups
-    src = df.filter(F.col(value).isNotNull())
+    g = groups or ["_all"]
+    src = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
     if not groups:
         src = src.withColumn("_all", F.lit(0))
-    hist = src.groupBy(*g, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    cuts = hist.groupBy(*g).agg(
-        F.percentile_approx("_v", [i / buckets for i in range(1, buckets)], 10 * buckets).alias("_cuts")
-    )
+    near = sorted({
+        min(max(p + side, 0.0), 1.0) for p, _ in ranks.values() for side in (-BRACKET, BRACKET)
+    })
+    cuts = src.groupBy(*g).agg(F.percentile_approx("_v", near, ACCURACY).alias("_cuts"))
+    hist = src.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_n"))
     binned = hist.join(cuts, g).select(
         *g, "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_b")
     )
-    # at most ``buckets`` rows per group from here on
+    # at most one row per cut from here on
     totals = binned.groupBy(*g, "_b").agg(F.sum("_n").alias("_bn"))
     before = Window.partitionBy(*g).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(
@@ -44,7 +47,7 @@ def order_statistics(
         totals.withColumn(
             "_w", F.explode(F.array(*[
                 F.struct(F.lit(name).alias("name"), F.expr(e).cast("long").alias("rank"))
-                for name, e in ranks.items()
+                for name, (_, e) in ranks.items()
             ]))
         )
         .filter((F.col("_w.rank") >= F.col("_before")) & (F.col("_w.rank") < F.col("_before") + F.col("_bn")))
@@ -66,14 +69,14 @@ def order_statistics(
 
 
 def exact_percentiles(
-    df: DataFrame, groups: list[str], value: str, probs: dict[str, float], buckets: int = 1000
+    df: DataFrame, groups: list[str], value: str, probs: dict[str, float]
 ) -> DataFrame:
     """Exact percentiles with linear interpolation, one row per group."""
     ranks = {}
     for name, p in probs.items():
-        ranks[f"_lo_{name}"] = f"floor({p!r}D * (n - 1))"
-        ranks[f"_hi_{name}"] = f"ceil({p!r}D * (n - 1))"
-    at = order_statistics(df, groups, value, ranks, buckets)
+        ranks[f"_lo_{name}"] = (p, f"floor({p!r}D * (n - 1))")
+        ranks[f"_hi_{name}"] = (p, f"ceil({p!r}D * (n - 1))")
+    at = order_statistics(df, groups, value, ranks)
     cols = []
     for name, p in probs.items():
         pos = F.lit(float(p)) * (F.col("n") - 1)

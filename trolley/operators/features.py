@@ -1,9 +1,6 @@
 """Point-in-time feature blocks and the 42-column feature frame.
 
-All five blocks come from one aggregate of the log per (customer, item): the
-log is scanned and shuffled once, with map-side combining, and everything
-after that works on the much smaller aggregate. A customer or an item that
-makes up a large share of the log is already one row per pair by then.
+All five blocks derive from the pair aggregate, so the log is read once.
 """
 
 from __future__ import annotations
@@ -13,9 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.functions.expressions import (
-    EVENT_CART, EVENT_PURCHASE, EVENT_VIEW, half_life_decay,
-)
+from trolley.operators.pairs import bought_pairs, pair_aggregate
 
 # Candidate sources and the names of the feature contract.
 SOURCES = ("repeat", "two_tower", "item_knn", "popularity")
@@ -34,35 +29,6 @@ FEATURE_COLUMNS = [
 ]
 # Fixed values of the null policy.
 NEVER_SEEN_DAYS, NO_GAP = 9999.0, -1.0
-ITEM_HALF_LIFE = 21.0
-
-
-def guard_leak(history: DataFrame, as_of_day: int) -> DataFrame:
-    """Fail the job when a row is later than ``as_of_day``. Checked in the same pass that reads the rows."""
-    message = F.concat(
-        F.lit("feature history leaks past as_of_day "), F.lit(as_of_day), F.lit(": day "), F.col("day")
-    )
-    return history.filter(
-        F.when(F.col("day") > as_of_day, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    )
-
-
-def pair_aggregate(history: DataFrame, as_of_day: int, half_life: float = ITEM_HALF_LIFE) -> DataFrame:
-    """The one aggregate of the log per (customer_id, item_id) that every block derives from."""
-    kind, day = F.col("event_type"), F.col("day")
-    bought = kind == EVENT_PURCHASE
-    return history.groupBy("customer_id", "item_id").agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.max("day").alias("last_day"),
-        F.min("day").alias("first_day"),
-        F.count_if(bought).alias("n_purchase"),
-        F.count_if(kind == EVENT_CART).alias("n_cart"),
-        F.count_if(kind == EVENT_VIEW).alias("n_view"),
-        F.sum("quantity").alias("qty"),
-        F.max(F.when(bought, day)).alias("last_purchase"),
-        F.min(F.when(bought, day)).alias("first_purchase"),
-        F.sum(F.when(bought, half_life_decay(F.lit(as_of_day) - day, half_life))).alias("decayed"),
-    )
 
 
 def user_item_features(pairs: DataFrame, as_of_day: int) -> DataFrame:
@@ -85,10 +51,6 @@ def user_item_features(pairs: DataFrame, as_of_day: int) -> DataFrame:
     )
 
 
-def _bought(pairs: DataFrame) -> DataFrame:
-    return pairs.filter(F.col("n_purchase") > 0)
-
-
 def _share(n: str) -> Column:
     # rows per customer are bounded by the categories or brands of the catalog
     return F.col(n) / F.sum(n).over(Window.partitionBy("customer_id"))
@@ -98,7 +60,7 @@ def user_category_totals(pairs: DataFrame, items: DataFrame) -> DataFrame:
     """Purchases per (customer, category): feeds both the category block and the customer block."""
     dim = items.select("item_id", "category_id", "price")
     n = F.col("n_purchase")
-    return _bought(pairs).join(dim, "item_id", "left").groupBy("customer_id", "category_id").agg(
+    return bought_pairs(pairs).join(dim, "item_id", "left").groupBy("customer_id", "category_id").agg(
         F.sum("n_purchase").alias("n"),
         F.count(F.lit(1)).alias("n_distinct"),
         F.max("last_purchase").alias("last_purchase"),
@@ -140,15 +102,15 @@ def user_category_affinity(category_totals: DataFrame, as_of_day: int) -> DataFr
 
 def user_brand_affinity(pairs: DataFrame, items: DataFrame) -> DataFrame:
     totals = (
-        _bought(pairs).join(items.select("item_id", "brand_id"), "item_id", "left")
+        bought_pairs(pairs).join(items.select("item_id", "brand_id"), "item_id", "left")
         .groupBy("customer_id", "brand_id").agg(F.sum("n_purchase").alias("ub_n"))
     )
     return totals.withColumn("ub_share", _share("ub_n"))
 
 
 def item_features(pairs: DataFrame, items: DataFrame) -> DataFrame:
-    stats = _bought(pairs).groupBy("item_id").agg(
-        F.sum("decayed").alias("pop"),
+    stats = bought_pairs(pairs).groupBy("item_id").agg(
+        F.sum("popular_w").alias("pop"),
         F.count(F.lit(1)).alias("buyers"),
         F.sum("n_purchase").alias("events"),
     )
@@ -177,11 +139,12 @@ class FeatureStore:
     as_of_day: int
 
     @classmethod
-    def build(cls, history: DataFrame, items: DataFrame, as_of_day: int, stage=None) -> "FeatureStore":
-        """``stage(df, name)`` may write the pair aggregate out; without it the blocks stay fully lazy."""
-        pairs = pair_aggregate(guard_leak(history, as_of_day), as_of_day)
-        if stage is not None:
-            pairs = stage(pairs, "pairs")
+    def build(cls, history: DataFrame, items: DataFrame, as_of_day: int) -> "FeatureStore":
+        return cls.from_pairs(pair_aggregate(history, as_of_day), items, as_of_day)
+
+    @classmethod
+    def from_pairs(cls, pairs: DataFrame, items: DataFrame, as_of_day: int) -> "FeatureStore":
+        """Blocks from an existing pair aggregate, best one that was written out before."""
         totals = user_category_totals(pairs, items)
         return cls(
             item=item_features(pairs, items),
@@ -231,7 +194,6 @@ def finalise(frame: DataFrame) -> DataFrame:
     })
 
 
-def feature_frame(
-    candidates: DataFrame, history: DataFrame, items: DataFrame, as_of_day: int, stage=None
-) -> DataFrame:
-    return FeatureStore.build(history, items, as_of_day, stage).transform(candidates)
+def feature_frame(candidates: DataFrame, history: DataFrame, items: DataFrame, as_of_day: int) -> DataFrame:
+    """Features of (customer_id, item_id) candidates; fails when ``history`` is later than ``as_of_day``."""
+    return FeatureStore.build(history, items, as_of_day).transform(candidates)

@@ -123,7 +123,7 @@ def governance_summary(audit: DataFrame) -> DataFrame:
         F.count_if(~F.col("grounded")).alias("grounding_failures"),
         F.count_if("truncated").alias("truncations"),
     )
-    p50 = order_statistics(audit, [], "latency_ms", {"p50": "n div 2"}).select("p50").scalar()
+    p50 = order_statistics(audit, [], "latency_ms", {"p50": (0.5, "n div 2")}).select("p50").scalar()
     return totals.withColumn("p50_latency_ms", p50)
 
 

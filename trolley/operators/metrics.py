@@ -140,12 +140,13 @@ def purchase_concentration(purchases: DataFrame, top: int = 100) -> DataFrame:
     )
 
 
-def wide_metrics(name: str, metrics: DataFrame, health: DataFrame | None = None) -> DataFrame:
+def wide_metrics(
+    name: str, metrics: DataFrame, k_values: tuple[int, ...] = K_VALUES, health: DataFrame | None = None
+) -> DataFrame:
     """One leaderboard row ``model, recall@5, ...`` from the per-k metrics."""
-    k_of = [r["k"] for r in metrics.select("k").distinct().orderBy("k").collect()]
     row = metrics.agg(*[
         F.max(F.when(F.col("k") == k, F.col(m))).alias(f"{m}@{k}")
-        for k in k_of for m in ("recall", "precision", "hit_rate", "ndcg", "map")
+        for k in k_values for m in ("recall", "precision", "hit_rate", "ndcg", "map")
     ])
     if health is not None:
         first = health.select(F.struct("k", "coverage", "novelty", "gini", "revenue_hit")).scalar()

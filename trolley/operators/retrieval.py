@@ -1,8 +1,8 @@
 """Candidate retrievers.
 
 Every retriever returns (customer_id, item_id, rank, score) with a 0-based
-rank. ``interactions`` must already be cut at the wanted day; decay is anchored
-at the last day of those rows unless ``anchor_day`` is given.
+rank. What a retriever is fitted on is the pair aggregate of the log up to the
+wanted day; several retrievers share one.
 """
 
 from __future__ import annotations
@@ -11,28 +11,19 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trolley.functions.expressions import (
-    best_first, event_weight, half_life_decay, is_purchase, score_key,
-)
+from trolley.functions.expressions import best_first, score_key
+from trolley.operators.pairs import HALF_LIFE, POPULARITY_HALF_LIFE, bought_pairs, reanchored
 from trolley.operators.vectors import block_topk
 
-POPULARITY_HALF_LIFE, HALF_LIFE = 21.0, 30.0
 NEIGHBOURS, SHRINKAGE = 200, 25.0
 RRF_K = 60.0
 SEGMENT = 256
 
 
-def _anchor(df: DataFrame, anchor_day: int | None) -> Column:
-    return F.lit(anchor_day) if anchor_day is not None else df.agg(F.max("day")).scalar()
-
-
-def item_popularity(
-    interactions: DataFrame, items: DataFrame, half_life: float = POPULARITY_HALF_LIFE, anchor_day: int | None = None
-) -> DataFrame:
-    """Recency-weighted purchase count of every catalog item, zero when unsold."""
-    bought = interactions.filter(is_purchase())
-    age = _anchor(bought, anchor_day) - F.col("day")
-    weight = bought.withColumn("w", half_life_decay(age, half_life)).groupBy("item_id").agg(F.sum("w").alias("w"))
+def item_popularity(pairs: DataFrame, items: DataFrame, half_life: float = POPULARITY_HALF_LIFE) -> DataFrame:
+    """Recency-weighted purchase count of every catalog item, zero when unsold; decay starts at the last purchase."""
+    anchor = pairs.agg(F.max("last_purchase")).scalar()
+    weight = bought_pairs(pairs).groupBy("item_id").agg(F.sum(reanchored("popular_w", anchor, half_life)).alias("w"))
     return items.select("item_id").join(weight, "item_id", "left").select(
         "item_id", F.coalesce("w", F.lit(0.0)).alias("score")
     )
@@ -49,34 +40,26 @@ def popularity_slate(popularity: DataFrame, k: int) -> Column:
     ))).scalar()
 
 
-def popularity_topk(
-    interactions: DataFrame, items: DataFrame, customers: DataFrame, k: int, anchor_day: int | None = None
-) -> DataFrame:
+def popularity_topk(pairs: DataFrame, items: DataFrame, customers: DataFrame, k: int) -> DataFrame:
     """The same list for every customer."""
-    slate = popularity_slate(item_popularity(interactions, items, anchor_day=anchor_day), k)
+    slate = popularity_slate(item_popularity(pairs, items), k)
     return customers.select("customer_id", slate.alias("slate")).select("customer_id", F.inline("slate")).select(
         "customer_id", "item_id", "rank", "score"
     )
 
 
-def repeat_purchase(
-    interactions: DataFrame, customers: DataFrame, k: int,
-    half_life: float = HALF_LIFE, anchor_day: int | None = None,
-) -> DataFrame:
+def repeat_purchase(pairs: DataFrame, customers: DataFrame, k: int, half_life: float = HALF_LIFE) -> DataFrame:
     """A customer's own items by decayed purchase count, without backfill."""
-    bought = interactions.filter(is_purchase())
-    age = _anchor(bought, anchor_day) - F.col("day")
-    own = (
-        bought.withColumn("w", half_life_decay(age, half_life))
-        .groupBy("customer_id", "item_id").agg(F.sum("w").alias("score"))
-        .join(customers.select("customer_id"), "customer_id", "left_semi")
+    anchor = pairs.agg(F.max("last_purchase")).scalar()
+    own = bought_pairs(pairs).join(customers.select("customer_id"), "customer_id", "left_semi").select(
+        "customer_id", "item_id", reanchored("repeat_w", anchor, half_life).alias("score")
     )
     ranked = own.withColumn("rank", F.row_number().over(best_first(["customer_id"])) - 1)
     return ranked.filter(F.col("rank") < k).select("customer_id", "item_id", "rank", "score")
 
 
 def repeat_backfill(
-    interactions: DataFrame, items: DataFrame, customers: DataFrame, k: int, half_life: float = HALF_LIFE
+    pairs: DataFrame, items: DataFrame, customers: DataFrame, k: int, half_life: float = HALF_LIFE
 ) -> DataFrame:
     """The repeat list, filled up to k with popular items that are not already in it.
 
@@ -84,10 +67,10 @@ def repeat_backfill(
     which leaves the k - n_own that are needed. Filler has score 0.
     """
     own = (
-        repeat_purchase(interactions, customers, k, half_life).groupBy("customer_id")
+        repeat_purchase(pairs, customers, k, half_life).groupBy("customer_id")
         .agg(F.sort_array(F.collect_list(F.struct("rank", "item_id", "score"))).alias("own"))
     )
-    slate = popularity_slate(item_popularity(interactions, items), k)
+    slate = popularity_slate(item_popularity(pairs, items), k)
     empty = F.array().cast("array<struct<rank:int,item_id:int,score:double>>")
     packed = customers.select("customer_id").join(own, "customer_id", "left").select(
         "customer_id", F.coalesce("own", empty).alias("own"), slate.alias("popular")
@@ -107,21 +90,16 @@ def repeat_backfill(
     )
 
 
-def interaction_matrix(
-    interactions: DataFrame, half_life: float = HALF_LIFE, anchor_day: int | None = None
-) -> DataFrame:
-    """Implicit weights per (customer, item): event weight x recency decay, summed."""
-    age = _anchor(interactions, anchor_day) - F.col("day")
-    return (
-        interactions.withColumn("w", event_weight() * half_life_decay(age, half_life))
-        .groupBy("customer_id", "item_id").agg(F.sum("w").alias("r"))
-    )
+def interaction_matrix(pairs: DataFrame, half_life: float = HALF_LIFE) -> DataFrame:
+    """Implicit weights per (customer, item): event weight x recency decay, summed (A6); decay starts at the last event."""
+    anchor = pairs.agg(F.max("last_day")).scalar()
+    return pairs.select("customer_id", "item_id", reanchored("implicit_w", anchor, half_life).alias("r"))
 
 
 def _segments(matrix: DataFrame, segment: int) -> DataFrame:
     """Matrix rows cut into segments of about ``segment`` items, one array per segment.
 
-    Columns: customer_id, n_seg, seg, cells array<(item_id, r)> sorted by item.
+    Columns: customer_id, n_seg, seg, cells array<(item_id, r, norm)> sorted by item.
     """
     sizes = matrix.groupBy("customer_id").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(segment)).cast("long").alias("n_seg")
@@ -130,12 +108,15 @@ def _segments(matrix: DataFrame, segment: int) -> DataFrame:
         matrix.join(sizes, "customer_id")
         .withColumn("seg", F.pmod(F.xxhash64("item_id"), F.col("n_seg")))
         .groupBy("customer_id", "n_seg", "seg")
-        .agg(F.sort_array(F.collect_list(F.struct("item_id", "r"))).alias("cells"))
+        .agg(F.sort_array(F.collect_list(F.struct("item_id", "r", "norm"))).alias("cells"))
     )
 
 
 def co_occurrence(matrix: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """Upper triangle of M'M without the diagonal: (item_i < item_j, co).
+    """Upper triangle of M'M without the diagonal: (item_i < item_j, co, norms).
+
+    ``matrix`` has (customer_id, item_id, r, norm); ``norms`` is the product of
+    the two items' norms, carried along so that the item pairs need no join.
 
     A matrix row is never multiplied with itself whole. It is cut into
     segments of bounded size, and one bounded block product per pair of
@@ -154,7 +135,7 @@ def co_occurrence(matrix: DataFrame, segment: int = SEGMENT) -> DataFrame:
         F.first(F.when(F.col("seg") == F.col("a"), F.col("cells")), ignorenulls=True).alias("left"),
         F.first(F.when(F.col("seg") == F.col("b"), F.col("cells")), ignorenulls=True).alias("right"),
     )
-    # inside one segment each pair is taken once; across segments in item order
+    # inside one segment each pair is taken once, from the smaller item id
     rows = block.filter(F.col("left").isNotNull() & F.col("right").isNotNull()).select(
         "a", "b", "right", F.posexplode("left").alias("pos", "l")
     )
@@ -166,8 +147,9 @@ def co_occurrence(matrix: DataFrame, segment: int = SEGMENT) -> DataFrame:
             F.least("l.item_id", "c.item_id").alias("item_i"),
             F.greatest("l.item_id", "c.item_id").alias("item_j"),
             (F.col("l.r") * F.col("c.r")).alias("p"),
+            (F.col("l.norm") * F.col("c.norm")).alias("nn"),
         )
-        .groupBy("item_i", "item_j").agg(F.sum("p").alias("co"))
+        .groupBy("item_i", "item_j").agg(F.sum("p").alias("co"), F.max("nn").alias("norms"))
     )
 
 
@@ -176,13 +158,10 @@ def item_similarity(
 ) -> DataFrame:
     """Shrunk cosine similarity, the ``neighbours`` best per item: (item_i, item_j, sim, rank)."""
     norms = matrix.groupBy("item_id").agg((F.sqrt(F.sum(F.col("r") * F.col("r"))) + 1e-8).alias("norm"))
-    upper = co_occurrence(matrix, segment)
-    sim = (
-        upper.join(norms.select(F.col("item_id").alias("item_i"), F.col("norm").alias("norm_i")), "item_i")
-        .join(norms.select(F.col("item_id").alias("item_j"), F.col("norm").alias("norm_j")), "item_j")
-        .withColumn("sim", F.col("co") / (F.col("norm_i") * F.col("norm_j") + F.lit(shrinkage)))
-        .filter(F.col("sim") > 0)
-    )
+    upper = co_occurrence(matrix.join(norms, "item_id"), segment)
+    sim = upper.select(
+        "item_i", "item_j", (F.col("co") / (F.col("norms") + F.lit(shrinkage))).alias("sim")
+    ).filter(F.col("sim") > 0)
     both = sim.select(F.inline(F.array(
         F.struct(F.col("item_i"), F.col("item_j"), F.col("sim")),
         F.struct(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), F.col("sim")),
@@ -192,17 +171,15 @@ def item_similarity(
 
 
 def item_knn(
-    interactions: DataFrame, items: DataFrame, customers: DataFrame, k: int,
+    pairs: DataFrame, items: DataFrame, customers: DataFrame, k: int,
     neighbours: int = NEIGHBOURS, shrinkage: float = SHRINKAGE, half_life: float = HALF_LIFE,
-    segment: int = SEGMENT, stage=None,
+    segment: int = SEGMENT,
 ) -> DataFrame:
     """Sum of similarities from everything in the history; customers without a score get the popular list.
 
     Seen items stay in. Only positive scores are listed.
     """
-    matrix = interaction_matrix(interactions, half_life)
-    if stage is not None:
-        matrix = stage(matrix, "matrix")
+    matrix = interaction_matrix(pairs, half_life)
     sim = item_similarity(matrix, neighbours, shrinkage, segment)
     asked = customers.select("customer_id").distinct()
     # at most ``neighbours`` entries per item: one small row instead of many
@@ -220,7 +197,7 @@ def item_knn(
         scored.withColumn("rank", F.row_number().over(best_first(["customer_id"])) - 1)
         .filter(F.col("rank") < k).select("customer_id", "item_id", "rank", "score")
     )
-    slate = popularity_slate(item_popularity(interactions, items), k)
+    slate = popularity_slate(item_popularity(pairs, items), k)
     unserved = (
         asked.join(ranked.select("customer_id").distinct(), "customer_id", "left_anti")
         .select("customer_id", slate.alias("slate"))
@@ -231,12 +208,12 @@ def item_knn(
 
 
 def als_topk(
-    interactions: DataFrame, customers: DataFrame, k: int,
+    pairs: DataFrame, customers: DataFrame, k: int,
     factors: int = 64, regularization: float = 0.05, alpha: float = 12.0, iterations: int = 12,
     half_life: float = HALF_LIFE, seed: int = 7,
 ) -> DataFrame:
     """Implicit matrix factorization; scoring runs over the learned factors as blocked products."""
-    matrix = interaction_matrix(interactions, half_life)
+    matrix = interaction_matrix(pairs, half_life)
     model = ALS(
         rank=factors, regParam=regularization, alpha=alpha, maxIter=iterations, implicitPrefs=True, seed=seed,
         userCol="customer_id", itemCol="item_id", ratingCol="r", coldStartStrategy="drop",

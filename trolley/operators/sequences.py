@@ -20,17 +20,6 @@ HISTORY_LEN, MIN_PRIOR, PRICE_BUCKETS = 20, 1, 20
 SEQ_BLOCK = 1 << 20
 
 
-def _ordered(interactions: DataFrame, items: DataFrame, order: list[str]) -> DataFrame:
-    return (
-        interactions.filter(is_purchase())
-        .join(items.select("item_id", "price"), "item_id", "left")
-        .select(
-            "customer_id", "item_id", "day", *order, F.coalesce("price", F.lit(0.0)).alias("price"),
-            (F.col(order[0]) / SEQ_BLOCK).cast("long").alias("block"),
-        )
-    )
-
-
 def causal_sequences(
     interactions: DataFrame,
     items: DataFrame,
@@ -46,21 +35,32 @@ def causal_sequences(
     recent last. ``order`` names the columns that order purchases inside a day.
     """
     order = list(order)
-    rows = _ordered(interactions, items, order).withColumn(
-        "block", (F.col(order[0]) / seq_block).cast("long")
-    )
     chunk = ["customer_id", "day", "block"]
+    # everything below that works on rows is partitioned by chunk, by this one shuffle
+    rows = (
+        interactions.filter(is_purchase())
+        .join(items.select("item_id", "price"), "item_id", "left")
+        .select(
+            *chunk[:2], (F.col(order[0]) / seq_block).cast("long").alias("block"), *order, "item_id",
+            F.coalesce("price", F.lit(0.0)).alias("price"),
+        )
+        .repartition(*chunk)
+    )
 
     # First purchase of every (customer, item): a combinable minimum, so a pair
     # that repeats without bound is no problem. At the row where it happened
     # the number of distinct items grows by one.
     firsts = (
-        rows.groupBy("customer_id", "item_id")
-        .agg(F.min(F.struct("day", "block", *order)).alias("at"))
+        interactions.filter(is_purchase())
+        .groupBy("customer_id", "item_id").agg(F.min(F.struct("day", *order)).alias("at"))
         .select("customer_id", "item_id", "at.*")
-        .withColumn("is_new", F.lit(1))
+        .select(
+            *chunk[:2], (F.col(order[0]) / seq_block).cast("long").alias("block"), *order, "item_id",
+            F.lit(1).alias("is_new"),
+        )
+        .repartition(*chunk)
     )
-    keyed = rows.join(firsts, ["customer_id", "item_id", "day", "block", *order], "left").withColumn(
+    keyed = rows.join(firsts, [*chunk, *order, "item_id"], "left").withColumn(
         "is_new", F.coalesce("is_new", F.lit(0))
     )
 
@@ -72,26 +72,18 @@ def causal_sequences(
         F.coalesce(F.sum("price").over(upto), F.lit(0.0)).alias("_price"),
         F.coalesce(F.sum("is_new").over(upto), F.lit(0)).alias("_new"),
         F.collect_list("item_id").over(inside.rowsBetween(-history_len, -1)).alias("_past"),
+        F.lead("item_id").over(inside).isNull().alias("_last"),
     )
 
-    # Chunk summaries; the tail of a chunk is its last ``history_len`` items,
-    # picked by a per-chunk limit that also works on the map side.
-    backwards = Window.partitionBy(*chunk).orderBy(*[F.col(c).desc() for c in [*order, "item_id"]])
-    tails = (
-        rows.withColumn("_rn", F.row_number().over(backwards))
-        .filter(F.col("_rn") <= history_len)
-        .groupBy(*chunk)
-        .agg(F.transform(
-            F.sort_array(F.collect_list(F.struct("_rn", "item_id")), asc=False), lambda s: s["item_id"]
-        ).alias("_tail"))
-    )
-    sums = keyed.groupBy(*chunk).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum("price").alias("_s"), F.sum("is_new").alias("_d")
+    # The last row of a chunk knows the chunk's totals and its last items.
+    sums = local.filter("_last").select(
+        *chunk, F.col("_rn").alias("_n"), (F.col("_price") + F.col("price")).alias("_s"),
+        (F.col("_new") + F.col("is_new")).alias("_d"), F.concat("_past", F.array("item_id")).alias("_tail"),
     )
     along = Window.partitionBy("customer_id").orderBy("day", "block")
     prior = along.rowsBetween(Window.unboundedPreceding, -1)
     # every chunk has at least one item, so history_len chunks are enough
-    carried = sums.join(tails, chunk).select(
+    carried = sums.select(
         *chunk,
         F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_n0"),
         F.coalesce(F.sum("_s").over(prior), F.lit(0.0)).alias("_s0"),

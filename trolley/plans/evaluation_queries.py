@@ -16,37 +16,38 @@ from trolley.session import shared_dir, stage
 from trolley.sources import sinks, tables
 
 K = 20
+BOARD_K = (5, 10, 20)
 METRICS = ("recall", "precision", "hit_rate", "ndcg", "map")
 SMALL = {"trees": 10, "depth": 4}
 
 
 def _repeat_lists(s: Setting):
-    return retrieval.repeat_backfill(s.train, s.items, s.asked(), 50)
+    return retrieval.repeat_backfill(s.pairs(), s.items, s.asked, 50)
 
 
 def ranking_metrics(spark, d):
     """Recall, precision, hit rate, NDCG and MAP of the repeat baseline on the future week."""
     s = Setting(spark, d)
-    return rounded(metrics.ranking_metrics(_repeat_lists(s), s.truth()))
+    return rounded(metrics.ranking_metrics(_repeat_lists(s), s.test_truth))
 
 
 def slate_health(spark, d):
     s = Setting(spark, d)
-    return rounded(metrics.slate_health(_repeat_lists(s), s.truth(), s.items, s.base_popularity(s.train)))
+    return rounded(metrics.slate_health(_repeat_lists(s), s.test_truth, s.items, s.base_popularity(s.pairs())))
 
 
 def leaderboard(spark, d):
     s = Setting(spark, d)
-    truth, asked = s.truth(), s.asked()
-    users = vectors.pooled_user_vectors(s.train, s.vectors).join(asked, "customer_id", "left_semi")
+    truth, asked, pairs = s.test_truth, s.asked, stage(s.pairs(), "pairs")
     models = {
-        "popularity": retrieval.popularity_topk(s.train, s.items, asked, K),
-        "repeat": retrieval.repeat_backfill(s.train, s.items, asked, K),
-        "item_knn": retrieval.item_knn(s.train, s.items, asked, K),
-        "vector": vectors.vector_topk(users, s.vectors, K),
+        "popularity": retrieval.popularity_topk(pairs, s.items, asked, K),
+        "repeat": retrieval.repeat_backfill(pairs, s.items, asked, K),
+        "item_knn": retrieval.item_knn(pairs, s.items, asked, K),
+        "vector": vectors.vector_topk(s.user_vectors(s.train_end, asked), s.vectors, K),
     }
     rows = [
-        metrics.wide_metrics(name, metrics.ranking_metrics(lists, truth, (5, 10, 20))) for name, lists in models.items()
+        metrics.wide_metrics(name, metrics.ranking_metrics(lists, truth, BOARD_K), BOARD_K)
+        for name, lists in models.items()
     ]
     return rounded(metrics.leaderboard(rows, "recall@20"))
 
@@ -64,13 +65,13 @@ def rank_candidates(spark, d):
 def repeat_vs_discovery(spark, d):
     s = Setting(spark, d)
     slate = ranking.rank_candidates(_scored(s), K)
-    return rounded(diagnostics.repeat_vs_discovery(slate, s.truth(), diagnostics.known_items(s.history)))
+    return rounded(diagnostics.repeat_vs_discovery(slate, s.test_truth, diagnostics.known_items(s.history)))
 
 
 def recall_by_depth(spark, d):
     s = Setting(spark, d)
     slate = ranking.rank_candidates(_scored(s), K)
-    return rounded(diagnostics.recall_by_depth(slate, s.truth(), diagnostics.history_depth(s.history)))
+    return rounded(diagnostics.recall_by_depth(slate, s.test_truth, diagnostics.history_depth(s.history)))
 
 
 def source_contribution(spark, d):
@@ -86,9 +87,9 @@ def batch_slate(spark, d):
     """Slates for the whole customer table: personal where there is a purchase, popular else."""
     s = Setting(spark, d)
     known = stage(purchases_only(s.history).select("customer_id").distinct(), "known")
-    frame = s.feature_frame(s.history, known, s.valid_end)
+    frame = s.feature_frame(s.valid_end, known)
     scored = frame.withColumn("score", ranking.linear_score(LINEAR_WEIGHTS))
-    popular = retrieval.popularity_slate(retrieval.item_popularity(s.history, s.items), K)
+    popular = retrieval.popularity_slate(retrieval.item_popularity(s.pairs(s.valid_end), s.items), K)
     return rounded(ranking.batch_slate(tables.customers(spark, d), scored, popular, s.items, K))
 
 
@@ -100,7 +101,7 @@ def _trained(s: Setting):
 def two_stage_ranker(spark, d):
     s = Setting(spark, d)
     scored = ranking.score_candidates(_trained(s), s.labelled())
-    return rounded(metrics.ranking_metrics(ranking.rank_candidates(scored, 50), s.truth()))
+    return rounded(metrics.ranking_metrics(ranking.rank_candidates(scored, 50), s.test_truth))
 
 
 def feature_importance(spark, d):
@@ -115,7 +116,7 @@ def scored_frame(spark, d):
 
 _RANKED20 = "SELECT * FROM ranked WHERE rank < 20"
 _WIDE = ", ".join(
-    f'max("{m}") FILTER (k = {k}) AS "{m}@{k}"' for k in (5, 10, 20) for m in METRICS
+    f'max("{m}") FILTER (k = {k}) AS "{m}@{k}"' for k in BOARD_K for m in METRICS
 )
 
 
@@ -127,7 +128,7 @@ def _board_sql() -> str:
         "item_knn": "SELECT customer_id, item_id, rank FROM knn WHERE rank < 20",
         "vector": "SELECT customer_id, item_id, rank FROM vec WHERE rank < 20",
     }
-    digits = tuple(f"{m}@{k}" for k in (5, 10, 20) for m in METRICS)
+    digits = tuple(f"{m}@{k}" for k in BOARD_K for m in METRICS)
     parts = [
         f"SELECT * FROM ({build(f'SELECT {name!r} AS model, {_WIDE} FROM met', pred=pred, digits=digits)})"
         for name, pred in sources.items()

@@ -21,7 +21,7 @@ FRAME = ["customer_id", "item_id", *features.FEATURE_COLUMNS]
 
 
 def _pairs(s: Setting):
-    return features.pair_aggregate(features.guard_leak(s.history, s.valid_end), s.valid_end)
+    return s.pairs(s.valid_end)
 
 
 def user_item_features(spark, d):
@@ -61,12 +61,12 @@ def item_features_orders(spark, d):
 
 def candidate_pool(spark, d):
     s = Setting(spark, d)
-    return rounded(s.pool(s.history, s.asked()))
+    return rounded(s.pool(s.valid_end, s.asked))
 
 
 def feature_frame(spark, d):
     s = Setting(spark, d)
-    return rounded(s.feature_frame(s.history, s.asked(), s.valid_end).select(*FRAME, "as_of_day"))
+    return rounded(s.feature_frame(s.valid_end, s.asked).select(*FRAME, "as_of_day"))
 
 
 def attach_labels(spark, d):
@@ -75,19 +75,18 @@ def attach_labels(spark, d):
 
 def group_sizes(spark, d):
     s = Setting(spark, d)
-    return pooling.group_sizes(s.pool(s.history, s.asked()))
+    return pooling.group_sizes(s.pool(s.valid_end, s.asked))
 
 
 def candidate_diagnostics(spark, d):
     s = Setting(spark, d)
-    truth = s.truth()
-    labelled = pooling.attach_labels(s.pool(s.history, s.asked()), truth)
-    return rounded(pooling.candidate_diagnostics(labelled, truth))
+    labelled = pooling.attach_labels(s.pool(s.valid_end, s.asked), s.test_truth)
+    return rounded(pooling.candidate_diagnostics(labelled, s.test_truth))
 
 
 def feature_null_profile(spark, d):
     s = Setting(spark, d)
-    frame = s.feature_frame(s.history, s.asked(), s.valid_end)
+    frame = s.feature_frame(s.valid_end, s.asked)
     return rounded(diagnostics.feature_null_profile(frame, features.FEATURE_COLUMNS))
 
 
@@ -95,9 +94,8 @@ def feature_backfill(spark, d):
     """Two days written, the second one again: every day is there exactly once."""
     s = Setting(spark, d)
     path = f"{shared_dir(spark)}/features-{uuid.uuid4().hex}"
-    asked = s.asked()
     for day in (s.train_end, s.valid_end, s.valid_end):
-        sinks.write_features(s.feature_frame(s.log(as_of_day=day), asked, day).select(*FRAME, "as_of_day"), path)
+        sinks.write_features(s.feature_frame(day, s.asked).select(*FRAME, "as_of_day"), path)
     return rounded(spark.read.parquet(path).select(*FRAME, "as_of_day"))
 
 

@@ -8,55 +8,61 @@ from trolley.operators import retrieval, vectors
 from trolley.plans.common import rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import OrdersSetting, Setting
+from trolley.session import stage
 
 K = 20
 LIST = ("score",)
 
 
+def _fit(s: Setting):
+    """Pair aggregate of the train window, written out because a retriever reads it several times."""
+    return stage(s.pairs(), "pairs")
+
+
 def popularity_topk(spark, d):
     s = Setting(spark, d)
-    return rounded(retrieval.popularity_topk(s.train, s.items, s.asked(), K))
+    return rounded(retrieval.popularity_topk(_fit(s), s.items, s.asked, K))
 
 
 def repeat_purchase(spark, d):
     s = Setting(spark, d)
-    return rounded(retrieval.repeat_purchase(s.train, s.asked(), K))
+    return rounded(retrieval.repeat_purchase(s.pairs(), s.asked, K))
 
 
 def repeat_purchase_orders(spark, d):
     s = OrdersSetting(spark, d)
-    return rounded(retrieval.repeat_purchase(s.train, s.asked(), K))
+    return rounded(retrieval.repeat_purchase(s.pairs(), s.asked, K))
 
 
 def repeat_backfill(spark, d):
     s = Setting(spark, d)
-    return rounded(retrieval.repeat_backfill(s.train, s.items, s.asked(), K))
+    return rounded(retrieval.repeat_backfill(_fit(s), s.items, s.asked, K))
 
 
 def interaction_matrix(spark, d):
-    return rounded(retrieval.interaction_matrix(Setting(spark, d).train))
+    return rounded(retrieval.interaction_matrix(_fit(Setting(spark, d))))
 
 
 def item_similarity(spark, d):
-    return rounded(retrieval.item_similarity(retrieval.interaction_matrix(Setting(spark, d).train)))
+    return rounded(retrieval.item_similarity(retrieval.interaction_matrix(_fit(Setting(spark, d)))))
 
 
 def item_similarity_orders(spark, d):
-    return rounded(retrieval.item_similarity(retrieval.interaction_matrix(OrdersSetting(spark, d).train)))
+    return rounded(retrieval.item_similarity(retrieval.interaction_matrix(_fit(OrdersSetting(spark, d)))))
 
 
 def item_knn(spark, d):
     s = Setting(spark, d)
-    return rounded(retrieval.item_knn(s.train, s.items, s.asked(), K))
+    return rounded(retrieval.item_knn(_fit(s), s.items, s.asked, K))
 
 
 def als_topk(spark, d):
     s = Setting(spark, d)
-    return rounded(retrieval.als_topk(s.train, s.asked(), K, factors=16, iterations=5))
+    return rounded(retrieval.als_topk(s.pairs(), s.asked, K, factors=16, iterations=5))
 
 
 def _user_vectors(s: Setting):
-    return vectors.pooled_user_vectors(s.train, s.vectors).join(s.asked(), "customer_id", "left_semi")
+    return s.user_vectors(s.train_end, s.asked)
 
 
 def vector_topk(spark, d):
@@ -66,10 +72,10 @@ def vector_topk(spark, d):
 
 def rrf_blend(spark, d):
     s = Setting(spark, d)
-    asked = s.asked()
+    pairs = _fit(s)
     lists = [
-        (retrieval.repeat_backfill(s.train, s.items, asked, 3 * K), 1.0),
-        (retrieval.item_knn(s.train, s.items, asked, 3 * K), 0.8),
+        (retrieval.repeat_backfill(pairs, s.items, s.asked, 3 * K), 1.0),
+        (retrieval.item_knn(pairs, s.items, s.asked, 3 * K), 0.8),
         (vectors.vector_topk(_user_vectors(s), s.vectors, 3 * K), 0.8),
     ]
     return rounded(retrieval.rrf_blend(lists, K))
@@ -79,22 +85,24 @@ def item_neighbours(spark, d):
     return rounded(vectors.item_neighbours(Setting(spark, d).vectors, 5))
 
 
-def _ivf(s: Setting, nprobe: int):
-    queries = _user_vectors(s).select(F.col("customer_id").alias("query_id"), "vector")
+def _ivf(s: Setting, users, nprobe: int):
+    queries = users.select(F.col("customer_id").alias("query_id"), "vector")
     return vectors.ivf_topk(queries, s.vectors, K, nlist=8, nprobe=nprobe)
 
 
 def ivf_topk(spark, d):
-    return rounded(_ivf(Setting(spark, d), 3))
+    s = Setting(spark, d)
+    return rounded(_ivf(s, _user_vectors(s), 3))
 
 
 def ann_recall(spark, d):
     s = Setting(spark, d)
-    queries = _user_vectors(s).select(F.col("customer_id").alias("query_id"), "vector")
+    users = _user_vectors(s)
+    queries = users.select(F.col("customer_id").alias("query_id"), "vector")
     exact = vectors.block_topk(queries, vectors.unit_vectors(s.vectors), K)
     parts = [
         vectors.ann_recall(approx, exact, K).select(F.lit(name).alias("index"), "queries", "recall")
-        for name, approx in (("all_cells", _ivf(s, 8)), ("three_cells", _ivf(s, 3)))
+        for name, approx in (("all_cells", _ivf(s, users, 8)), ("three_cells", _ivf(s, users, 3)))
     ]
     return rounded(parts[0].unionByName(parts[1]))
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trolley.operators import features, pooling, retrieval, split, vectors
+from trolley.operators.pairs import bought_pairs, pair_aggregate
 from trolley.session import stage
 from trolley.sources import tables
 
@@ -21,7 +22,11 @@ LINEAR_WEIGHTS = {
 
 @dataclass
 class Setting:
-    """Interactions of the ``events`` table, cut by the default split."""
+    """Interactions of the ``events`` table, cut by the default split.
+
+    Tables that several steps read (held-out customers, pair aggregate, user
+    vectors, candidate pool) are written out once by ``stage``.
+    """
 
     spark: SparkSession
     folder: str
@@ -41,27 +46,32 @@ class Setting:
     def log(self, as_of_day: int | None = None, after_day: int | None = None) -> DataFrame:
         return tables.interactions_from_events(self.spark, self.folder, as_of_day, after_day)
 
-    @property
+    @cached_property
     def train(self) -> DataFrame:
         return self.log(as_of_day=self.train_end)
 
-    @property
+    @cached_property
     def history(self) -> DataFrame:
         """Everything before the test window."""
         return self.log(as_of_day=self.valid_end)
 
-    @property
+    @cached_property
     def items(self) -> DataFrame:
         return tables.catalog(self.spark, self.folder)
 
-    @property
+    @cached_property
     def vectors(self) -> DataFrame:
         return tables.item_vectors(self.spark, self.folder)
 
-    @property
+    @cached_property
     def eligible(self) -> DataFrame:
         return split.eligible_customers(self.train)
 
+    def pairs(self, as_of_day: int | None = None) -> DataFrame:
+        """Pair aggregate up to a day, the end of the train window by default; lazy."""
+        day = self.train_end if as_of_day is None else as_of_day
+        return pair_aggregate(self.log(as_of_day=day), day)
+
     def truth(self, window: str = "test") -> DataFrame:
         if window == "test":
             rows = self.log(after_day=self.valid_end)
@@ -69,43 +79,48 @@ class Setting:
             rows = self.log(as_of_day=self.valid_end, after_day=self.train_end)
         return split.ground_truth(rows, self.eligible)
 
-    def asked(self, window: str = "test") -> DataFrame:
+    @cached_property
+    def test_truth(self) -> DataFrame:
+        return stage(self.truth(), "truth")
+
+    @property
+    def asked(self) -> DataFrame:
         """Customers with held-out purchases."""
-        return self.truth(window).select("customer_id").distinct()
+        return self.test_truth.select("customer_id").distinct()
+
+    def user_vectors(self, as_of_day: int, asked: DataFrame) -> DataFrame:
+        users = vectors.pooled_user_vectors(self.log(as_of_day=as_of_day), self.vectors)
+        return stage(users.join(asked, "customer_id", "left_semi"), "users")
 
-    def sources(self, history: DataFrame, asked: DataFrame) -> dict[str, DataFrame]:
-        """The four candidate lists, all fitted on ``history``."""
+    def sources(self, pairs: DataFrame, as_of_day: int, asked: DataFrame) -> dict[str, DataFrame]:
+        """The four candidate lists, all fitted on the log up to ``as_of_day``."""
         depth = pooling.PER_SOURCE
-        users = vectors.pooled_user_vectors(history, self.vectors).join(asked, "customer_id", "left_semi")
         return {
-            "repeat": retrieval.repeat_purchase(history, asked, depth["repeat"]),
-            "two_tower": vectors.vector_topk(users, self.vectors, depth["two_tower"]),
-            "item_knn": retrieval.item_knn(history, self.items, asked, depth["item_knn"]),
-            "popularity": retrieval.popularity_topk(history, self.items, asked, depth["popularity"]),
+            "repeat": retrieval.repeat_purchase(pairs, asked, depth["repeat"]),
+            "two_tower": vectors.vector_topk(self.user_vectors(as_of_day, asked), self.vectors, depth["two_tower"]),
+            "item_knn": retrieval.item_knn(pairs, self.items, asked, depth["item_knn"]),
+            "popularity": retrieval.popularity_topk(pairs, self.items, asked, depth["popularity"]),
         }
 
-    def pool(self, history: DataFrame, asked: DataFrame) -> DataFrame:
-        return pooling.candidate_pool(self.sources(history, asked))
+    def pool(self, as_of_day: int, asked: DataFrame) -> DataFrame:
+        return pooling.candidate_pool(self.sources(stage(self.pairs(as_of_day), "pairs"), as_of_day, asked))
 
-    def feature_frame(self, history: DataFrame, asked: DataFrame, as_of_day: int) -> DataFrame:
-        """Features of the pooled candidates. The pool is written out once: it is
-        the meeting point of four retrievers and several joins follow it."""
-        pool = stage(self.pool(history, asked), "pool")
-        return features.feature_frame(pool, history, self.items, as_of_day, stage)
+    def feature_frame(self, as_of_day: int, asked: DataFrame) -> DataFrame:
+        """Features of the pooled candidates of ``asked`` customers."""
+        pairs = stage(self.pairs(as_of_day), "pairs")
+        pool = stage(pooling.candidate_pool(self.sources(pairs, as_of_day, asked)), "pool")
+        return features.FeatureStore.from_pairs(pairs, self.items, as_of_day).transform(pool)
 
     def labelled(self, window: str = "test") -> DataFrame:
         """Labelled feature frame of the test stage, or of the train stage on the validation week."""
-        if window == "test":
-            history, as_of = self.history, self.valid_end
-        else:
-            history, as_of = self.train, self.train_end
-        truth = stage(self.truth(window), "truth")
-        frame = self.feature_frame(history, truth.select("customer_id").distinct(), as_of)
+        truth = self.test_truth if window == "test" else stage(self.truth(window), "truth")
+        day = self.valid_end if window == "test" else self.train_end
+        frame = self.feature_frame(day, truth.select("customer_id").distinct())
         return pooling.attach_labels(frame, truth)
 
-    def base_popularity(self, history: DataFrame) -> DataFrame:
+    def base_popularity(self, pairs: DataFrame) -> DataFrame:
         """Smoothed purchase share per catalog item."""
-        counts = split.purchases_only(history).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+        counts = bought_pairs(pairs).groupBy("item_id").agg(F.sum("n_purchase").alias("n"))
         total = counts.agg(F.sum("n")).scalar()
         n_items = self.items.agg(F.count(F.lit(1))).scalar()
         return self.items.select("item_id").join(counts, "item_id", "left").select(
