@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Fixed values of the interaction log.
@@ -32,13 +32,15 @@ def score_key(score: Column) -> Column:
     return F.round(score, 9)
 
 
-def best_first(keys: list[str], score: str = "score", tie: str = "item_id"):
-    """Window for the rank inside ``keys``: best score first, ties by ascending id.
+def best_first(df: DataFrame, keys: list[str], k: int, score: str = "score", tie: str = "item_id") -> DataFrame:
+    """The ``k`` best rows per key, best score first, ties by ascending id, with a 0-based ``rank``.
 
-    A filter ``row_number() <= k`` over it makes Spark keep k rows per key on
-    the map side already, so a hot key never reaches one task whole.
+    The filter is on the plain row number, which lets Spark keep k rows per key
+    on the map side already: a hot key never reaches one task whole.
     """
-    return Window.partitionBy(*keys).orderBy(score_key(F.col(score)).desc(), F.col(tie).asc())
+    order = Window.partitionBy(*keys).orderBy(score_key(F.col(score)).desc(), F.col(tie).asc())
+    numbered = df.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k)
+    return numbered.withColumn("rank", F.col("_rn") - 1).drop("_rn")
 
 
 def words(text: Column) -> Column:

@@ -112,9 +112,7 @@ def source_contribution(
     scored: DataFrame, k: int = K, score: str = "score", names: tuple[str, ...] = SOURCES
 ) -> DataFrame:
     """Which source supplied the slots and the hits of the top k, and which of them no other source had."""
-    top = scored.withColumn("_rank", F.row_number().over(best_first(["customer_id"], score))).filter(
-        F.col("_rank") <= k
-    )
+    top = best_first(scored, ["customer_id"], k, score)
     n_sources = sum((F.col(f"in_{n}") for n in names), F.lit(0))
     long = top.select("label", n_sources.alias("n"), F.explode(F.array(*[
         F.struct(F.lit(n).alias("source"), F.col(f"in_{n}").alias("present")) for n in names

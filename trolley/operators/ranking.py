@@ -26,8 +26,7 @@ def linear_score(weights: dict[str, float]) -> Column:
 
 def rank_candidates(scored: DataFrame, k: int, score: str = "score") -> DataFrame:
     """Top-k slate per customer by score."""
-    ranked = scored.withColumn("rank", F.row_number().over(best_first(["customer_id"], score)) - 1)
-    return ranked.filter(F.col("rank") < k)
+    return best_first(scored, ["customer_id"], k, score)
 
 
 def _assembled(frame: DataFrame, features: list[str]) -> DataFrame:

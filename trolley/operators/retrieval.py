@@ -54,8 +54,7 @@ def repeat_purchase(pairs: DataFrame, customers: DataFrame, k: int, half_life: f
     own = bought_pairs(pairs).join(customers.select("customer_id"), "customer_id", "left_semi").select(
         "customer_id", "item_id", reanchored("repeat_w", anchor, half_life).alias("score")
     )
-    ranked = own.withColumn("rank", F.row_number().over(best_first(["customer_id"])) - 1)
-    return ranked.filter(F.col("rank") < k).select("customer_id", "item_id", "rank", "score")
+    return best_first(own, ["customer_id"], k).select("customer_id", "item_id", "rank", "score")
 
 
 def repeat_backfill(
@@ -121,7 +120,9 @@ def co_occurrence(matrix: DataFrame, segment: int = SEGMENT) -> DataFrame:
     A matrix row is never multiplied with itself whole. It is cut into
     segments of bounded size, and one bounded block product per pair of
     segments runs where the hash of (customer, segment, segment) puts it, so
-    a customer with a huge row is spread over all tasks. Products are summed
+    a customer with a huge row is spread over all tasks. (The explicit
+    repartition is needed: a partitioning by customer alone would satisfy the
+    grouping and would keep such a customer in one task.) Products are summed
     per item pair inside the task before anything is shuffled.
     """
     seg = _segments(matrix, segment)
@@ -130,7 +131,7 @@ def co_occurrence(matrix: DataFrame, segment: int = SEGMENT) -> DataFrame:
         "customer_id",
         F.least("seg", "other").alias("a"), F.greatest("seg", "other").alias("b"),
         F.col("seg").alias("seg"), "cells",
-    )
+    ).repartition("customer_id", "a", "b")
     block = placed.groupBy("customer_id", "a", "b").agg(
         F.first(F.when(F.col("seg") == F.col("a"), F.col("cells")), ignorenulls=True).alias("left"),
         F.first(F.when(F.col("seg") == F.col("b"), F.col("cells")), ignorenulls=True).alias("right"),
@@ -166,8 +167,7 @@ def item_similarity(
         F.struct(F.col("item_i"), F.col("item_j"), F.col("sim")),
         F.struct(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), F.col("sim")),
     )))
-    ranked = both.withColumn("rank", F.row_number().over(best_first(["item_i"], "sim", "item_j")) - 1)
-    return ranked.filter(F.col("rank") < neighbours)
+    return best_first(both, ["item_i"], neighbours, "sim", "item_j")
 
 
 def item_knn(
@@ -193,10 +193,7 @@ def item_knn(
         .agg(F.sum(F.col("r") * F.col("sim")).alias("score"))
         .filter(score_key(F.col("score")) > 0)
     )
-    ranked = (
-        scored.withColumn("rank", F.row_number().over(best_first(["customer_id"])) - 1)
-        .filter(F.col("rank") < k).select("customer_id", "item_id", "rank", "score")
-    )
+    ranked = best_first(scored, ["customer_id"], k).select("customer_id", "item_id", "rank", "score")
     slate = popularity_slate(item_popularity(pairs, items), k)
     unserved = (
         asked.join(ranked.select("customer_id").distinct(), "customer_id", "left_anti")
@@ -245,5 +242,4 @@ def rrf_blend(lists: list[tuple[DataFrame, float]], k: int, k_rrf: float = RRF_K
     for part in parts[1:]:
         pooled = pooled.unionByName(part)
     fused = pooled.groupBy("customer_id", "item_id").agg(F.sum("s").alias("score"))
-    ranked = fused.withColumn("rank", F.row_number().over(best_first(["customer_id"])) - 1)
-    return ranked.filter(F.col("rank") < k).select("customer_id", "item_id", "rank", "score")
+    return best_first(fused, ["customer_id"], k).select("customer_id", "item_id", "rank", "score")

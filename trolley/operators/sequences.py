@@ -37,13 +37,15 @@ def causal_sequences(
     order = list(order)
     chunk = ["customer_id", "day", "block"]
     # everything below that works on rows is partitioned by chunk, by this one shuffle
+    bought = interactions.filter(is_purchase())
     rows = (
-        interactions.filter(is_purchase())
-        .join(items.select("item_id", "price"), "item_id", "left")
+        bought.join(items.select("item_id", "price"), "item_id", "left")
         .select(
             *chunk[:2], (F.col(order[0]) / seq_block).cast("long").alias("block"), *order, "item_id",
             F.coalesce("price", F.lit(0.0)).alias("price"),
         )
+        # stated for both uses below, so that they share the shuffle
+        .filter(F.col("customer_id").isNotNull() & F.col("day").isNotNull() & F.col("block").isNotNull())
         .repartition(*chunk)
     )
 
@@ -51,8 +53,7 @@ def causal_sequences(
     # that repeats without bound is no problem. At the row where it happened
     # the number of distinct items grows by one.
     firsts = (
-        interactions.filter(is_purchase())
-        .groupBy("customer_id", "item_id").agg(F.min(F.struct("day", *order)).alias("at"))
+        bought.groupBy("customer_id", "item_id").agg(F.min(F.struct("day", *order)).alias("at"))
         .select("customer_id", "item_id", "at.*")
         .select(
             *chunk[:2], (F.col(order[0]) / seq_block).cast("long").alias("block"), *order, "item_id",
@@ -91,6 +92,8 @@ def causal_sequences(
         F.lag("day").over(along).alias("_prev_day"),
         F.min("day").over(prior).alias("_first_day"),
         F.flatten(F.collect_list("_tail").over(along.rowsBetween(-history_len, -1))).alias("_before"),
+    ).withColumn(
+        "_before", F.slice("_before", F.greatest(F.size("_before") - history_len + 1, F.lit(1)), F.lit(history_len))
     )
 
     t = F.col("_n0") + F.col("_rn") - 1

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.expressions import best_first, unit
@@ -26,9 +26,9 @@ NLIST, NPROBE, MIN_PER_CELL = 256, 16, 39
 QUERY_BLOCK, ITEM_BLOCK = 1024, 4096
 
 
-def _blocks(df: DataFrame, key: str, size: int, name: str) -> DataFrame:
-    """Number of blocks per cell, so that a block holds about ``size`` rows."""
-    return df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / size).cast("long").alias(name))
+def _n_blocks(n: Column, size: int) -> Column:
+    """Number of blocks that leaves about ``size`` rows in each."""
+    return F.ceil(n / F.lit(size)).cast("long")
 
 
 def _block_product(k: int):
@@ -70,36 +70,43 @@ def block_topk(
     """Top-k items per query by inner product: (query_id, item_id, rank, score), rank 0-based.
 
     ``queries`` has (query_id, vector[, cell]) and may list a query under
-    several cells; ``items`` has (item_id, vector[, cell]).
+    several cells; ``items`` has (item_id, vector[, cell]). Both are read
+    twice, once for their size, so pass tables rather than long computations.
     """
-    key = cell or "_cell"
-    own_key = F.col(cell) if cell else F.lit(0)
     # fresh aliases keep the sides apart when both come from one table
+    own = [F.col(cell).alias("_cell")] if cell else []
     queries = queries.select(
-        own_key.alias(key), F.col("query_id").cast("long").alias("query_id"), F.col("vector").alias("vector")
+        *own, F.col("query_id").cast("long").alias("query_id"), F.col("vector").alias("vector")
     )
-    items = items.select(
-        own_key.alias(key), F.col("item_id").cast("long").alias("item_id"), F.col("vector").alias("vector")
-    )
-    # one row per cell: at most nlist rows
-    sizes = _blocks(queries, key, query_block, "_nq").join(_blocks(items, key, item_block, "_ni"), key)
-
-    def spread(df: DataFrame, own: str, id_col: str, n_own: str, other: str, n_other: str) -> DataFrame:
+    items = items.select(*own, F.col("item_id").cast("long").alias("item_id"), F.col("vector").alias("vector"))
+    n_rows = F.count(F.lit(1))
+    if cell:
+        # one row per cell, i.e. at most nlist rows
+        sizes = queries.groupBy("_cell").agg(_n_blocks(n_rows, query_block).alias("_nq")).join(
+            items.groupBy("_cell").agg(_n_blocks(n_rows, item_block).alias("_ni")), "_cell"
+        )
+        queries, items = queries.join(sizes, "_cell"), items.join(sizes, "_cell")
+    else:
+        nq = queries.agg(_n_blocks(n_rows, query_block)).scalar()
+        ni = items.agg(_n_blocks(n_rows, item_block)).scalar()
+        queries, items = (df.withColumns({"_nq": nq, "_ni": ni}) for df in (queries, items))
+
+    def spread(df: DataFrame, mine: str, id_col: str, n_mine: str, other: str, n_other: str) -> DataFrame:
+        """Each row once per block of the other side; its own block is a hash of its id."""
         return (
-            df.join(sizes, key)
-            .withColumn(own, F.pmod(F.xxhash64(id_col), F.col(n_own)))
+            df.filter((F.col("_nq") > 0) & (F.col("_ni") > 0))
+            .withColumn(mine, F.pmod(F.xxhash64(id_col), F.col(n_mine)))
             .withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n_other) - 1)))
             .drop("_nq", "_ni")
         )
 
     left = spread(queries, "_q", "query_id", "_nq", "_i", "_ni")
     right = spread(items, "_i", "item_id", "_ni", "_q", "_nq")
-    group = [key, "_q", "_i"]
+    group = [*(["_cell"] if cell else []), "_q", "_i"]
     best = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInPandas(
         _block_product(k), "query_id long, item_id long, score double"
     )
-    ranked = best.withColumn("rank", F.row_number().over(best_first(["query_id"])) - 1)
-    return ranked.filter(F.col("rank") < k).select("query_id", "item_id", "rank", "score")
+    return best_first(best, ["query_id"], k).select("query_id", "item_id", "rank", "score")
 
 
 def pooled_user_vectors(
@@ -141,9 +148,8 @@ def item_neighbours(vectors: DataFrame, k: int, of: DataFrame | None = None) ->
     """Top-k items by inner product per item, the item itself excluded."""
     asked = vectors if of is None else vectors.join(of.select("item_id").distinct(), "item_id", "left_semi")
     found = block_topk(asked.select(F.col("item_id").alias("query_id"), "vector"), vectors, k + 1)
-    others = found.filter(F.col("query_id") != F.col("item_id"))
-    ranked = others.withColumn("rank", F.row_number().over(best_first(["query_id"])) - 1)
-    return ranked.filter(F.col("rank") < k).select(
+    others = found.filter(F.col("query_id") != F.col("item_id")).drop("rank")
+    return best_first(others, ["query_id"], k).select(
         F.col("query_id").cast("int").alias("item_id"),
         F.col("item_id").cast("int").alias("neighbour_id"), "rank", "score",
     )

@@ -40,17 +40,23 @@ def product_documents(spark, d):
     return _docs(Setting(spark, d))
 
 
+def _corpus(spark, d):
+    docs = tables.table(spark, d, "documents").select("doc_id", "text")
+    return stage(documents.term_counts(docs, "doc_id", "text"), "index"), documents.corpus_size(docs)
+
+
 def tfidf_weights(spark, d):
-    return rounded(documents.tfidf_weights(tables.table(spark, d, "documents").select("doc_id", "text")))
+    return rounded(documents.tfidf_weights(*_corpus(spark, d)))
 
 
 def tfidf_search(spark, d):
-    corpus = tables.table(spark, d, "documents").select("doc_id", "text")
-    return rounded(documents.tfidf_search(corpus, _asks(spark, PHRASES), 10))
+    return rounded(documents.tfidf_search(*_corpus(spark, d), _asks(spark, PHRASES), 10))
 
 
 def qa_context(spark, d):
-    return joined_text(documents.qa_context(_docs(Setting(spark, d)), _asks(spark, QUESTIONS), 4), "allowed_ids")
+    docs = stage(_docs(Setting(spark, d)), "docs")
+    counts = stage(documents.term_counts(docs, "item_id", "text"), "index")
+    return joined_text(documents.qa_context(docs, counts, _asks(spark, QUESTIONS), 4), "allowed_ids")
 
 
 def _contexts(s: Setting) -> DataFrame:

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # a join on (customer, x) may reuse a partitioning on customer alone
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # hash instead of sort-merge where the measured partitions are small enough
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
