@@ -74,8 +74,7 @@ def repeat_backfill(
     packed = customers.select("customer_id").join(own, "customer_id", "left").select(
         "customer_id", F.coalesce("own", empty).alias("own"), slate.alias("popular")
     )
-    own_ids = F.transform("own", lambda s: s["item_id"])
-    extra = F.filter("popular", lambda s: ~F.array_contains(F.col("own_ids"), s["item_id"]))
+    extra = F.filter("popular", lambda s: ~F.array_contains(F.col("own.item_id"), s["item_id"]))
     filler = F.transform(
         F.slice(F.col("extra"), F.lit(1), F.lit(k) - F.size("own")),
         lambda s, i: F.struct(
@@ -83,7 +82,7 @@ def repeat_backfill(
         ),
     )
     return (
-        packed.withColumn("own_ids", own_ids).withColumn("extra", extra)
+        packed.withColumn("extra", extra)
         .select("customer_id", F.inline(F.concat("own", filler)))
         .select("customer_id", "item_id", "rank", "score")
     )
@@ -167,7 +166,8 @@ def item_similarity(
         F.struct(F.col("item_i"), F.col("item_j"), F.col("sim")),
         F.struct(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), F.col("sim")),
     )))
-    return best_first(both, ["item_i"], neighbours, "sim", "item_j")
+    # an item has fewer neighbours than the catalog has items, spread evenly over the tasks
+    return best_first(both, ["item_i"], neighbours, "sim", "item_j", map_side=False)
 
 
 def item_knn(
