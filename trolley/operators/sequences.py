@@ -61,11 +61,13 @@ def causal_sequences(
         )
         .repartition(*chunk)
     )
+    inside = Window.partitionBy(*chunk).orderBy(*order, "item_id")
+    place = F.struct(*order, "item_id")
+    # of rows that agree in order and item, only the first brings something new
     keyed = rows.join(firsts, [*chunk, *order, "item_id"], "left").withColumn(
-        "is_new", F.coalesce("is_new", F.lit(0))
+        "is_new", F.when(F.lag(place).over(inside) == place, 0).otherwise(F.coalesce("is_new", F.lit(0)))
     )
 
-    inside = Window.partitionBy(*chunk).orderBy(*order, "item_id")
     upto = inside.rowsBetween(Window.unboundedPreceding, -1)
     local = keyed.select(
         *chunk, "item_id", "price", "is_new",

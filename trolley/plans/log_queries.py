@@ -120,6 +120,7 @@ def price_buckets(spark, d):
 
 
 def _sequences_sql(train: str, order: str) -> str:
+    order += ", uid"  # rows may agree in all the rest
     window = f"PARTITION BY customer_id ORDER BY day, {order}"
     return f"""
 SELECT customer_id, item_id AS target, day,
@@ -135,7 +136,7 @@ FROM (
   FROM (
     SELECT e.*, coalesce(price, 0) AS price, (SELECT CAST(count(*) AS INTEGER) FROM cat) AS n_items,
       CASE WHEN row_number() OVER (PARTITION BY customer_id, e.item_id ORDER BY day, {order}) = 1 THEN 1 ELSE 0 END AS is_new
-    FROM {train} e LEFT JOIN cat ON cat.item_id = e.item_id WHERE event_type = 2)
+    FROM (SELECT *, row_number() OVER () AS uid FROM {train}) e LEFT JOIN cat ON cat.item_id = e.item_id WHERE event_type = 2)
   WINDOW w AS ({window}))
 WHERE t >= 1"""
 
