@@ -23,16 +23,16 @@ def order_statistics(
     to an SQL expression over ``n``, the number of non-null values of the
     group, e.g. ``{"p50": (0.5, "n div 2")}``.
     """
-    g = groups or ["_all"]
-    src = df.filter(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
-    if not groups:
-        src = src.withColumn("_all", F.lit(0))
+    g = groups
+    src = df.filter(F.col(value).isNotNull()).select(*g, F.col(value).alias("_v"))
     near = sorted({
         min(max(p + side, 0.0), 1.0) for p, _ in ranks.values() for side in (-BRACKET, BRACKET)
     })
     cuts = src.groupBy(*g).agg(F.percentile_approx("_v", near, ACCURACY).alias("_cuts"))
     hist = src.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    binned = hist.join(cuts, g).select(
+    # without groups the cuts are one value for all rows, not the side of a join
+    cut = hist.join(cuts, g) if g else hist.withColumn("_cuts", cuts.scalar())
+    binned = cut.select(
         *g, "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_b")
     )
     # at most one row per cut from here on
@@ -65,7 +65,7 @@ def order_statistics(
     out = hit.groupBy(*g, "n").agg(*[
         F.max(F.when(F.col("_w.name") == name, F.col("_v"))).alias(name) for name in ranks
     ])
-    return out if groups else out.drop("_all")
+    return out
 
 
 def exact_percentiles(

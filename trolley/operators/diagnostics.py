@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.functions.expressions import EVENT_CART, EVENT_VIEW, best_first, is_purchase
+from trolley.functions.expressions import best_first, is_purchase
 from trolley.operators.features import SOURCES
 
 K = 20
@@ -14,23 +14,17 @@ DEPTH_EDGES = (0, 5, 15, 30, 60, 10_000)
 DEPTH_NAMES = ("1-5", "6-15", "16-30", "31-60", "60+")
 
 
-def event_profile(interactions: DataFrame, items: DataFrame, top: int = 100) -> DataFrame:
+def event_profile(pairs: DataFrame, items: DataFrame, top: int = 100) -> DataFrame:
     """Counts by type, distinct customers and items, revenue, repeat share and top-item share.
 
-    One aggregate per (customer, item) carries everything; the distinct counts
-    are counts over its own further aggregates.
+    ``pairs`` is the pair aggregate of the whole log; the distinct counts are
+    counts over its rows.
     """
-    pairs = interactions.groupBy("customer_id", "item_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("event_type") == EVENT_VIEW).alias("views"),
-        F.count_if(F.col("event_type") == EVENT_CART).alias("carts"),
-        F.count_if(is_purchase()).alias("purchases"),
-        F.sum(F.when(is_purchase(), F.col("quantity"))).alias("units"),
-    )
     per_item = (
         pairs.groupBy("item_id").agg(
-            *[F.sum(c).alias(c) for c in ("n", "views", "carts", "purchases", "units")],
-            F.count_if(F.col("purchases") > 0).alias("bought_pairs"),
+            F.sum("n_events").alias("n"), F.sum("n_view").alias("views"), F.sum("n_cart").alias("carts"),
+            F.sum("n_purchase").alias("purchases"), F.sum("units").alias("units"),
+            F.count_if(F.col("n_purchase") > 0).alias("bought_pairs"),
         )
         .join(items.select("item_id", "price"), "item_id", "left")
     )

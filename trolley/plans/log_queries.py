@@ -8,7 +8,7 @@ from trolley.operators import diagnostics, joins, metrics, sequences, split
 from trolley.plans.common import joined_text, rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import OrdersSetting, Setting
-from trolley.session import shared_dir
+from trolley.session import shared_dir, stage
 from trolley.sources import sinks, tables
 
 SEQ_COLS = ("log_n_prior", "days_since_last", "log_mean_price", "log_days_active", "distinct_ratio")
@@ -41,7 +41,8 @@ def event_revenue(spark, d):
 
 def event_profile(spark, d):
     s = Setting(spark, d)
-    return rounded(diagnostics.event_profile(s.log(), s.items))
+    last_day = s.valid_end + split.TEST_DAYS
+    return rounded(diagnostics.event_profile(stage(s.pairs(last_day), "pairs"), s.items))
 
 
 def purchases_only(spark, d):
