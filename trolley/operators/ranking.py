@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from trolley.functions.expressions import best_first
 from trolley.operators.features import FEATURE_COLUMNS, SOURCES
 from trolley.operators.split import customer_holdout
+from trolley.session import use_checkpoints
 
 MISSING = -1.0
 TREES, DEPTH, LEARNING_RATE, HOLDOUT_PERCENT = 400, 6, 0.05, 15
@@ -51,6 +52,7 @@ def train_ranker(
     features = features or [c for c in FEATURE_COLUMNS if c in labelled.columns]
     held = customer_holdout(labelled, holdout_percent, seed)
     data = _assembled(held, features).select("features", F.col("label").cast("double").alias("label"), "is_holdout")
+    use_checkpoints(labelled.sparkSession)
     return GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=learning_rate,
         subsamplingRate=0.85, featureSubsetStrategy="0.85", validationIndicatorCol="is_holdout",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from trolley.functions.expressions import best_first, score_key
 from trolley.operators.pairs import HALF_LIFE, POPULARITY_HALF_LIFE, bought_pairs, reanchored
 from trolley.operators.vectors import block_topk
+from trolley.session import use_checkpoints
 
 NEIGHBOURS, SHRINKAGE = 200, 25.0
 RRF_K = 60.0
@@ -211,6 +212,7 @@ def als_topk(
 ) -> DataFrame:
     """Implicit matrix factorization; scoring runs over the learned factors as blocked products."""
     matrix = interaction_matrix(pairs, half_life)
+    use_checkpoints(pairs.sparkSession)
     model = ALS(
         rank=factors, regParam=regularization, alpha=alpha, maxIter=iterations, implicitPrefs=True, seed=seed,
         userCol="customer_id", itemCol="item_id", ratingCol="r", coldStartStrategy="drop",

@@ -94,8 +94,9 @@ def feature_backfill(spark, d):
     """Two days written, the second one again: every day is there exactly once."""
     s = Setting(spark, d)
     path = f"{shared_dir(spark)}/features-{uuid.uuid4().hex}"
-    for day in (s.train_end, s.valid_end, s.valid_end):
-        sinks.write_features(s.feature_frame(day, s.asked).select(*FRAME, "as_of_day"), path)
+    first, second = (s.feature_frame(day, s.asked).select(*FRAME, "as_of_day") for day in s.days)
+    for frame in (first, second, second):
+        sinks.write_features(frame, path)
     return rounded(spark.read.parquet(path).select(*FRAME, "as_of_day"))
 
 
@@ -138,5 +139,8 @@ FROM (SELECT customer_id, count(*) AS n_truth FROM truth GROUP BY 1) a FULL JOIN
     "feature_null_profile": (feature_null_profile, build(" UNION ALL ".join(
         f"SELECT '{c}' AS feature, avg(CASE WHEN \"{c}\" IS NULL THEN 1.0 ELSE 0.0 END) AS null_share FROM ff"
         for c in features.FEATURE_COLUMNS), past="hist", digits=("null_share",))),
-    "feature_backfill": (feature_backfill, None),
+    "feature_backfill": (feature_backfill, "SELECT * FROM ({}) UNION ALL SELECT * FROM ({})".format(
+        build(f"SELECT {_FRAME_SQL}, as_of_day FROM ff", past="train", aod="SELECT train_end AS d FROM lim",
+              digits=FRAME_DOUBLES),
+        build(f"SELECT {_FRAME_SQL}, as_of_day FROM ff", past="hist", digits=FRAME_DOUBLES))),
 }

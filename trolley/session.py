@@ -23,6 +23,9 @@ RUNTIME_CONF = {
 }
 
 
+LOCAL_DIR_KEY = "trolley.local.shared.dir"
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
@@ -59,16 +62,22 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local-mode session may run without that setting; it then gets a
     folder of its own, remembered in the session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_DIR_KEY, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="trolley-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(LOCAL_DIR_KEY, folder)
     return folder
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Let iterative fits cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
