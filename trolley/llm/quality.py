@@ -41,8 +41,8 @@ class Rules:
     max_repeat_percent: int = 50
     class_limit: float = 0.15
     class_scatter: float = 1.5
-    word_limit: float = 0.40
-    word_scatter: float = 1.0
+    word_limit: float = 0.35
+    word_scatter: float = 0.9
     common_words: int = 64
     min_texts: int = 20
     max_languages: int = 256

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trolley.llm import quality
+from trolley.llm import quality, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -12,6 +13,51 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = sharding.shard_by_curve(docs, ["lang", "source", "n_chars"], 24)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+#: Verdict, host and path of the rules that ``op9_url_filter`` applies.
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP9_SQL = r"""
+WITH parts AS (
+    SELECT page_id, CASE WHEN strpos(coalesce(url, ''), '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+    FROM pages
+), split AS (
+    SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS h,
+           regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+    FROM parts
+), named AS (
+    SELECT page_id, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM split
+), rules(verdict, rhost, rpath) AS (
+    VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), fits AS (
+    SELECT page_id, host, path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+           arg_max(verdict, length(rhost || rpath)) AS verdict
+    FROM named LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+    GROUP BY page_id, host, path
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fits
+"""
+
+
 QUERIES = {
+    "op8_hilbert_shards": (op8_hilbert_shards, None),
+    "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_quality_rules": (op10_quality_rules, None),
 }
