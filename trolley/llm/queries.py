@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import quality, sharding, url_filter
+from trolley.llm import conversations, packing, quality, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -13,6 +14,37 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.rendered(table(spark, sf_dir, "conversations"))
+
+
+OP4_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place,
+           count(*) OVER (PARTITION BY conv_id) AS n
+    FROM conversations
+), prefixes AS (
+    SELECT conv_id, place, n, role, text,
+           string_agg(md5(role) || md5(text), '' ) OVER (PARTITION BY conv_id ORDER BY place) AS prefix
+    FROM turns
+), ends AS (
+    SELECT min(conv_id) AS conv_id, prefix FROM prefixes WHERE place = n GROUP BY prefix
+), kept AS (
+    SELECT conv_id FROM ends WHERE prefix NOT IN (SELECT prefix FROM prefixes WHERE place < n)
+)
+SELECT p.conv_id, CAST((place - 1) // 64 AS INTEGER) AS part, count(*) AS n_turns,
+       string_agg('<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY place) AS text
+FROM prefixes p JOIN kept k ON p.conv_id = k.conv_id
+GROUP BY p.conv_id, CAST((place - 1) // 64 AS INTEGER)
+"""
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096)
+
+
 def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = sharding.shard_by_curve(docs, ["lang", "source", "n_chars"], 24)
@@ -57,6 +89,8 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 
 
 QUERIES = {
+    "op4_snapshot_collapse": (op4_snapshot_collapse, OP4_SQL),
+    "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_hilbert_shards": (op8_hilbert_shards, None),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_quality_rules": (op10_quality_rules, None),
