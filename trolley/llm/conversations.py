@@ -31,18 +31,19 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = numbered(rows.withColumn("h", F.xxhash64("role", "text")), ["conv_id", "turn", "role", "h", "text"], "turns").drop("h")
     bounds = rows.groupBy("conv_id").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n_turns"))
-    rows = rows.join(bounds, rows["conv_id"].eqNullSafe(bounds["conv_id"])).drop(bounds["conv_id"])
+    bounds = bounds.withColumnRenamed("conv_id", "id")
+    rows = rows.join(bounds, F.col("conv_id").eqNullSafe(F.col("id"))).drop("id")
     rows = rows.withColumn("place", F.col("at") - F.col("first") + 1).drop("at", "first")
     rows = rows.withColumns({
         "a": F.xxhash64(F.lit(1), "place", "role", "text"), "b": F.xxhash64(F.lit(2), "place", "role", "text"),
         "chunk": F.expr(f"(place - 1) div {CHUNK}")})
     totals = rows.groupBy("conv_id", "chunk").agg(F.bit_xor("a").alias("ca"), F.bit_xor("b").alias("cb"))
     before = Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("conv_id", "chunk", *(F.coalesce(F.bit_xor(c).over(before), F.lit(0)).alias(c) for c in ("ca", "cb")))
+    totals = totals.select(F.col("conv_id").alias("id"), F.col("chunk").alias("own"), *(F.coalesce(F.bit_xor(c).over(before), F.lit(0)).alias(c) for c in ("ca", "cb")))
     own = Window.partitionBy("conv_id", "chunk").orderBy("place")
     rows = rows.withColumns({c: F.bit_xor(c).over(own) for c in ("a", "b")})
-    rows = rows.join(totals, rows["conv_id"].eqNullSafe(totals["conv_id"]) & (rows["chunk"] == totals["chunk"]))
-    return rows.select(rows["conv_id"], "place", "n_turns", F.col("a").bitwiseXOR(F.col("ca")).alias("a"),
+    rows = rows.join(totals, F.col("conv_id").eqNullSafe(F.col("id")) & (F.col("chunk") == F.col("own")))
+    return rows.select("conv_id", "place", "n_turns", F.col("a").bitwiseXOR(F.col("ca")).alias("a"),
                        F.col("b").bitwiseXOR(F.col("cb")).alias("b"), "role", "text")
 
 

@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +32,8 @@ SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "other_letter", "digit", "space", "punctuation", "symbol", "inside")
 BILLION = 1_000_000_000
 FLUSH = 400_000
+#: What a row of the reference statistics is about.
+TEXTS, CLASS, WORD = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -152,69 +155,76 @@ def verdict(text: bytes, lang: str | None, refs: References, rules: Rules) -> tu
 
 
 def _distinct_texts(docs: DataFrame) -> DataFrame:
-    """One row (lang, text) per distinct text and language, found by hash: only hashes and ids meet in a shuffle
-    before the rows that stay are picked."""
+    """One row (lang, packed) per distinct text and language with the text compressed. Hashes and ids find the first copies;
+    then compressed texts meet the ids of those."""
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("lang"),
+                 pa.array([squeeze(t) for t in batch.column("text").to_pylist()], pa.binary())], ["id", "lang", "packed"])
+
     rows = docs.select(
         F.col("doc_id").cast("string").alias("id"), F.col("lang").cast("string").alias("lang"), raw("text").alias("text"))
     key = rows.select("id", F.xxhash64("lang", "text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"))
     first = key.groupBy("h", "g").agg(F.min("id").alias("id")).select("id")
-    return rows.join(first, "id", "left_semi")
+    return (rows.where("lang is not null").mapInArrow(packed, "id string, lang string, packed binary")
+            .join(first, "id", "left_semi").drop("id"))
 
 
 def fit_references(docs: DataFrame, rules: Rules = Rules()) -> References:
-    """Reference histograms over all distinct texts that pass the base rules."""
+    """Reference histograms over all distinct texts that pass the base rules; common words are those with the largest mean share."""
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, int, bytes], list[int]] = {}
+        unpack = zstandard.ZstdDecompressor().decompress
+        found: dict[tuple[str, int, bytes], int] = {}
 
         def flush() -> pa.RecordBatch:
             keys = list(found)
             out = pa.RecordBatch.from_arrays([
                 pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                pa.array([k[2] for k in keys], pa.binary()), pa.array([v[0] for v in found.values()], pa.int64()),
-                pa.array([v[1] for v in found.values()], pa.int64())], ["lang", "kind", "item", "texts", "share"])
+                pa.array([k[2] for k in keys], pa.binary()), pa.array(list(found.values()), pa.int64())],
+                ["lang", "kind", "item", "share"])
             found.clear()
             return out
 
-        def add(key: tuple[str, int, bytes], share: float) -> None:
-            old = found.setdefault(key, [0, 0])
-            old[0] += 1
-            old[1] += round(share * BILLION)
+        def add(lang: str, kind: int, item: bytes, share: float) -> None:
+            key = (lang, kind, item)
+            found[key] = found.get(key, 0) + round(share * BILLION)
 
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                if lang is None:
-                    continue
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("packed").to_pylist()):
+                text = unpack(text)
                 counts = base_counts(text)
                 if base_failed(counts[0], counts[4], rules):
                     continue
-                add((lang, 0, b""), 0.0)
+                add(lang, TEXTS, b"", 1.0)
                 for i, x in enumerate(class_histogram(text)):
-                    add((lang, 1, bytes([i])), float(x))
+                    add(lang, CLASS, bytes([i]), float(x))
                 for w, n in Counter(text.lower().split()).items():
-                    add((lang, 2, w), n / counts[0])
+                    add(lang, WORD, w, n / counts[0])
                 if len(found) > FLUSH:
                     yield flush()
         yield flush()
 
-    rows = (_distinct_texts(docs).mapInArrow(shares, "lang string, kind int, item binary, texts bigint, share bigint")
-            .groupBy("lang", "kind", "item").agg(F.sum("texts").alias("texts"), F.sum("share").alias("share")))
-    order = Window.partitionBy("lang", "kind").orderBy(F.desc("texts"), "item")
+    rows = (_distinct_texts(docs).mapInArrow(shares, "lang string, kind int, item binary, share bigint")
+            .groupBy("lang", "kind", "item").agg(F.sum("share").alias("share")))
+    order = Window.partitionBy("lang", "kind").orderBy(F.desc("share"), "item")
     top = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max(rules.common_words, len(CLASSES)))
     by: dict[str, list] = {}
     for r in top.collect():
         by.setdefault(r["lang"], []).append(r)
-    texts = {x: next(r["texts"] for r in rs if r["kind"] == 0) for x, rs in by.items()}
-    chosen = sorted((x for x in texts if texts[x] >= rules.min_texts), key=lambda x: (-texts[x], x))[: rules.max_languages]
+    total = {x: sum(r["share"] for r in rs if r["kind"] == TEXTS) for x, rs in by.items()}
+    chosen = sorted((x for x in total if total[x] >= rules.min_texts * BILLION), key=lambda x: (-total[x], x))
     refs = References()
-    for x in chosen:
-        total = texts[x] * BILLION
+    for x in chosen[: rules.max_languages]:
         classes = np.zeros(len(CLASSES) - 1)
         for r in by[x]:
-            if r["kind"] == 1:
-                classes[r["item"][0]] = r["share"] / total
-        words = sorted((r for r in by[x] if r["kind"] == 2 and r["r"] <= rules.common_words), key=lambda r: r["r"])
-        share = np.array([r["share"] / total for r in words])
+            if r["kind"] == CLASS:
+                classes[r["item"][0]] = r["share"] / total[x]
+        words = sorted((r for r in by[x] if r["kind"] == WORD and r["r"] <= rules.common_words), key=lambda r: r["r"])
+        share = np.array([r["share"] / total[x] for r in words])
         refs.classes[x], refs.words[x] = classes / classes.sum(), [bytes(r["item"]) for r in words]
         refs.shares[x] = np.append(share, max(1 - share.sum(), 0.0))
     return refs
