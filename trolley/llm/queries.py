@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import conversations, packing, quality, sharding, url_filter
+from trolley.llm import byte_bpe, conversations, packing, quality, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -40,6 +40,12 @@ GROUP BY p.conv_id, CAST((place - 1) // 64 AS INTEGER)
 """
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    rows = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 4096)
@@ -89,6 +95,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 
 
 QUERIES = {
+    "op6_byte_bpe": (op6_byte_bpe, None),
     "op4_snapshot_collapse": (op4_snapshot_collapse, OP4_SQL),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_hilbert_shards": (op8_hilbert_shards, None),
