@@ -30,8 +30,8 @@ from trolley.llm.common import raw
 BUCKETS = 16384
 #: No such pair; larger than every rank.
 NONE = 2**31 - 1
-BUNDLE_DISTINCT = 500_000
-BUNDLE_WORDS = 8_000_000
+BUNDLE_DISTINCT = 200_000
+BUNDLE_WORDS = 4_000_000
 LATIN = "iso-8859-1"
 
 
