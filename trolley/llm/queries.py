@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import byte_bpe, conversations, packing, quality, sharding, url_filter
+from trolley.llm import byte_bpe, conversations, minhash, packing, quality, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op1_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.rendered(table(spark, sf_dir, "conversations"))
 
@@ -95,6 +99,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 
 
 QUERIES = {
+    "op1_odd_sketch_dedup": (op1_odd_sketch_dedup, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op4_snapshot_collapse": (op4_snapshot_collapse, OP4_SQL),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
