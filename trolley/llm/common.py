@@ -83,3 +83,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= MIX[1]
     x ^= x >> np.uint64(31)
     return x
+
+
+def packed(docs: DataFrame, *columns: Column, text: Column | None = None) -> DataFrame:
+    """``columns`` and the UTF-8 bytes of the text, compressed (column ``packed``), for texts that must cross a shuffle."""
+    import pyarrow as pa
+
+    rows = docs.select(*columns, (raw("text") if text is None else text).alias("packed"))
+
+    def squeeze(batches):
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            small = pa.array([press(t) for t in batch.column("packed").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], small], schema=batch.schema)
+
+    return rows.mapInArrow(squeeze, rows.schema)
+
+
+def unpacked(values: Iterable[bytes]) -> list[bytes]:
+    import zstandard
+
+    open_up = zstandard.ZstdDecompressor().decompress
+    return [open_up(v) for v in values]

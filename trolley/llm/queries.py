@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import byte_bpe, conversations, minhash, packing, quality, sharding, url_filter
+from trolley.llm import byte_bpe, conversations, minhash, packing, quality, repeats, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -44,6 +44,13 @@ GROUP BY p.conv_id, CAST((place - 1) // 64 AS INTEGER)
 """
 
 
+def op5_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["length"])
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     rows = byte_bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -99,6 +106,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 
 
 QUERIES = {
+    "op5_suffix_repeats": (op5_suffix_repeats, None),
     "op1_odd_sketch_dedup": (op1_odd_sketch_dedup, None),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op4_snapshot_collapse": (op4_snapshot_collapse, OP4_SQL),
