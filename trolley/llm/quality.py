@@ -5,7 +5,7 @@ so between 0 and 1): character classes, and the language's most common words wit
 Short texts scatter more, so both limits widen with 1/sqrt(words), and nothing under ``min_words`` is judged.
 
 The references are means over all distinct texts of a language that pass the base rules: every distinct text
-weighs the same, however often it is copied and however long it is. Sums are kept in whole billionths, so that
+weighs the same, however often it is copied and however long it is. Sums are kept in whole millionths, so that
 they don't depend on the order of rows. At most ``max_languages`` languages (those with most texts) and
 ``common_words`` words each reach the driver.
 
@@ -22,15 +22,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trolley.llm.common import raw
+from trolley.llm.common import packed, raw, unpacked
 
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "other_letter", "digit", "space", "punctuation", "symbol", "inside")
-BILLION = 1_000_000_000
+MILLION = 1_000_000
 FLUSH = 400_000
 #: What a row of the reference statistics is about.
 TEXTS, CLASS, WORD = 0, 1, 2
@@ -158,18 +157,11 @@ def _distinct_texts(docs: DataFrame) -> DataFrame:
     """One row (lang, packed) per distinct text and language with the text compressed. Hashes and ids find the first copies;
     then compressed texts meet the ids of those."""
 
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("lang"),
-                 pa.array([squeeze(t) for t in batch.column("text").to_pylist()], pa.binary())], ["id", "lang", "packed"])
-
     rows = docs.select(
         F.col("doc_id").cast("string").alias("id"), F.col("lang").cast("string").alias("lang"), raw("text").alias("text"))
     key = rows.select("id", F.xxhash64("lang", "text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"))
     first = key.groupBy("h", "g").agg(F.min("id").alias("id")).select("id")
-    return (rows.where("lang is not null").mapInArrow(packed, "id string, lang string, packed binary")
+    return (packed(rows.where("lang is not null"), F.col("id"), F.col("lang"), text=F.col("text"))
             .join(first, "id", "left_semi").drop("id"))
 
 
@@ -177,25 +169,24 @@ def fit_references(docs: DataFrame, rules: Rules = Rules()) -> References:
     """Reference histograms over all distinct texts that pass the base rules; common words are those with the largest mean share."""
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
         found: dict[tuple[str, int, bytes], int] = {}
 
         def flush() -> pa.RecordBatch:
-            keys = list(found)
+            # in order, neighbours share prefixes and compress better in the shuffle
+            keys = sorted(found)
             out = pa.RecordBatch.from_arrays([
                 pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-                pa.array([k[2] for k in keys], pa.binary()), pa.array(list(found.values()), pa.int64())],
+                pa.array([k[2] for k in keys], pa.binary()), pa.array([found[k] for k in keys], pa.int64())],
                 ["lang", "kind", "item", "share"])
             found.clear()
             return out
 
         def add(lang: str, kind: int, item: bytes, share: float) -> None:
             key = (lang, kind, item)
-            found[key] = found.get(key, 0) + round(share * BILLION)
+            found[key] = found.get(key, 0) + round(share * MILLION)
 
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("packed").to_pylist()):
-                text = unpack(text)
+            for lang, text in zip(batch.column("lang").to_pylist(), unpacked(batch.column("packed").to_pylist())):
                 counts = base_counts(text)
                 if base_failed(counts[0], counts[4], rules):
                     continue
@@ -216,7 +207,7 @@ def fit_references(docs: DataFrame, rules: Rules = Rules()) -> References:
     for r in top.collect():
         by.setdefault(r["lang"], []).append(r)
     total = {x: sum(r["share"] for r in rs if r["kind"] == TEXTS) for x, rs in by.items()}
-    chosen = sorted((x for x in total if total[x] >= rules.min_texts * BILLION), key=lambda x: (-total[x], x))
+    chosen = sorted((x for x in total if total[x] >= rules.min_texts * MILLION), key=lambda x: (-total[x], x))
     refs = References()
     for x in chosen[: rules.max_languages]:
         classes = np.zeros(len(CLASSES) - 1)
