@@ -16,7 +16,10 @@ cut, into full pieces and a rest. Repeated rows and null ids are packed like any
 
 from __future__ import annotations
 
+import functools
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,18 +30,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.llm.common import crc32_number, numbered, raw
+from trolley.session import stage
 
 END_ID = 1
-WORD_CACHE = 300_000
+WORD_CACHE = 400_000
 FLUSH_BYTES = 16 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
 
+#: Strings that may hold a special token; such words go through the whole tokenizer.
+SPECIAL = b"<|"
+
+
 class WordTokenizer:
     """Little-endian 32-bit ids of whole texts, for a tokenizer that drops white space and never looks across it.
 
     A text is cut at ASCII white space only, all of which the tokenizer drops; every distinct word is encoded
-    once while it stays in a bounded cache.
+    once while it stays in a bounded cache. ASCII words are lower-cased and cut by the tokenizer's own pattern here and
+    only merged by its model; all others go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -46,26 +55,57 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        with open(path) as file:
+            steps = json.load(file)["pre_tokenizer"]["pretokenizers"]
+        pattern = next(x["pattern"]["Regex"] for x in steps if x["type"] == "Split")
+        self.parts = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
         self.cache: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _ascii(self, word: str) -> bytes:
+        found = []
+        for part in self.parts(word.lower()):
+            ids = self.pieces.get(part)
+            if ids is None:
+                ids = self.pieces[part] = np.array([t.id for t in self.merge(part)], "<u4").tobytes()
+            found.append(ids)
+        return found[0] if len(found) == 1 else b"".join(found)
+
+    def _learn(self, words: list[bytes]) -> None:
+        if len(self.pieces) > WORD_CACHE:
+            self.pieces.clear()
+        others = []
+        for w in words:
+            if w.isascii() and SPECIAL not in w and b"\x7f" not in w and min(w) > 32:
+                self.cache[w] = self._ascii(w.decode())
+            else:
+                others.append(w)
+        for w, e in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
+            self.cache[w] = np.array(e.ids, "<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
         if len(self.cache) > WORD_CACHE:
             self.cache.clear()
+        new = list(set().union(*split).difference(self.cache))
+        if new:
+            self._learn(new)
         cache = self.cache
-        new = list({w for words in split for w in words if w not in cache})
-        for i in range(0, len(new), 20_000):
-            some = new[i: i + 20_000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
-                cache[w] = np.array(e.ids, "<u4").tobytes()
         return [b"".join([cache[w] for w in words]) for words in split]
 
 
+@functools.cache
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker, so that its cache outlives a task."""
+    return WordTokenizer(path)
+
+
 def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, piece, start, length and the ids as little-endian unsigned 32-bit numbers."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = word_tokenizer(tokenizer_path)
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         rows: list[tuple] = []
         held = 0
@@ -196,7 +236,9 @@ def digest(pieces: DataFrame) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = END_ID) -> DataFrame:
     """Place of every piece of every document: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return assign(digest(tokenized(docs, tokenizer_path, capacity, end_id)), capacity, ["doc_id", "piece", "ids_crc32"])
+    # written before the sort, which reads its input twice to find its bounds
+    pieces = stage(digest(tokenized(docs, tokenizer_path, capacity, end_id)), "pieces")
+    return assign(pieces, capacity, ["doc_id", "piece", "ids_crc32"])
 
 
 def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
