@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import byte_bpe, conversations, embedding_forest, minhash, packing, quality, repeats, sharding, url_filter
+from trolley.llm import byte_bpe, conversations, embedding_forest, minhash, packing, quality, recurrent_lm, repeats, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op1_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(table(spark, sf_dir, "documents"))
+
+
 def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -110,6 +114,7 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 
 
 QUERIES = {
+    "op2_recurrent_scores": (op2_recurrent_scores, None),
     "op3_projection_forest": (op3_projection_forest, None),
     "op5_suffix_repeats": (op5_suffix_repeats, None),
     "op1_odd_sketch_dedup": (op1_odd_sketch_dedup, None),
