@@ -311,3 +311,13 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     out = signed.join(final.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """``docs`` with all their columns, one document of each group of near duplicates; of rows with equal id and text one stays.
+
+    Documents without words or without an id stay.
+    """
+    gone = near_duplicates(docs, s).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    left = docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__gone"), "left_anti")
+    return left.dropDuplicates(["doc_id", "text"])

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trolley.llm.common import MIX, mix64, packed, raw, unpacked
 from trolley.llm.components import sorted_groups
@@ -281,8 +282,27 @@ def without_repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     return _cut(rows.select("doc_id", F.col("size").alias("n_bytes"), "found", "packed"))
 
 
-def _cut(rows: DataFrame) -> DataFrame:
-    """Merges the ``found`` spans of each row, takes them out of the packed text and passes the other columns on."""
+def remove_repeats(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """``docs`` with their own columns, ``text`` without what repeats and ``n_chars``, where there is one, to match.
+
+    A character that a span covers in part stays whole. A null text stays null; a document that loses all text stays, empty.
+    """
+    key = keyed(docs)
+    spans = repeated_spans(key, s).groupBy("rid", "size").agg(F.collect_set(F.struct("start", "length")).alias("found"))
+    text = raw("text")
+    rows = packed(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row"), F.col("text").isNull().alias("none"),
+                  F.xxhash64(F.col("doc_id").cast("bigint"), text).alias("rid"), F.octet_length(text).cast("bigint").alias("size"))
+    rows = rows.join(spans, ["rid", "size"], "left").select("row", "none", "found", "packed")
+    new = F.when(~F.col("none"), F.decode("kept", "UTF-8"))
+    columns = {"text": new, "n_chars": F.coalesce(F.length(new), F.lit(0)).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
+    return _cut(rows, True).select(*(columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
+
+
+def _cut(rows: DataFrame, whole: bool = False) -> DataFrame:
+    """Merges the ``found`` spans of each row, takes them out of the packed text and passes the other columns on.
+
+    ``whole`` draws spans in to whole characters.
+    """
     others = [c for c in rows.columns if c not in ("found", "packed")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,6 +317,8 @@ def _cut(rows: DataFrame) -> DataFrame:
                         merged[-1]["length"] = max(merged[-1]["length"], end - merged[-1]["start"])
                     else:
                         merged.append({"start": x["start"], "length": x["length"]})
+                if whole:
+                    merged = [y for y in (_inside(text, x) for x in merged) if y["length"] > 0]
                 parts, at = [], 0
                 for x in merged:
                     parts.append(text[at: x["start"]])
@@ -307,5 +329,14 @@ def _cut(rows: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(spans, span), pa.array(kept, pa.binary())],
                                              [*others, "spans", "kept"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in others)
-    return rows.mapInArrow(cut, f"{kinds}, spans array<struct<start: bigint, length: bigint>>, kept binary")
+    added = StructType.fromDDL("spans array<struct<start: bigint, length: bigint>>, kept binary")
+    return rows.mapInArrow(cut, StructType([rows.schema[c] for c in others] + added.fields))
+
+
+def _inside(text: bytes, span: dict) -> dict:
+    start, end = span["start"], span["start"] + span["length"]
+    while start < end and text[start] & 0xC0 == 0x80:
+        start += 1
+    while end > start and end < len(text) and text[end] & 0xC0 == 0x80:
+        end -= 1
+    return {"start": start, "length": end - start}
