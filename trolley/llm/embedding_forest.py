@@ -1,7 +1,8 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
-Each tree splits the vectors again and again along a random direction at the median of their projections; vectors within a share ``spill`` of the
-rows on either side of the cut go to both sides. Vectors are compared within the leaves of ``trees`` such trees,
+Each tree splits the vectors again and again along a random direction at the median of their projections; vectors near the cut, by ``spill``
+times the length of the difference of two linked unit vectors, go to both sides. A node whose vectors nearly all lie there is
+a dense group and stays a leaf, so no cut runs through it. Vectors are compared within the leaves of ``trees`` such trees,
 by cosine in double precision, if their labels agree. With the defaults a pair at the threshold is missed by all trees with a
 probability of about 1e-5.
 
@@ -34,7 +35,8 @@ from trolley.session import stage
 class Settings:
     cosine: float = 0.93
     trees: int = 8
-    spill: float = 0.075
+    spill: float = 0.55
+    most_shared: float = 0.85
     leaf: int = 2048
     sample: int = 20_000
     #: A node of the sample with fewer vectors is not cut, as its median says little.
@@ -58,8 +60,9 @@ def grow(points: np.ndarray, depth: int, s: Settings, rng: np.random.Generator)
         return None
     direction = rng.standard_normal(points.shape[1])
     at = points @ direction
-    low, high = np.quantile(at, [0.5 - s.spill, 0.5 + s.spill])
-    if not at.min() < low <= high < at.max():
+    width = s.spill * math.sqrt(max(2 - 2 * s.cosine, 0))
+    low, high = np.median(at) - width, np.median(at) + width
+    if max((at < high).mean(), (at >= low).mean()) > s.most_shared:
         return None
     return Node(direction, float(low), float(high), grow(points[at < high], depth - 1, s, rng),
                 grow(points[at >= low], depth - 1, s, rng))
