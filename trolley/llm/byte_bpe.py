@@ -30,8 +30,8 @@ from trolley.llm.common import raw
 BUCKETS = 16384
 #: No such pair; larger than every rank.
 NONE = 2**31 - 1
-BUNDLE_DISTINCT = 200_000
-BUNDLE_WORDS = 4_000_000
+BUNDLE_DISTINCT = 100_000
+BUNDLE_WORDS = 2_000_000
 LATIN = "iso-8859-1"
 
 
@@ -111,6 +111,11 @@ def decode_ids(ids: Column, ranks: RankMap) -> Column:
     return F.array_join(F.transform(ids, ranks.piece), "")
 
 
+def _one_by_one(values: pa.Array) -> Iterator[bytes]:
+    for k in range(0, len(values), 128):
+        yield from values.slice(k, 128).to_pylist()
+
+
 def bundles(docs: DataFrame, pattern: str) -> DataFrame:
     """Texts as places in the list of distinct words of their bundle: doc_ids, places (little-endian 32-bit), words."""
 
@@ -132,7 +137,7 @@ def bundles(docs: DataFrame, pattern: str) -> DataFrame:
             return out
 
         for batch in batches:
-            for name, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+            for name, text in zip(batch.column("doc_id").to_pylist(), _one_by_one(batch.column("text"))):
                 found = [at.setdefault(w, len(at)) for w in cut(text.decode())]
                 names.append(name)
                 places.append(np.array(found, "<u4").tobytes())
