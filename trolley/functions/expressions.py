@@ -37,18 +37,14 @@ def score_key(score: Column) -> Column:
 
 
 def best_first(
-    df: DataFrame, keys: list[str], k: int, score: str = "score", tie: str = "item_id", map_side: bool = True
+    df: DataFrame, keys: list[str], k: int, score: str = "score", tie: str = "item_id"
 ) -> DataFrame:
     """The ``k`` best rows per key, best score first, ties by ascending id, with a 0-based ``rank``.
 
     The filter is on the plain row number, which lets Spark keep k rows per key
-    on the map side already: a hot key never reaches one task whole. Without
-    ``map_side`` that extra sort is left out, for keys whose rows are bounded
-    and mostly fewer than k per task.
+    on the map side already: a hot key never reaches one task whole.
     """
     order = Window.partitionBy(*keys).orderBy(score_key(F.col(score)).desc(), F.col(tie).asc())
-    if not map_side:
-        return df.withColumn("rank", F.row_number().over(order) - 1).filter(F.col("rank") < k)
     numbered = df.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") <= k)
     return numbered.withColumn("rank", F.col("_rn") - 1).drop("_rn")
 

@@ -9,9 +9,8 @@ from trolley.functions.expressions import best_first, is_purchase
 from trolley.operators.features import SOURCES
 
 K = 20
-# History-depth buckets (lower bound exclusive, upper inclusive).
-DEPTH_EDGES = (0, 5, 15, 30, 60, 10_000)
-DEPTH_NAMES = ("1-5", "6-15", "16-30", "31-60", "60+")
+# History-depth buckets by upper bound, the last one open; "0" is for customers without a purchase.
+DEPTH_BUCKETS = ((0, "0"), (5, "1-5"), (15, "6-15"), (30, "16-30"), (60, "31-60"), (None, "60+"))
 
 
 def event_profile(pairs: DataFrame, items: DataFrame, top: int = 100) -> DataFrame:
@@ -86,18 +85,17 @@ def repeat_vs_discovery(predictions: DataFrame, truth: DataFrame, known: DataFra
 
 
 def recall_by_depth(predictions: DataFrame, truth: DataFrame, depth: DataFrame, k: int = K) -> DataFrame:
-    """Mean recall per bucket of purchase-history depth; empty buckets do not appear."""
+    """Mean recall per bucket of purchase-history depth, every customer of ``truth`` in one; empty buckets do not appear."""
     per_customer = (
         _truth_with_hits(predictions, truth, k).groupBy("customer_id")
         .agg((F.sum("hit") / F.count(F.lit(1))).alias("recall"))
-        .join(depth, "customer_id")
+        .join(depth, "customer_id", "left")
     )
-    bucket = F.lit(None).cast("string")
-    for lo, hi, name in zip(DEPTH_EDGES, DEPTH_EDGES[1:], DEPTH_NAMES):
-        bucket = F.when((F.col("depth") > lo) & (F.col("depth") <= hi), name).otherwise(bucket)
+    bucket = F.lit(DEPTH_BUCKETS[-1][1])
+    for upper, name in reversed(DEPTH_BUCKETS[:-1]):
+        bucket = F.when(F.coalesce("depth", F.lit(0)) <= upper, name).otherwise(bucket)
     return (
-        per_customer.withColumn("history_purchases", bucket).filter(F.col("history_purchases").isNotNull())
-        .groupBy("history_purchases")
+        per_customer.withColumn("history_purchases", bucket).groupBy("history_purchases")
         .agg(F.count(F.lit(1)).alias("customers"), F.avg("recall").alias("recall"))
     )
 
@@ -125,6 +123,23 @@ def source_contribution(
     )
 
 
+def feature_freshness(pairs: DataFrame, items: DataFrame, as_of_day: int) -> DataFrame:
+    """Latest day per feature block and its age against ``as_of_day``: what a scoring run checks before it trusts a block.
+
+    The pair block takes every event, the customer, category and brand blocks take purchases, the item block purchases of catalog items.
+    """
+    known = items.select("item_id", F.lit(True).alias("_known"))
+    days = pairs.join(known, "item_id", "left").agg(
+        F.max("last_day").alias("user_item"), F.max("last_purchase").alias("user"),
+        F.max(F.when(F.col("_known"), F.col("last_purchase"))).alias("item"),
+    )
+    blocks = {"user_item": "user_item", "user": "user", "user_category": "user", "user_brand": "user", "item": "item"}
+    return days.select(F.inline(F.array(*[
+        F.struct(F.lit(b).alias("block"), F.col(c).alias("latest_day"), (F.lit(as_of_day) - F.col(c)).alias("age_days"))
+        for b, c in blocks.items()
+    ])))
+
+
 def feature_null_profile(frame: DataFrame, columns: list[str]) -> DataFrame:
     """Null share per feature, in one pass over the frame."""
     shares = frame.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in columns])

@@ -15,6 +15,8 @@ from trolley.session import use_checkpoints
 
 MISSING = -1.0
 TREES, DEPTH, LEARNING_RATE, HOLDOUT_PERCENT = 400, 6, 0.05, 15
+#: Bound of the labelled rows of a fit.
+MAX_ROWS = 2_000_000
 
 
 def linear_score(weights: dict[str, float]) -> Column:
@@ -47,15 +49,24 @@ def train_ranker(
     learning_rate: float = LEARNING_RATE,
     holdout_percent: int = HOLDOUT_PERCENT,
     seed: int = 42,
+    max_rows: int = MAX_ROWS,
 ) -> GBTClassificationModel:
-    """Boosted trees on the label; whole customers are held out for early stopping."""
+    """Boosted trees on the label; whole customers are held out for early stopping.
+
+    The fit takes ``max_rows`` labelled rows at most: beyond that, whole customers by hash, their number lowered in proportion.
+    Training ends with the first tree that does not lower the hold-out error at all (tolerance 0).
+    """
+    total = labelled.count()
+    if total > max_rows:
+        share = F.pmod(F.xxhash64("customer_id"), F.lit(1_000_000)) < F.lit(int(1_000_000 * max_rows / total))
+        labelled = labelled.filter(share)
     features = features or [c for c in FEATURE_COLUMNS if c in labelled.columns]
     held = customer_holdout(labelled, holdout_percent, seed)
     data = _assembled(held, features).select("features", F.col("label").cast("double").alias("label"), "is_holdout")
     use_checkpoints(labelled.sparkSession)
     return GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=learning_rate,
-        subsamplingRate=0.85, featureSubsetStrategy="0.85", validationIndicatorCol="is_holdout",
+        subsamplingRate=0.85, featureSubsetStrategy="0.85", validationIndicatorCol="is_holdout", validationTol=0.0,
         minInstancesPerNode=20, seed=seed,
     ).fit(data)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trolley.functions.expressions import best_first, score_key
 from trolley.operators.pairs import HALF_LIFE, POPULARITY_HALF_LIFE, bought_pairs, reanchored
 from trolley.operators.vectors import block_topk
-from trolley.session import use_checkpoints
+from trolley.session import stage, use_checkpoints
 
 NEIGHBOURS, SHRINKAGE = 200, 25.0
 RRF_K = 60.0
@@ -106,6 +106,8 @@ def _segments(matrix: DataFrame, segment: int) -> DataFrame:
     return (
         matrix.join(sizes, "customer_id")
         .withColumn("seg", F.pmod(F.xxhash64("item_id"), F.col("n_seg")))
+        # the join leaves a customer's whole row in one task; its segments part here
+        .repartition("customer_id", "seg")
         .groupBy("customer_id", "n_seg", "seg")
         .agg(F.sort_array(F.collect_list(F.struct("item_id", "r", "norm"))).alias("cells"))
     )
@@ -167,8 +169,7 @@ def item_similarity(
         F.struct(F.col("item_i"), F.col("item_j"), F.col("sim")),
         F.struct(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), F.col("sim")),
     )))
-    # an item has fewer neighbours than the catalog has items, spread evenly over the tasks
-    return best_first(both, ["item_i"], neighbours, "sim", "item_j", map_side=False)
+    return best_first(both, ["item_i"], neighbours, "sim", "item_j")
 
 
 def item_knn(
@@ -205,33 +206,62 @@ def item_knn(
     return ranked.unionByName(unserved)
 
 
-def als_topk(
-    pairs: DataFrame, customers: DataFrame, k: int,
+def dense_ids(df: DataFrame, name: str) -> DataFrame:
+    """``name`` and ``{name}_no``, its place from 0 among the distinct values, for models that take 32-bit ids only.
+
+    A range partitioned sort, written once; the driver sees one row count per partition.
+    """
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = stage(
+        df.select(name).distinct().repartitionByRange(n, name).sortWithinPartitions(name)
+        .withColumn("_id", F.monotonically_increasing_id()), "ids",
+    )
+    part = F.shiftrightunsigned("_id", 33)
+    starts, total = [], 0
+    sizes = {r[0]: r[1] for r in placed.groupBy(part).count().collect()}
+    for p in range(max(sizes, default=-1) + 1):
+        starts.append(total)
+        total += sizes.get(p, 0)
+    start = F.element_at(F.array(*[F.lit(x) for x in starts or [0]]), (part + 1).cast("int"))
+    number = start + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.select(name, number.cast("int").alias(f"{name}_no"))
+
+
+def als_factors(
+    pairs: DataFrame, customers: DataFrame,
     factors: int = 64, regularization: float = 0.05, alpha: float = 12.0, iterations: int = 12,
     half_life: float = HALF_LIFE, seed: int = 7,
-) -> DataFrame:
-    """Implicit matrix factorization; scoring runs over the learned factors as blocked products."""
-    matrix = interaction_matrix(pairs, half_life)
+) -> tuple[DataFrame, DataFrame]:
+    """Implicit matrix factorization: (query_id, vector) of the asked customers and (item_id, vector) of the items."""
+    matrix = stage(interaction_matrix(pairs, half_life), "matrix")
+    users_of, items_of = dense_ids(matrix, "customer_id"), dense_ids(matrix, "item_id")
+    dense = matrix.join(users_of, "customer_id").join(items_of, "item_id").select("customer_id_no", "item_id_no", "r")
     use_checkpoints(pairs.sparkSession)
     model = ALS(
         rank=factors, regParam=regularization, alpha=alpha, maxIter=iterations, implicitPrefs=True, seed=seed,
-        userCol="customer_id", itemCol="item_id", ratingCol="r", coldStartStrategy="drop",
-    ).fit(matrix)
+        userCol="customer_id_no", itemCol="item_id_no", ratingCol="r", coldStartStrategy="drop",
+    ).fit(dense)
 
     def as_double(col):
         return F.transform(col, lambda x: x.cast("double"))
 
-    users = model.userFactors.select(F.col("id").alias("query_id"), as_double("features").alias("vector")).join(
-        customers.select(F.col("customer_id").alias("query_id")), "query_id", "left_semi"
-    )
-    found = block_topk(
-        users, model.itemFactors.select(F.col("id").alias("item_id"), as_double("features").alias("vector")), k
-    )
-    return found.select(
-        F.col("query_id").cast("int").alias("customer_id"), F.col("item_id").cast("int"), "rank", "score"
+    def named(factors, ids, name):
+        return factors.join(ids, factors["id"] == ids[f"{name}_no"]).select(name, as_double("features").alias("vector"))
+
+    users = named(model.userFactors, users_of, "customer_id").join(customers.select("customer_id"), "customer_id", "left_semi")
+    return (
+        stage(users.withColumnRenamed("customer_id", "query_id"), "user-factors"),
+        stage(named(model.itemFactors, items_of, "item_id"), "item-factors"),
     )
 
 
+def als_topk(pairs: DataFrame, customers: DataFrame, k: int, **settings) -> DataFrame:
+    """Best items per customer by the product of the learned factors."""
+    found = block_topk(*als_factors(pairs, customers, **settings), k)
+    return found.select(F.col("query_id").alias("customer_id"), "item_id", "rank", "score")
+
+
 def rrf_blend(lists: list[tuple[DataFrame, float]], k: int, k_rrf: float = RRF_K) -> DataFrame:
     """Reciprocal-rank fusion of the first 3k entries of each list: sum of w / (k_rrf + rank + 1)."""
     parts = [

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from trolley.functions.expressions import best_first, unit
 from trolley.operators.sequences import HISTORY_LEN, last_purchases
 
-NLIST, NPROBE, MIN_PER_CELL = 256, 16, 39
+NLIST, NPROBE = 256, 16
 QUERY_BLOCK, ITEM_BLOCK = 1024, 4096
 
 
@@ -140,7 +140,7 @@ def vector_topk(user_vectors: DataFrame, vectors: DataFrame, k: int) -> DataFram
         user_vectors.select(F.col("customer_id").alias("query_id"), "vector"), unit_vectors(vectors), k
     )
     return found.select(
-        F.col("query_id").cast("int").alias("customer_id"), F.col("item_id").cast("int"), "rank", "score"
+        F.col("query_id").alias("customer_id"), "item_id", "rank", "score"
     )
 
 
@@ -150,8 +150,7 @@ def item_neighbours(vectors: DataFrame, k: int, of: DataFrame | None = None) ->
     found = block_topk(asked.select(F.col("item_id").alias("query_id"), "vector"), vectors, k + 1)
     others = found.filter(F.col("query_id") != F.col("item_id")).drop("rank")
     return best_first(others, ["query_id"], k).select(
-        F.col("query_id").cast("int").alias("item_id"),
-        F.col("item_id").cast("int").alias("neighbour_id"), "rank", "score",
+        F.col("query_id").alias("item_id"), F.col("item_id").alias("neighbour_id"), "rank", "score",
     )
 
 
@@ -166,18 +165,15 @@ def ivf_topk(
     k: int,
     nlist: int = NLIST,
     nprobe: int = NPROBE,
-    min_per_cell: int = MIN_PER_CELL,
     seed: int = 7,
 ) -> DataFrame:
     """Search only the ``nprobe`` nearest of ``nlist`` KMeans cells, exactly inside them.
 
-    Below ``nlist * min_per_cell`` items every cell is searched, i.e. the plain
-    exact search. With ``nprobe = nlist`` the result equals the exact one.
+    Always prunes, whatever the size of the catalog; call ``block_topk`` for
+    the plain exact search. With ``nprobe = nlist`` the result equals it.
     """
     items = unit_vectors(vectors)
     asked = queries.select("query_id", unit(F.col("vector")).alias("vector"))
-    if vectors.count() < nlist * min_per_cell:
-        return block_topk(asked, items, k)
     with_vec = items.withColumn("features", array_to_vector("vector"))
     model = KMeans(k=nlist, seed=seed, maxIter=10, featuresCol="features", predictionCol="cell").fit(with_vec)
     celled = model.transform(with_vec).select("item_id", "vector", "cell")

@@ -26,7 +26,7 @@ BLEND_WEIGHTS = {"repeat": 1.0, "item_knn": 0.8, "als": 0.8}
 
 def baseline_lists(s: Setting, fit_until: int, k: int, als: dict) -> dict[str, DataFrame]:
     """Ranked lists of every baseline, all fitted on the log up to ``fit_until``."""
-    pairs = stage(s.pairs(fit_until), "pairs")
+    pairs = s.pairs(fit_until)
     depth = 3 * k  # the blend fuses the first 3k of each list
     lists = {
         "popularity": retrieval.popularity_topk(pairs, s.items, s.asked, k),

@@ -18,11 +18,10 @@ from trolley.sources import sinks, tables
 K = 20
 BOARD_K = (5, 10, 20)
 METRICS = ("recall", "precision", "hit_rate", "ndcg", "map")
-SMALL = {"trees": 10, "depth": 4}
 
 
 def _repeat_lists(s: Setting):
-    return retrieval.repeat_backfill(s.pairs(), s.items, s.asked, 50)
+    return stage(retrieval.repeat_backfill(s.pairs(), s.items, s.asked, 50), "lists")
 
 
 def ranking_metrics(spark, d):
@@ -38,7 +37,7 @@ def slate_health(spark, d):
 
 def leaderboard(spark, d):
     s = Setting(spark, d)
-    truth, asked, pairs = s.test_truth, s.asked, stage(s.pairs(), "pairs")
+    truth, asked, pairs = s.test_truth, s.asked, s.pairs()
     models = {
         "popularity": retrieval.popularity_topk(pairs, s.items, asked, K),
         "repeat": retrieval.repeat_backfill(pairs, s.items, asked, K),
@@ -95,7 +94,7 @@ def batch_slate(spark, d):
 
 def _trained(s: Setting):
     """Ranker fitted on the train stage; the frame is read once per tree level, hence staged."""
-    return ranking.train_ranker(stage(s.labelled("valid"), "train-frame"), **SMALL)
+    return ranking.train_ranker(stage(s.labelled("valid"), "train-frame"))
 
 
 def two_stage_ranker(spark, d):
@@ -162,13 +161,13 @@ FROM (SELECT k.item_id IS NOT NULL AS old, s.item_id IS NOT NULL AS hit FROM tru
   LEFT JOIN ({_RANKED20}) s ON s.customer_id = t.customer_id AND s.item_id = t.item_id)""", past="hist",
         digits=("repeat_recall", "discovery_recall", "repeat_share_of_truth"))),
     "recall_by_depth": (recall_by_depth, build(f"""
-SELECT CASE WHEN depth <= 5 THEN '1-5' WHEN depth <= 15 THEN '6-15' WHEN depth <= 30 THEN '16-30'
+SELECT CASE WHEN depth IS NULL THEN '0' WHEN depth <= 5 THEN '1-5' WHEN depth <= 15 THEN '6-15' WHEN depth <= 30 THEN '16-30'
     WHEN depth <= 60 THEN '31-60' ELSE '60+' END AS history_purchases,
   count(*) AS customers, avg(recall) AS recall
 FROM (SELECT t.customer_id, avg(CASE WHEN s.item_id IS NULL THEN 0.0 ELSE 1.0 END) AS recall FROM truth t
   LEFT JOIN ({_RANKED20}) s ON s.customer_id = t.customer_id AND s.item_id = t.item_id GROUP BY 1) r
-JOIN (SELECT customer_id, count(*) AS depth FROM hp GROUP BY 1) dep ON dep.customer_id = r.customer_id
-WHERE depth <= 10000 GROUP BY 1""", past="hist", digits=("recall",))),
+LEFT JOIN (SELECT customer_id, count(*) AS depth FROM hp GROUP BY 1) dep ON dep.customer_id = r.customer_id
+GROUP BY 1""", past="hist", digits=("recall",))),
     "source_contribution": (source_contribution, build(f"""
 SELECT source, avg(present::DOUBLE) AS slate_share, count(*) FILTER (present = 1 AND label = 1) AS hits,
   count(*) FILTER (present = 1 AND label = 1)::DOUBLE / greatest(count(*) FILTER (present = 1), 1) AS "precision",
@@ -193,7 +192,7 @@ SELECT s.*, category_name, price FROM (
       CASE WHEN in_item_knn = 1 THEN 'item_knn' END, CASE WHEN in_popularity = 1 THEN 'popularity' END) AS sources,
     false AS cold_start FROM ({_RANKED20}) WHERE customer_id IN (SELECT c_custkey FROM customer)
   UNION ALL
-  SELECT CAST(c_custkey AS INTEGER), item_id, CAST(rank AS INTEGER), 20.0::DOUBLE - rank, 'popularity', true
+  SELECT CAST(c_custkey AS BIGINT), item_id, CAST(rank AS INTEGER), 20.0::DOUBLE - rank, 'popularity', true
   FROM customer, pop WHERE rank < 20 AND c_custkey NOT IN (SELECT customer_id FROM asked)) s
 LEFT JOIN cat ON cat.item_id = s.item_id""", past="hist",
         asked="SELECT DISTINCT customer_id FROM hist WHERE event_type = 2", digits=("score", "price"))),

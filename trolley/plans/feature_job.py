@@ -9,15 +9,19 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from trolley.operators.features import feature_frame
-from trolley.session import build_session
+from trolley.operators.features import FeatureStore
+from trolley.operators.pairs import pair_aggregate
+from trolley.session import build_session, stage
 from trolley.sources.sinks import write_features
 from trolley.sources.tables import load_events
 
 
 def run(spark: SparkSession, events: str, catalog: str, candidates: str, output: str, as_of_day: int) -> None:
     history = load_events(spark, events, as_of_day)
-    frame = feature_frame(spark.read.parquet(candidates), history, spark.read.parquet(catalog), as_of_day)
+    # the only pass over the log: all five blocks come from this aggregate
+    pairs = stage(pair_aggregate(history, as_of_day), "pairs")
+    store = FeatureStore.from_pairs(pairs, spark.read.parquet(catalog), as_of_day)
+    frame = store.transform(spark.read.parquet(candidates))
     write_features(frame, output)
 
 

@@ -42,7 +42,7 @@ def event_revenue(spark, d):
 def event_profile(spark, d):
     s = Setting(spark, d)
     last_day = s.valid_end + split.TEST_DAYS
-    return rounded(diagnostics.event_profile(stage(s.pairs(last_day), "pairs"), s.items))
+    return rounded(diagnostics.event_profile(s.pairs(last_day), s.items))
 
 
 def purchases_only(spark, d):
@@ -100,7 +100,7 @@ def causal_sequences(spark, d):
 def causal_sequences_orders(spark, d):
     s = OrdersSetting(spark, d)
     rows = sequences.causal_sequences(
-        s.train, s.items, s.items.count(), order=("event_seq", "line_key")
+        s.train, s.items, s.items.count(), order=("event_seq", "part_id", "supplier_id")
     )
     return rounded(joined_text(rows, "history"))
 
@@ -153,7 +153,7 @@ QUERIES = {
     "load_events_cut": (load_events_cut, build("SELECT * FROM train")),
     "catalog_canonical": (catalog_canonical, build("SELECT * FROM cat")),
     "customers_canonical": (customers_canonical, """
-SELECT CAST(c_custkey AS INTEGER) AS customer_id, c_nationkey AS home_nation_id, c_mktsegment AS segment FROM customer"""),
+SELECT CAST(c_custkey AS BIGINT) AS customer_id, c_nationkey AS home_nation_id, c_mktsegment AS segment FROM customer"""),
     "event_revenue": (event_revenue, build("""
 SELECT event_seq, customer_id, ev.item_id, quantity * price AS revenue
 FROM ev LEFT JOIN cat ON cat.item_id = ev.item_id""", digits=("revenue",))),
@@ -182,7 +182,7 @@ SELECT count(*) AS customers, avg(n) AS mean_size, quantile_cont(n::DOUBLE, 0.5)
   quantile_cont(n::DOUBLE, 0.9) AS p90_size
 FROM (SELECT customer_id, count(*) AS n FROM truth GROUP BY 1)""", digits=("mean_size", "median_size", "p90_size"))),
     "customer_holdout": (customer_holdout, """
-SELECT CAST(c_custkey AS INTEGER) AS customer_id,
+SELECT CAST(c_custkey AS BIGINT) AS customer_id,
   (c_custkey * 48271 + 332598) % 2147483647 % 100 < 15 AS is_holdout FROM customer"""),
     "salted_join": (salted_join, build("""
 SELECT event_seq, customer_id, ev.item_id, item_purchases FROM ev LEFT JOIN (
@@ -191,10 +191,10 @@ SELECT event_seq, customer_id, ev.item_id, item_purchases FROM ev LEFT JOIN (
     "purchase_gini_orders": (purchase_gini_orders, build(_GINI.format(src="ord"), digits=("gini", "top_share"))),
     "causal_sequences": (causal_sequences, build(_sequences_sql("train", "event_seq"), digits=SEQ_COLS)),
     "causal_sequences_orders": (
-        causal_sequences_orders, build(_sequences_sql("otrain", "event_seq, line_key"), digits=SEQ_COLS)
+        causal_sequences_orders, build(_sequences_sql("otrain", "event_seq, part_id, supplier_id"), digits=SEQ_COLS)
     ),
     "inference_state": (inference_state, build("""
-SELECT CAST(c_custkey AS INTEGER) AS customer_id,
+SELECT CAST(c_custkey AS BIGINT) AS customer_id,
   array_to_string(list_concat(list_transform(range(20 - len(past20)), lambda x: n_items), past20), ',') AS history,
   CAST(len(past20) AS INTEGER) AS history_len, coalesce(ln(1 + n::DOUBLE), 0.0) AS log_n_prior,
   coalesce(((SELECT max(day) FROM train) - hi)::DOUBLE, 0.0) AS days_since_last,

@@ -11,7 +11,7 @@ import re
 
 CTES: dict[str, str] = {
     "ev": """
-SELECT CAST(user_id AS INTEGER) AS customer_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS item_id,
+SELECT CAST(user_id AS BIGINT) AS customer_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id,
   CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INTEGER) AS day,
   CASE event_type WHEN 'view' THEN 0 WHEN 'click' THEN 1 ELSE 2 END AS event_type,
   CASE event_type WHEN 'purchase' THEN 1 ELSE 0 END AS quantity, event_id AS event_seq
@@ -25,10 +25,10 @@ FROM events WHERE event_type IN ('view', 'click', 'purchase')""",
 SELECT DISTINCT customer_id, item_id FROM test
 WHERE event_type = 2 AND customer_id IN (SELECT customer_id FROM elig)""",
     "ord": """
-SELECT CAST(o_custkey AS INTEGER) AS customer_id, CAST(l_partkey AS INTEGER) AS item_id,
+SELECT CAST(o_custkey AS BIGINT) AS customer_id, CAST(l_partkey AS BIGINT) AS item_id,
   CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS day, 2 AS event_type,
   CAST(l_quantity AS INTEGER) AS quantity, l_orderkey * 8 + l_linenumber AS event_seq,
-  l_partkey * 1000000 + l_suppkey AS line_key
+  CAST(l_partkey AS BIGINT) AS part_id, CAST(l_suppkey AS BIGINT) AS supplier_id
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "olim": "SELECT max(day) - 180 AS train_end, max(day) - 90 AS valid_end FROM ord",
     "otrain": "SELECT ord.* FROM ord, olim WHERE day <= train_end",
@@ -37,7 +37,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
 SELECT DISTINCT customer_id, item_id FROM ord, olim WHERE day > valid_end AND customer_id IN (
   SELECT customer_id FROM otrain GROUP BY 1 HAVING count(*) >= 3)""",
     "cat": """
-SELECT CAST(p_partkey AS INTEGER) AS item_id, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS category_id,
+SELECT CAST(p_partkey AS BIGINT) AS item_id, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS category_id,
   p_type AS category_name, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS brand_id, p_retailprice AS price,
   p_type IN ('ECONOMY', 'SMALL', 'STANDARD') AS is_replenishable
 FROM part""",
@@ -89,7 +89,7 @@ SELECT customer_id, item_id, score, rank FROM knnpos WHERE rank < 60
 UNION ALL
 SELECT a.customer_id, p.item_id, 0.0, p.rank FROM asked a, pop p
 WHERE p.rank < 60 AND a.customer_id NOT IN (SELECT customer_id FROM knnpos)""",
-    "ivec": "SELECT CAST(vec_id AS INTEGER) AS item_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
+    "ivec": "SELECT CAST(vec_id AS BIGINT) AS item_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
     "ivecn": "SELECT item_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM ivec",
     "last20": """
 SELECT * FROM (SELECT customer_id, item_id, day,
@@ -256,7 +256,7 @@ SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, neighbour_id) - 1 AS rank FROM (
     SELECT a.item_id, b.item_id AS neighbour_id, round(list_dot_product(a.v, b.v), 9) AS score
     FROM ivec a, ivec b WHERE a.item_id <> b.item_id))""",
-    "targets": "SELECT * FROM ranked WHERE rank < 3",
+    "targets": "SELECT * FROM ranked WHERE rank < 20",
     "ctx": """
 SELECT t.customer_id, t.item_id,
   concat('TARGET PRODUCT:\n- [', d.tag, '] ', d.text, '\n\nCUSTOMER EVIDENCE:\n',

@@ -8,15 +8,13 @@ from trolley.operators import retrieval, vectors
 from trolley.plans.common import rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import OrdersSetting, Setting
-from trolley.session import stage
 
 K = 20
 LIST = ("score",)
 
 
 def _fit(s: Setting):
-    """Pair aggregate of the train window, written out because a retriever reads it several times."""
-    return stage(s.pairs(), "pairs")
+    return s.pairs()
 
 
 def popularity_topk(spark, d):
@@ -58,7 +56,18 @@ def item_knn(spark, d):
 
 def als_topk(spark, d):
     s = Setting(spark, d)
-    return rounded(retrieval.als_topk(s.pairs(), s.asked, K, factors=16, iterations=5))
+    return rounded(retrieval.als_topk(s.pairs(), s.asked, K))
+
+
+def als_scores(spark, d):
+    """Recomputed score, rank and gap to the listed score of every row of the factor lists; both gaps must be 0."""
+    s = Setting(spark, d)
+    users, items = retrieval.als_factors(s.pairs(), s.asked)
+    listed = vectors.block_topk(users, items, K)
+    own = listed.join(users, "query_id").join(items.select("item_id", F.col("vector").alias("other")), "item_id")
+    again = own.withColumn("again", F.aggregate(F.zip_with("vector", "other", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x))
+    return again.select(
+        F.col("query_id").alias("customer_id"), "item_id", "rank", F.round(F.abs(F.col("again") - F.col("score")), 6).alias("gap"))
 
 
 def _user_vectors(s: Setting):
@@ -87,12 +96,26 @@ def item_neighbours(spark, d):
 
 def _ivf(s: Setting, users, nprobe: int):
     queries = users.select(F.col("customer_id").alias("query_id"), "vector")
-    return vectors.ivf_topk(queries, s.vectors, K, nlist=8, nprobe=nprobe)
+    return vectors.ivf_topk(queries, s.vectors, K, nprobe=nprobe)
 
 
 def ivf_topk(spark, d):
     s = Setting(spark, d)
-    return rounded(_ivf(s, _user_vectors(s), 3))
+    return rounded(_ivf(s, _user_vectors(s), vectors.NPROBE))
+
+
+def ivf_all_cells(spark, d):
+    """Every cell probed: the pruned search must then list what the exact one lists."""
+    s = Setting(spark, d)
+    return rounded(_ivf(s, _user_vectors(s), vectors.NLIST).withColumnRenamed("query_id", "customer_id"))
+
+
+def ann_recall_all_cells(spark, d):
+    s = Setting(spark, d)
+    users = _user_vectors(s)
+    queries = users.select(F.col("customer_id").alias("query_id"), "vector")
+    exact = vectors.block_topk(queries, vectors.unit_vectors(s.vectors), K)
+    return rounded(vectors.ann_recall(_ivf(s, users, vectors.NLIST), exact, K))
 
 
 def ann_recall(spark, d):
@@ -102,7 +125,7 @@ def ann_recall(spark, d):
     exact = vectors.block_topk(queries, vectors.unit_vectors(s.vectors), K)
     parts = [
         vectors.ann_recall(approx, exact, K).select(F.lit(name).alias("index"), "queries", "recall")
-        for name, approx in (("all_cells", _ivf(s, users, 8)), ("three_cells", _ivf(s, users, 3)))
+        for name, approx in (("all_cells", _ivf(s, users, vectors.NLIST)), ("probed_cells", _ivf(s, users, vectors.NPROBE)))
     ]
     return rounded(parts[0].unionByName(parts[1]))
 
@@ -128,4 +151,8 @@ SELECT customer_id, item_id, CAST(rank AS INTEGER) AS rank, score FROM asked, po
 SELECT item_id, neighbour_id, CAST(rank AS INTEGER) AS rank, score FROM neigh WHERE rank < 5""", digits=LIST)),
     "ivf_topk": (ivf_topk, None),
     "ann_recall": (ann_recall, None),
+    "ivf_all_cells": (ivf_all_cells, build(_LIST.format("vec"), digits=LIST)),
+    "ann_recall_all_cells": (ann_recall_all_cells, build(
+        "SELECT count(DISTINCT customer_id) AS queries, 1.0::DOUBLE AS recall FROM vec")),
+    "als_scores": (als_scores, None),
 }

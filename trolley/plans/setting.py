@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +30,13 @@ class Setting:
 
     spark: SparkSession
     folder: str
+    _staged: dict = field(default_factory=dict, repr=False)
+
+    def once(self, name: str, day: int, make) -> DataFrame:
+        """``make()`` written out, once per name and day."""
+        if (name, day) not in self._staged:
+            self._staged[name, day] = stage(make(), name)
+        return self._staged[name, day]
 
     @cached_property
     def days(self) -> tuple[int, int]:
@@ -68,9 +75,9 @@ class Setting:
         return split.eligible_customers(self.train)
 
     def pairs(self, as_of_day: int | None = None) -> DataFrame:
-        """Pair aggregate up to a day, the end of the train window by default; lazy."""
+        """Pair aggregate up to a day, the end of the train window by default: one pass over the log per day, written out."""
         day = self.train_end if as_of_day is None else as_of_day
-        return pair_aggregate(self.log(as_of_day=day), day)
+        return self.once("pairs", day, lambda: pair_aggregate(self.log(as_of_day=day), day))
 
     def truth(self, window: str = "test") -> DataFrame:
         if window == "test":
@@ -103,11 +110,11 @@ class Setting:
         }
 
     def pool(self, as_of_day: int, asked: DataFrame) -> DataFrame:
-        return pooling.candidate_pool(self.sources(stage(self.pairs(as_of_day), "pairs"), as_of_day, asked))
+        return pooling.candidate_pool(self.sources(self.pairs(as_of_day), as_of_day, asked))
 
     def feature_frame(self, as_of_day: int, asked: DataFrame) -> DataFrame:
         """Features of the pooled candidates of ``asked`` customers."""
-        pairs = stage(self.pairs(as_of_day), "pairs")
+        pairs = self.pairs(as_of_day)
         pool = stage(pooling.candidate_pool(self.sources(pairs, as_of_day, asked)), "pool")
         return features.FeatureStore.from_pairs(pairs, self.items, as_of_day).transform(pool)
 
@@ -133,18 +140,10 @@ class OrdersSetting(Setting):
 
     WINDOW = 90
 
-    @cached_property
-    def _orders(self) -> DataFrame:
-        return tables.purchases_from_orders(self.spark, self.folder)
-
     @cached_property
     def days(self) -> tuple[int, int]:
-        return split.split_days(self._orders, self.WINDOW, self.WINDOW)
+        valid_end = tables.last_order_day(self.spark, self.folder) - self.WINDOW
+        return valid_end - self.WINDOW, valid_end
 
     def log(self, as_of_day: int | None = None, after_day: int | None = None) -> DataFrame:
-        log = self._orders
-        if as_of_day is not None:
-            log = log.filter(F.col("day") <= as_of_day)
-        if after_day is not None:
-            log = log.filter(F.col("day") > after_day)
-        return log
+        return tables.purchases_from_orders(self.spark, self.folder, as_of_day, after_day)

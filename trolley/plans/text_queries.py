@@ -60,11 +60,11 @@ def qa_context(spark, d):
 
 
 def _contexts(s: Setting) -> DataFrame:
-    """Contexts of the first three slots of every slate."""
+    """Contexts of all slots of every slate."""
     scored = s.labelled().withColumn("score", ranking.linear_score(LINEAR_WEIGHTS))
-    targets = ranking.rank_candidates(scored, 3)
+    targets = stage(ranking.rank_candidates(scored, 20), "targets")
     recent = sequences.last_purchases(s.history, explain.RECENT)
-    similar = vectors.item_neighbours(s.vectors, explain.SIMILAR)
+    similar = vectors.item_neighbours(s.vectors, explain.SIMILAR, of=targets)
     docs = stage(documents.product_documents(s.history, s.items), "docs")
     return explain.explanation_context(targets, docs, recent, similar)
 
