@@ -258,7 +258,9 @@ def repeated_spans(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Spans (rid, size, start, length) whose union is what repeats; ``docs`` as from ``keyed``."""
     found = stage(all_stretches(docs.select("rid", "size", "text"), s), "stretches")
     seen = found.groupBy("kh").agg(F.count(F.lit(1)).alias("n"), F.min("sh").alias("lo"), F.max("sh").alias("hi")).where("n > 1")
-    rows = stage(found.join(seen.select("kh", (F.col("lo") != F.col("hi")).alias("mixed")), "kh"), "shared-stretches")
+    # written, so that the join is not tied to the partitions of the count and a hot minimizer's rows can be split
+    seen = stage(seen.select("kh", (F.col("lo") != F.col("hi")).alias("mixed")), "shared-minimizers")
+    rows = stage(found.join(seen, "kh"), "shared-stretches")
     length = (F.col("windows") + s.least - 1).alias("length")
     alike = rows.where("not mixed").select("rid", "size", "start", length)
     mixed = rows.where("mixed")
