@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from trolley.plans.registry import REGISTRY
@@ -24,6 +25,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session("bench", f"local[{cpus}]", max(cpus, 2), {
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     names = sys.argv[1:] or HEADLINE

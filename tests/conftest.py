@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -11,7 +12,9 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 def spark():
     from trolley.session import build_session
 
+    shared = tempfile.mkdtemp(prefix="shared-")
     session = build_session("tests", "local[4]", 4, {
+        "spark.checkpoint.dir": shared,
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "6g",
         "spark.sql.codegen.comments": "false",
     })

@@ -1,77 +1,88 @@
-import math
+"""Ranking metrics and slate health on small slates worked out by hand."""
 
-import pytest
+from math import log2
 
-from trolley.operators import metrics
+import pytest
 
+from trolley.operators import diagnostics, metrics
 
-def frames(spark, predictions, labels):
-    pred = [(c, i, r) for c, items in predictions.items() for r, i in enumerate(items)]
-    true = [(c, i) for c, items in labels.items() for i in items]
-    return (spark.createDataFrame(pred, "customer_id int, item_id int, rank int"),
-            spark.createDataFrame(true, "customer_id int, item_id int"))
+# Slates and held-out purchases of three customers: Ana (10) finds two of her three at places 2 and 5, Bo (20) finds the
+# one at place 4, Cy (30) gets no slate.
+SLATES = {10: [41, 12, 43, 44, 15], 20: [51, 52, 53, 24]}
+BOUGHT = {10: [12, 15, 18], 20: [24], 30: [31, 32]}
 
 
-def score(spark, predictions, labels, k):
-    return metrics.ranking_metrics(*frames(spark, predictions, labels), (k,)).first().asDict()
+def frames(spark, slates=SLATES, bought=BOUGHT):
+    ranked = [(c, i, place) for c, items in slates.items() for place, i in enumerate(items)]
+    return (spark.createDataFrame(ranked, "customer_id bigint, item_id bigint, rank int"),
+            spark.createDataFrame([(c, i) for c, items in bought.items() for i in items], "customer_id bigint, item_id bigint"))
 
 
-l2 = math.log2
-CASES = [
-    ("perfect", {0: [1, 2, 3]}, {0: [1]}, 1, dict(recall=1, precision=1, ndcg=1, map=1, hit_rate=1)),
-    ("partial", {0: [3, 1, 2]}, {0: [1, 2]}, 3, dict(
-        recall=1, precision=2 / 3, ndcg=(1 / l2(3) + 1 / l2(4)) / (1 / l2(2) + 1 / l2(3)), map=(1 / 2 + 2 / 3) / 2)),
-    ("miss", {0: [7, 8, 9]}, {0: [1, 2]}, 3, dict(recall=0, precision=0, ndcg=0, map=0, hit_rate=0)),
-    ("unserved", {0: [1]}, {0: [1], 1: [5]}, 1, dict(recall=0.5, hit_rate=0.5)),
-    ("basket larger than k", {0: [1, 2, 3, 4]}, {0: [1, 2, 3, 4]}, 2, dict(recall=0.5, precision=1, ndcg=1)),
-    ("early hit", {0: [1, 9, 9]}, {0: [1]}, 3, dict(recall=1, ndcg=1)),
-    ("late hit, repeated slots", {0: [9, 9, 1]}, {0: [1]}, 3, dict(recall=1, ndcg=1 / l2(4))),
-]
+# Per cut-off, the means over the three customers.
+WANT = {
+    2: dict(recall=(1 / 3) / 3, precision=(1 / 2) / 3, hit_rate=1 / 3, map=(1 / 2 / 2) / 3, ndcg=(1 / log2(3)) / (1 + 1 / log2(3)) / 3),
+    4: dict(recall=(1 / 3 + 1) / 3, precision=(1 / 4 + 1 / 4) / 3, hit_rate=2 / 3, map=(1 / 2 / 3 + 1 / 4) / 3,
+            ndcg=((1 / log2(3)) / (1 + 1 / log2(3) + 1 / 2) + 1 / log2(5)) / 3),
+    5: dict(recall=(2 / 3 + 1) / 3, precision=(2 / 5 + 1 / 5) / 3, hit_rate=2 / 3, map=((1 / 2 + 2 / 5) / 3 + 1 / 4) / 3,
+            ndcg=((1 / log2(3) + 1 / log2(6)) / (1 + 1 / log2(3) + 1 / 2) + 1 / log2(5)) / 3),
+}
 
 
-@pytest.mark.parametrize("name,predictions,labels,k,expected", CASES, ids=[c[0] for c in CASES])
-def test_ranking(spark, name, predictions, labels, k, expected):
-    got = score(spark, predictions, labels, k)
-    for metric, value in expected.items():
-        assert got[metric] == pytest.approx(value), metric
+@pytest.mark.parametrize("k", list(WANT))
+def test_ranking_at(spark, k):
+    got = metrics.ranking_metrics(*frames(spark), (k,)).first().asDict()
+    assert {m: got[m] for m in WANT[k]} == pytest.approx(WANT[k])
+    assert got["customers"] == 3
 
 
-def health(spark, predictions, labels, n_items=10, popularity=None, price=None, k=2):
-    items = spark.createDataFrame([(i, float((price or {}).get(i, 1))) for i in range(n_items)], "item_id int, price double")
-    pop = spark.createDataFrame(
-        [(i, float((popularity or {}).get(i, 0.1))) for i in range(n_items)], "item_id int, base_popularity double")
-    return metrics.slate_health(*frames(spark, predictions, labels), items, pop, k).first().asDict()
+def test_first_place_counts_more_than_last(spark):
+    early, late = (metrics.ranking_metrics(*frames(spark, {1: s}, {1: [5]}), (4,)).first() for s in ([5, 6, 7, 8], [6, 7, 8, 5]))
+    assert early["ndcg"] == pytest.approx(1) and late["ndcg"] == pytest.approx(1 / log2(5)) and early["recall"] == late["recall"]
 
 
-def test_coverage_and_gini(spark):
-    got = health(spark, {0: [0, 1], 1: [2, 3]}, {0: [0], 1: [2]})
-    assert got["coverage"] == pytest.approx(0.4) and got["gini"] == pytest.approx(0.0)
-    assert health(spark, {0: [0, 1], 1: [0, 1]}, {0: [0], 1: [0]})["coverage"] == pytest.approx(0.2)
+def health(spark, slates, bought, prices, shares, k):
+    items = spark.createDataFrame([(i, float(p)) for i, p in prices.items()], "item_id bigint, price double")
+    pop = spark.createDataFrame([(i, float(x)) for i, x in shares.items()], "item_id bigint, base_popularity double")
+    return metrics.slate_health(*frames(spark, slates, bought), items, pop, k).first().asDict()
 
 
-def test_novelty(spark):
-    pop = {0: 0.5, 1: 0.5, 2: 0.001, 3: 0.001}
-    head = health(spark, {0: [0, 1]}, {0: [0]}, popularity=pop)["novelty"]
-    tail = health(spark, {0: [2, 3]}, {0: [0]}, popularity=pop)["novelty"]
-    assert head == pytest.approx(1.0) and tail > head
+def test_slate_health(spark):
+    # six slots: item 3 three times, item 4 twice, item 5 once; seven items in the catalog
+    slates = {1: [3, 4], 2: [3, 5], 7: [4, 3]}
+    got = health(spark, slates, {1: [4], 2: [5, 3], 7: [9]}, {3: 2.5, 4: 8, 5: 20, 6: 1, 8: 1, 9: 400, 11: 1},
+                 {3: 0.25, 4: 0.125, 5: 1 / 64}, 2)
+    assert got["coverage"] == pytest.approx(3 / 7)
+    assert got["novelty"] == pytest.approx((3 * 2 + 2 * 3 + 1 * 6) / 6)
+    assert got["gini"] == pytest.approx((-2 * 1 + 0 * 2 + 2 * 3) / (3 * 6))
+    assert got["revenue_hit"] == pytest.approx((8 + 20 + 2.5) / 3)
 
 
-def test_revenue(spark):
-    got = health(spark, {0: [0, 1]}, {0: [1]}, n_items=3, price={0: 10, 1: 100, 2: 1000})
-    assert got["revenue_hit"] == pytest.approx(100)
+def test_health_reads_the_first_k_places_only(spark):
+    wide = health(spark, {1: [3, 4, 5]}, {1: [5]}, {3: 1, 4: 1, 5: 7}, {3: 0.5, 4: 0.5, 5: 0.5}, 3)
+    narrow = health(spark, {1: [3, 4, 5]}, {1: [5]}, {3: 1, 4: 1, 5: 7}, {3: 0.5, 4: 0.5, 5: 0.5}, 2)
+    assert (wide["revenue_hit"], narrow["revenue_hit"]) == (7, 0) and narrow["coverage"] == pytest.approx(2 / 3)
 
 
-def test_gini_against_definition(spark):
-    counts = [1, 1, 1, 2, 2, 7, 40]
-    df = spark.createDataFrame([(c,) for c in counts], "n int")
-    n = len(counts)
-    want = sum((2 * (i + 1) - n - 1) * c for i, c in enumerate(sorted(counts))) / (n * sum(counts))
-    assert metrics.gini(df, "n").first()[0] == pytest.approx(want)
+@pytest.mark.parametrize("counts,want", [([4, 4, 4], 0), ([1, 10, 1], 18 / 36), ([1, 2, 3, 10], 28 / 64)])
+def test_gini(spark, counts, want):
+    assert metrics.gini(spark.createDataFrame([(c,) for c in counts], "n int"), "n").first()[0] == pytest.approx(want)
 
 
 def test_leaderboard_order(spark):
-    good = metrics.ranking_metrics(*frames(spark, {0: [1]}, {0: [1]}), (5,))
-    bad = metrics.ranking_metrics(*frames(spark, {0: [2]}, {0: [1]}), (5,))
-    board = metrics.leaderboard(
-        [metrics.wide_metrics("bad", bad, (5,)), metrics.wide_metrics("good", good, (5,))], "recall@5")
-    assert [r["model"] for r in board.collect()] == ["good", "bad"]
+    rows = [metrics.wide_metrics(name, metrics.ranking_metrics(*frames(spark, {10: slate}), (5,)), (5,))
+            for name, slate in (("none", [1, 2]), ("both", [12, 15]), ("one", [2, 18]))]
+    assert [r["model"] for r in metrics.leaderboard(rows, "recall@5").collect()] == ["both", "one", "none"]
+
+
+def test_recall_by_depth_keeps_every_customer(spark):
+    ranked, bought = frames(spark)
+    depth = spark.createDataFrame([(10, 10_001), (20, 5)], "customer_id bigint, depth bigint")
+    got = {r["history_purchases"]: (r["customers"], r["recall"]) for r in diagnostics.recall_by_depth(ranked, bought, depth, 20).collect()}
+    assert got == {"60+": (1, pytest.approx(2 / 3)), "1-5": (1, 1.0), "0": (1, 0.0)}
+
+
+def test_freshness(spark):
+    pairs = spark.createDataFrame([(1, 1, 9, 7), (2, 2, 4, None), (3, 5, 8, 8)], "customer_id bigint, item_id bigint, last_day int, last_purchase int")
+    items = spark.createDataFrame([(1,), (2,)], "item_id bigint")
+    got = {r["block"]: (r["latest_day"], r["age_days"]) for r in diagnostics.feature_freshness(pairs, items, 10).collect()}
+    assert got == {"user_item": (9, 1), "user": (8, 2), "user_category": (8, 2), "user_brand": (8, 2), "item": (7, 3)}

@@ -78,7 +78,7 @@ def test_tfidf(spark):
     got = {(r["doc_id"], r["term"]): r["weight"] for r in documents.tfidf_weights(counts, n).collect()}
     assert got == pytest.approx({(i, t): w for i, d in enumerate(want) for t, w in d.items()})
     queries = spark.createDataFrame([(0, "apple pie"), (1, "unknown words")], "query_id int, query string")
-    hits = documents.tfidf_search(counts, n, queries, 2).orderBy("query_id", "rank").collect()
+    hits = documents.tfidf_search(documents.tfidf_index(counts, n), queries, 2).orderBy("query_id", "rank").collect()
     assert [(r["query_id"], r["doc_id"]) for r in hits] == [(0, 2), (0, 0)]
 
 
@@ -86,6 +86,6 @@ def test_questions_without_a_match(spark):
     docs = spark.createDataFrame([(1, "item_1", "milk and honey")], "item_id int, tag string, text string")
     counts = documents.term_counts(docs, "item_id", "text")
     asks = spark.createDataFrame([(0, "honey"), (1, "stone")], "query_id int, query string")
-    got = {r["query_id"]: r for r in documents.qa_context(docs, counts, asks).collect()}
+    got = {r["query_id"]: r for r in documents.qa_context(docs, documents.tfidf_index(counts, documents.corpus_size(docs), "item_id"), asks).collect()}
     assert got[0]["context"] == "RETRIEVED PRODUCTS:\n- [item_1] milk and honey" and got[0]["allowed_ids"] == ["item_1"]
     assert got[1]["context"] == documents.NO_MATCH and got[1]["allowed_ids"] == []

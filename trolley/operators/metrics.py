@@ -17,10 +17,6 @@ from pyspark.sql import functions as F
 K_VALUES, PRIMARY_K = (5, 10, 20, 50), 20
 
 
-def health_k(k_values: tuple[int, ...] = K_VALUES) -> int:
-    return max(k_values) if max(k_values) <= PRIMARY_K else PRIMARY_K
-
-
 def _hit_ranks(predictions: DataFrame, truth: DataFrame, max_k: int) -> DataFrame:
     """Per labelled customer: number of truth items and the sorted ranks of the hits (at most max_k)."""
     wanted = truth.select("customer_id", "item_id").distinct()

@@ -32,15 +32,6 @@ def split_window(train_end: int, valid_end: int):
     )
 
 
-def temporal_split(interactions: DataFrame, train_end: int, valid_end: int) -> dict[str, DataFrame]:
-    day = F.col("day")
-    return {
-        "train": interactions.filter(day <= train_end),
-        "valid": interactions.filter((day > train_end) & (day <= valid_end)),
-        "test": interactions.filter(day > valid_end),
-    }
-
-
 def eligible_customers(train: DataFrame, min_events: int = MIN_TRAIN_EVENTS) -> DataFrame:
     """Customers with enough train events of any type."""
     return (

@@ -113,6 +113,16 @@ def scored_frame(spark, d):
     return rounded(spark.read.parquet(path))
 
 
+def report_roundtrip(spark, d):
+    """A report written as CSV and as JSON, read back from both."""
+    report = source_contribution(spark, d)
+    path = f"{shared_dir(spark)}/report-{uuid.uuid4().hex}"
+    sinks.write_report(report, f"{path}/csv")
+    sinks.write_report(report, f"{path}/json", "json")
+    back = spark.read.schema(report.schema).option("header", True).csv(f"{path}/csv").withColumn("kind", F.lit("csv"))
+    return back.unionByName(spark.read.schema(report.schema).json(f"{path}/json").withColumn("kind", F.lit("json")))
+
+
 _RANKED20 = "SELECT * FROM ranked WHERE rank < 20"
 _WIDE = ", ".join(
     f'max("{m}") FILTER (k = {k}) AS "{m}@{k}"' for k in BOARD_K for m in METRICS
@@ -202,3 +212,5 @@ LEFT JOIN cat ON cat.item_id = s.item_id""", past="hist",
 SELECT customer_id, item_id, label, score, in_repeat, in_two_tower, in_item_knn, in_popularity, ui_n_purchase
 FROM scored""", past="hist", digits=("score",))),
 }
+QUERIES["report_roundtrip"] = (report_roundtrip, "SELECT * FROM ({}) s, (SELECT unnest(['csv', 'json']) AS kind) k".format(
+    QUERIES["source_contribution"][1]))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import functions as F
+
 from trolley.operators import diagnostics, features, pooling
 from trolley.plans.common import rounded
 from trolley.plans.oracle import build
@@ -90,6 +92,21 @@ def feature_null_profile(spark, d):
     return rounded(diagnostics.feature_null_profile(frame, features.FEATURE_COLUMNS))
 
 
+def feature_freshness(spark, d):
+    s = Setting(spark, d)
+    return diagnostics.feature_freshness(_pairs(s), s.items, s.valid_end)
+
+
+def ordered_frame(spark, d):
+    """Place of each row within its customer in the ordered frame, as a ranker's groups need it."""
+    s = Setting(spark, d)
+    frame = pooling.ordered_frame(s.labelled().select("customer_id", "item_id", "label"))
+    # the frame is in order within its partitions, which a running number keeps
+    placed = frame.withColumn("at", F.monotonically_increasing_id())
+    first = placed.groupBy("customer_id").agg(F.min("at").alias("first"))
+    return placed.join(first, "customer_id").select("customer_id", "item_id", "label", (F.col("at") - F.col("first")).alias("place"))
+
+
 def feature_backfill(spark, d):
     """Two days written, the second one again: every day is there exactly once."""
     s = Setting(spark, d)
@@ -139,6 +156,14 @@ FROM (SELECT customer_id, count(*) AS n_truth FROM truth GROUP BY 1) a FULL JOIN
     "feature_null_profile": (feature_null_profile, build(" UNION ALL ".join(
         f"SELECT '{c}' AS feature, avg(CASE WHEN \"{c}\" IS NULL THEN 1.0 ELSE 0.0 END) AS null_share FROM ff"
         for c in features.FEATURE_COLUMNS), past="hist", digits=("null_share",))),
+    "feature_freshness": (feature_freshness, build("""
+SELECT block, latest_day, d - latest_day AS age_days FROM aod, (
+  SELECT 'user_item' AS block, max(day) AS latest_day FROM past
+  UNION ALL SELECT unnest(['user', 'user_category', 'user_brand']), max(day) FROM hp
+  UNION ALL SELECT 'item', max(day) FROM hp WHERE item_id IN (SELECT item_id FROM cat))""", past="hist")),
+    "ordered_frame": (ordered_frame, build("""
+SELECT customer_id, item_id, label, row_number() OVER (PARTITION BY customer_id ORDER BY item_id) - 1 AS place
+FROM labelled""", past="hist")),
     "feature_backfill": (feature_backfill, "SELECT * FROM ({}) UNION ALL SELECT * FROM ({})".format(
         build(f"SELECT {_FRAME_SQL}, as_of_day FROM ff", past="train", aod="SELECT train_end AS d FROM lim",
               digits=FRAME_DOUBLES),

@@ -219,10 +219,10 @@ FROM cat c LEFT JOIN (SELECT item_id, count(*) AS n FROM hp GROUP BY 1) s ON s.i
     # text
     "docs": """
 SELECT c.item_id, concat('item_', c.item_id) AS tag,
-  concat(category_name, ' product, brand ', brand_id, ', priced ', printf('%.2f', round(price, 2)), '. ',
-    CASE WHEN is_replenishable THEN 'Replenishable staple' ELSE 'Non-staple' END, ', ',
-    CASE WHEN coalesce(rep, 0) >= 1.6 THEN 'bought repeatedly by the same shoppers' ELSE 'usually bought once' END,
-    '. Bought by ', coalesce(buyers, 0), ' customers, ', coalesce(units, 0), ' units sold.') AS text
+  concat('Category ', category_name, '; brand number ', brand_id, '; price ', printf('%.2f', round(price, 2)), '; kind: ',
+    CASE WHEN is_replenishable THEN 'refill staple' ELSE 'occasional buy' END, '; habit: ',
+    CASE WHEN coalesce(rep, 0) >= 1.6 THEN 'shoppers come back for it' ELSE 'mostly a single purchase' END,
+    '; ', coalesce(buyers, 0), ' shoppers took ', coalesce(units, 0), ' units') AS text
 FROM cat c LEFT JOIN (
   SELECT item_id, count(*) AS buyers, CAST(sum(units) AS BIGINT) AS units, avg(n) AS rep FROM (
     SELECT item_id, customer_id, count(*) AS n, sum(quantity) AS units FROM hp GROUP BY 1, 2) GROUP BY 1) s
@@ -260,17 +260,17 @@ SELECT * FROM (
     "ctx": """
 SELECT t.customer_id, t.item_id,
   concat('TARGET PRODUCT:\n- [', d.tag, '] ', d.text, '\n\nCUSTOMER EVIDENCE:\n',
-    CASE WHEN len(sig) = 0 THEN '- no direct history with this product' ELSE array_to_string(sig, '\n') END,
+    CASE WHEN len(sig) = 0 THEN '- never interacted with this product' ELSE array_to_string(sig, '\n') END,
     CASE WHEN r.lines IS NULL THEN '' ELSE concat('\n\nRECENTLY PURCHASED BY THIS CUSTOMER:\n', r.lines) END,
     CASE WHEN s.lines IS NULL THEN '' ELSE concat('\n\nSIMILAR PRODUCTS:\n', s.lines) END) AS context,
   list_distinct(list_concat([d.tag], list_concat(coalesce(r.tags, []), coalesce(s.tags, [])))) AS allowed_ids
 FROM (SELECT *, list_filter([
-    CASE WHEN ui_n_purchase > 0 THEN concat('- this customer has purchased it ', ui_n_purchase, ' time(s), last ',
-      CAST(ui_days_since AS BIGINT), ' days ago') END,
-    CASE WHEN ui_mean_gap > 0 THEN concat('- their typical repurchase gap is ', CAST(round_even(ui_mean_gap, 0) AS BIGINT),
-      ' days (due ratio ', printf('%.2f', round_even(ui_due_ratio, 2)), ')') END,
-    CASE WHEN uc_share > 0 THEN concat('- ', CAST(round_even(uc_share * 100, 0) AS BIGINT), '% of their basket is this category') END,
-    CASE WHEN ub_share > 0.15 THEN concat('- they favour this brand (', CAST(round_even(ub_share * 100, 0) AS BIGINT), '% of purchases)') END
+    CASE WHEN ui_n_purchase > 0 THEN concat('- own purchases of this product: ', ui_n_purchase, ', days since the latest: ',
+      CAST(ui_days_since AS BIGINT)) END,
+    CASE WHEN ui_mean_gap > 0 THEN concat('- usual interval between purchases: ', CAST(round_even(ui_mean_gap, 0) AS BIGINT),
+      ' days, elapsed part of it: ', printf('%.2f', round_even(ui_due_ratio, 2))) END,
+    CASE WHEN uc_share > 0 THEN concat('- share of this category in all purchases: ', CAST(round_even(uc_share * 100, 0) AS BIGINT), ' percent') END,
+    CASE WHEN ub_share > 0.15 THEN concat('- share of this brand in all purchases: ', CAST(round_even(ub_share * 100, 0) AS BIGINT), ' percent') END
   ], lambda x: x IS NOT NULL) AS sig FROM targets) t
 JOIN docs d ON d.item_id = t.item_id
 LEFT JOIN (SELECT customer_id, string_agg(concat('- [', tag, '] ', text), '\n' ORDER BY recency DESC) AS lines, list(tag) AS tags

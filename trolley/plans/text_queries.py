@@ -16,8 +16,8 @@ from trolley.sources import sinks, tables
 
 # Questions of the catalogue search and phrases looked up in the corpus.
 QUESTIONS = (
-    (0, "Which replenishable economy products sell the most units?"),
-    (1, "standard staple bought repeatedly by the same shoppers"),
+    (0, "Which economy refill staple sells the most units?"),
+    (1, "standard staple shoppers come back for"),
     (2, "qqqq zzzz"),
 )
 PHRASES = ((0, "the of and is that"), (1, "der und die nicht"), (2, "que la el los"), (3, "le la les des est"))
@@ -49,14 +49,19 @@ def tfidf_weights(spark, d):
     return rounded(documents.tfidf_weights(*_corpus(spark, d)))
 
 
+def _index(counts: DataFrame, n_docs, key: str = "doc_id"):
+    return tuple(stage(part, "tfidf") for part in documents.tfidf_index(counts, n_docs, key))
+
+
 def tfidf_search(spark, d):
-    return rounded(documents.tfidf_search(*_corpus(spark, d), _asks(spark, PHRASES), 10))
+    return rounded(documents.tfidf_search(_index(*_corpus(spark, d)), _asks(spark, PHRASES), 10))
 
 
 def qa_context(spark, d):
     docs = stage(_docs(Setting(spark, d)), "docs")
     counts = stage(documents.term_counts(docs, "item_id", "text"), "index")
-    return joined_text(documents.qa_context(docs, counts, _asks(spark, QUESTIONS), 4), "allowed_ids")
+    index = _index(counts, documents.corpus_size(docs), "item_id")
+    return joined_text(documents.qa_context(docs, index, _asks(spark, QUESTIONS), 4), "allowed_ids")
 
 
 def _contexts(s: Setting) -> DataFrame:
