@@ -9,7 +9,7 @@ import tempfile
 import time
 
 from trolley.plans.registry import REGISTRY
-from trolley.session import build_session
+from trolley.session import build_session, release
 
 HEADLINE = [
     "ranking_metrics", "user_item_features", "user_item_features_orders", "user_features", "item_features_orders",
@@ -36,6 +36,7 @@ def main() -> None:
         start = time.perf_counter()
         REGISTRY[name][0](spark, folder).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
+        release(spark)
         print(name, seconds[name], file=sys.stderr, flush=True)
     spark.stop()
     print(json.dumps({

@@ -89,3 +89,15 @@ def test_questions_without_a_match(spark):
     got = {r["query_id"]: r for r in documents.qa_context(docs, documents.tfidf_index(counts, documents.corpus_size(docs), "item_id"), asks).collect()}
     assert got[0]["context"] == "RETRIEVED PRODUCTS:\n- [item_1] milk and honey" and got[0]["allowed_ids"] == ["item_1"]
     assert got[1]["context"] == documents.NO_MATCH and got[1]["allowed_ids"] == []
+
+
+def test_brackets_of_many_distinct_values_are_cut_again(spark):
+    n = 200_000
+    df = spark.range(n).selectExpr("id % 2 AS g", "cast((id * 7919) % 200003 AS double) AS v")
+    rows = exact_percentiles(df, ["g"], "v", {"p50": 0.5, "p99": 0.99}).collect()
+    for r in rows:
+        values = sorted(float((i * 7919) % 200003) for i in range(n) if i % 2 == r["g"])
+        for name, p in (("p50", 0.5), ("p99", 0.99)):
+            at = p * (len(values) - 1)
+            lo, hi = values[int(at)], values[min(int(at) + 1, len(values) - 1)]
+            assert r[name] == lo + (hi - lo) * (at - int(at))

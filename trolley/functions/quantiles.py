@@ -1,9 +1,10 @@
 """Exact order statistics without bringing a column into one task.
 
 Spark's ``percentile`` keeps every distinct value of a group in the memory of
-one task. Here a mergeable sketch brackets every wanted rank, the values are
-counted, and only the narrow brackets are sorted. The result is exact for any
-brackets; the sketch only decides how much has to be sorted.
+one task. Here a mergeable sketch brackets every wanted rank and the values are
+counted. A second sketch inside each bracket cuts it into up to ``PARTS`` parts, and
+only the parts that hold a wanted rank are sorted. The result is exact for any
+cuts; the sketches only decide how much has to be sorted.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BRACKET, ACCURACY = 0.0005, 20_000
+BRACKET, ACCURACY, PARTS = 0.0005, 20_000, 1000
 
 
 def order_statistics(
@@ -54,9 +55,24 @@ def order_statistics(
         .groupBy(*g, "_b", "_before", "n")
         .agg(F.collect_list("_w").alias("_wanted"))  # at most len(ranks) entries
     )
-    running = Window.partitionBy(*g, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    inside = binned.join(wanted, [*g, "_b"])
+    fine = inside.groupBy(*g, "_b").agg(
+        F.percentile_approx("_v", [i / PARTS for i in range(1, PARTS)], ACCURACY).alias("_fine")
+    )
+    inside = inside.join(fine, [*g, "_b"]).withColumn(
+        "_s", F.size(F.filter("_fine", lambda c: c < F.col("_v")))
+    ).drop("_fine")
+    # at most PARTS rows per bracket
+    earlier = Window.partitionBy(*g, "_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    parts = inside.groupBy(*g, "_b", "_s").agg(F.sum("_n").alias("_sn")).withColumn(
+        "_sbefore", F.coalesce(F.sum("_sn").over(earlier), F.lit(0))
+    )
+    inside = inside.join(parts, [*g, "_b", "_s"]).withColumn("_before", F.col("_before") + F.col("_sbefore")).filter(
+        F.exists("_wanted", lambda w: (w["rank"] >= F.col("_before")) & (w["rank"] < F.col("_before") + F.col("_sn")))
+    )
+    running = Window.partitionBy(*g, "_b", "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     hit = (
-        binned.join(wanted, [*g, "_b"])
+        inside
         .withColumn("_upto", F.col("_before") + F.sum("_n").over(running))
         .withColumn("_w", F.explode(F.filter(
             "_wanted", lambda w: (w["rank"] < F.col("_upto")) & (w["rank"] >= F.col("_upto") - F.col("_n"))

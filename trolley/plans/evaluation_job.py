@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from trolley.operators import diagnostics, metrics, ranking, retrieval, vectors
 from trolley.operators.features import FEATURE_COLUMNS
 from trolley.plans.setting import Setting
-from trolley.session import build_session, stage
+from trolley.session import build_session, release, stage
 from trolley.sources import sinks
 
 MAX_K = max(metrics.K_VALUES)
@@ -95,8 +95,11 @@ def main() -> None:
     parser.add_argument("--output", required=True)
     args = parser.parse_args()
     spark = build_session("evaluation-job")
-    run(spark, args.tables, args.output)
-    spark.stop()
+    try:
+        run(spark, args.tables, args.output)
+    finally:
+        release(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

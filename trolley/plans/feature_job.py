@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from trolley.operators.features import FeatureStore
 from trolley.operators.pairs import pair_aggregate
-from trolley.session import build_session, stage
+from trolley.session import build_session, release, stage
 from trolley.sources.sinks import write_features
 from trolley.sources.tables import load_events
 
@@ -32,8 +32,11 @@ def main() -> None:
     parser.add_argument("--as-of-day", type=int, required=True)
     args = parser.parse_args()
     spark = build_session("feature-job")
-    run(spark, args.events, args.catalog, args.candidates, args.output, args.as_of_day)
-    spark.stop()
+    try:
+        run(spark, args.events, args.catalog, args.candidates, args.output, args.as_of_day)
+    finally:
+        release(spark)
+        spark.stop()
 
 
 if __name__ == "__main__":

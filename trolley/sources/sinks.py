@@ -14,11 +14,11 @@ cost_usd double, grounded boolean, ungrounded_ids array<string>, truncated boole
 def write_interactions(interactions: DataFrame, path: str) -> None:
     """Canonical log partitioned by day; rewriting a day replaces that day only.
 
-    The salt splits a day over several tasks and files, so a busy day does not
-    end up in one writer.
+    Rows are dealt to their day by a rebalance, which adaptive execution splits
+    by size: a busy day gets as many writers as it fills, a quiet one is one file.
     """
     (
-        interactions.repartition("day", F.pmod(F.xxhash64("event_seq"), F.lit(16)))
+        interactions.hint("rebalance", F.col("day"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
     )
 
