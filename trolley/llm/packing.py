@@ -16,10 +16,12 @@ cut, into full pieces and a rest. Repeated rows and null ids are packed like any
 
 from __future__ import annotations
 
+import array
 import functools
 import json
 import os
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +35,7 @@ from trolley.llm.common import crc32_number, numbered, raw
 from trolley.session import stage
 
 END_ID = 1
-WORD_CACHE = 400_000
+WORD_CACHE = 800_000
 FLUSH_BYTES = 16 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
@@ -63,12 +65,21 @@ class WordTokenizer:
         self.cache: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
+    def _merged(self, part: str) -> bytes:
+        ids = array.array("I", [t.id for t in self.merge(part)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
     def _ascii(self, word: str) -> bytes:
+        word = word.lower()
+        if word.isalpha():
+            return self._merged(word)
         found = []
-        for part in self.parts(word.lower()):
+        for part in self.parts(word):
             ids = self.pieces.get(part)
             if ids is None:
-                ids = self.pieces[part] = np.array([t.id for t in self.merge(part)], "<u4").tobytes()
+                ids = self.pieces[part] = self._merged(part)
             found.append(ids)
         return found[0] if len(found) == 1 else b"".join(found)
 
