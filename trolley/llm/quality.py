@@ -16,6 +16,7 @@ Rows are judged one by one, so repeated rows and null ids get their own row each
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -183,7 +184,7 @@ def fit_references(docs: DataFrame, rules: Rules = Rules()) -> References:
 
         def add(lang: str, kind: int, item: bytes, share: float) -> None:
             key = (lang, kind, item)
-            found[key] = found.get(key, 0) + round(share * MILLION)
+            found[key] = found.get(key, 0) + math.floor(share * MILLION + 0.5)
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), unpacked(batch.column("packed").to_pylist())):

@@ -11,7 +11,82 @@ from trolley.llm.common import table
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(table(spark, sf_dir, "documents"))
+    rows = quality.quality_rules(table(spark, sf_dir, "documents"))
+    return rows.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
+
+
+#: Histograms, references and distances as the operator's docstring defines them, limits as in ``quality.Rules``.
+OP10_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents
+), w AS (
+    SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
+    FROM (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)
+), tri AS (
+    SELECT rid, pos, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY rid ORDER BY pos)
+), twice AS (
+    SELECT rid, pos FROM tri WHERE w3 IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, w, w2, w3) > 1
+), repeats AS (
+    SELECT rid, count(DISTINCT pos + k) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid
+), lines AS (
+    SELECT rid, sum(n - 1)::BIGINT AS n_dup_lines FROM (
+        SELECT rid, line, count(*) AS n FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d)
+        WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid, line) GROUP BY rid
+), sizes AS (
+    SELECT rid, count(*) AS n_words, sum(length(w))::BIGINT AS word_chars FROM w GROUP BY rid
+), base AS (
+    SELECT d.*, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           coalesce(n_words, 0) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * coalesce(n_words, 0) AS base_failed
+    FROM d LEFT JOIN sizes USING (rid) LEFT JOIN repeats USING (rid) LEFT JOIN lines USING (rid)
+), classes AS (
+    SELECT rid, unnest([0, 1, 2, 3, 4, 5, 6]) AS item, unnest([lo, up, ot, di, sp, pu, n - lo - up - ot - di - sp - pu]) / n::DOUBLE AS share FROM (
+        SELECT rid, length(t) AS n, length(regexp_replace(t, '[^a-z]', '', 'g')) AS lo, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS up,
+               length(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS ot, length(regexp_replace(t, '[^0-9]', '', 'g')) AS di,
+               length(regexp_replace(t, '[^\x20\x09-\x0D]', '', 'g')) AS sp,
+               length(regexp_replace(t, '[^.,;:!?''"()\-]', '', 'g')) AS pu
+        FROM base WHERE n_words >= 50)
+), counts AS (
+    SELECT rid, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS item, count(*) AS n FROM w GROUP BY ALL
+), firsts AS (
+    SELECT rid, lang, n_words FROM base WHERE lang IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY lang, t ORDER BY rid) = 1 AND NOT base_failed
+), langs AS (
+    SELECT lang, count(*) AS texts FROM firsts GROUP BY lang HAVING count(*) >= 20 ORDER BY texts DESC, lang LIMIT 256
+), class_mean AS (
+    SELECT lang, item, share / sum(share) OVER (PARTITION BY lang) AS q FROM (
+        SELECT lang, item, sum(floor(share * 1000000 + 0.5)) / (any_value(texts) * 1000000.0::DOUBLE) AS share
+        FROM firsts JOIN langs USING (lang) JOIN classes USING (rid) GROUP BY lang, item)
+), word_mean AS (
+    SELECT lang, item, sum(floor(n / n_words::DOUBLE * 1000000 + 0.5)) / (any_value(texts) * 1000000.0::DOUBLE) AS q
+    FROM firsts JOIN langs USING (lang) JOIN counts USING (rid) GROUP BY lang, item
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sum(floor(n / n_words::DOUBLE * 1000000 + 0.5)) DESC, item) <= 64
+), asked AS (
+    SELECT rid, n_words, l.lang AS ref FROM base JOIN langs l ON base.lang = l.lang WHERE n_words >= 50
+    UNION ALL
+    SELECT rid, n_words, l.lang FROM base, langs l WHERE n_words >= 50 AND (base.lang IS NULL OR base.lang NOT IN (SELECT lang FROM langs))
+), both_classes AS (
+    SELECT rid, ref, share AS p, q FROM asked JOIN class_mean ON class_mean.lang = ref JOIN classes USING (rid, item)
+), both_words AS (
+    SELECT a.rid, ref, coalesce(n, 0) / n_words::DOUBLE AS p, q
+    FROM asked a JOIN word_mean ON word_mean.lang = ref LEFT JOIN counts c ON c.rid = a.rid AND c.item = word_mean.item
+), all_words AS (
+    SELECT * FROM both_words
+    UNION ALL
+    SELECT rid, ref, greatest(1 - sum(p), 0), greatest(1 - sum(q), 0) FROM both_words GROUP BY rid, ref
+), far AS (
+    SELECT rid, min(x) FILTER (kind = 'c') AS class_distance, min(x) FILTER (kind = 'w') AS word_distance FROM (
+        SELECT rid, ref, kind, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+                 + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2, 0)) AS x
+        FROM (SELECT *, 'c' AS kind FROM both_classes UNION ALL SELECT *, 'w' FROM all_words) GROUP BY rid, ref, kind)
+    GROUP BY rid
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND (class_distance IS NULL OR (class_distance <= 0.15 + 1.5 / sqrt(n_words) AND word_distance <= 0.35 + 0.9 / sqrt(n_words))) AS kept,
+       round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance
+FROM base LEFT JOIN far USING (rid)
+"""
 
 
 def op1_odd_sketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,10 +97,64 @@ def op2_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.score(table(spark, sf_dir, "documents"))
 
 
+#: Exact: all pairs that share a shingle, on full sets, then everything reachable.
+OP1_SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w
+        ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+    FROM words
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), sets AS (
+    SELECT doc_id, n, s FROM shingles JOIN sizes USING (doc_id)
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(a, b) AS (
+    SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b
+), low AS (
+    SELECT a, min(b) AS b FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low.b, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(low.b, doc_id)) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN low ON low.a = doc_id
+"""
+
+
 def op3_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+#: Exact: all pairs of a label.
+OP3_SQL = """
+WITH RECURSIVE good AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.93
+), reach(a, b) AS (
+    SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), low AS (
+    SELECT a, min(b) AS b FROM reach GROUP BY a
+), many AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(low.b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low.b, vec_id)) AS kept
+FROM embeddings LEFT JOIN low ON low.a = vec_id LEFT JOIN many ON many.a = vec_id
+"""
+
+
 def op4_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.rendered(table(spark, sf_dir, "conversations"))
 
@@ -115,13 +244,13 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 
 QUERIES = {
     "op2_recurrent_scores": (op2_recurrent_scores, None),
-    "op3_projection_forest": (op3_projection_forest, None),
+    "op3_projection_forest": (op3_projection_forest, OP3_SQL),
     "op5_suffix_repeats": (op5_suffix_repeats, None),
-    "op1_odd_sketch_dedup": (op1_odd_sketch_dedup, None),
+    "op1_odd_sketch_dedup": (op1_odd_sketch_dedup, OP1_SQL),
     "op6_byte_bpe": (op6_byte_bpe, None),
     "op4_snapshot_collapse": (op4_snapshot_collapse, OP4_SQL),
     "op7_best_fit_packing": (op7_best_fit_packing, None),
     "op8_hilbert_shards": (op8_hilbert_shards, None),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
-    "op10_quality_rules": (op10_quality_rules, None),
+    "op10_quality_rules": (op10_quality_rules, OP10_SQL),
 }
