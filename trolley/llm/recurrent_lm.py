@@ -243,29 +243,33 @@ def before_of(symbols: np.ndarray, fresh: np.ndarray) -> np.ndarray:
 
 
 def train(model: Model, docs: list[np.ndarray], adam: Adam) -> None:
-    """One pass of truncated backpropagation over the documents."""
+    """One pass of truncated backpropagation over the documents, laid end to end and cut into lanes of equal length.
+
+    The state of a lane is carried from window to window; only the few documents that a cut parts lose theirs once.
+    """
     s = model.s
-    total, longest = sum(map(len, docs)), max(map(len, docs))
-    symbols, fresh, _ = in_lanes(docs, min(s.lanes, max(total // max(longest, 1), 16)))
+    stream = np.concatenate(docs)
+    starts = np.zeros(len(stream), bool)
+    starts[np.cumsum([0, *map(len, docs)])[:-1]] = True
+    lanes = max(min(s.lanes, len(stream) // s.window), 1)
+    steps = -(-len(stream) // lanes)
+    rest = steps * lanes - len(stream)
+    # what is missing in the last lane is filled from the start of the stream
+    symbols, fresh = (np.concatenate([x, x[:rest]]).reshape(lanes, steps).T for x in (stream, starts))
+    fresh = fresh.copy()
+    fresh[0] = True
     before = before_of(symbols, fresh)
-    active = (symbols >= 0).sum(axis=1)
-    h = np.zeros((symbols.shape[1], s.hidden), np.float32)
-    for t in range(0, len(symbols), s.window):
-        end = min(t + s.window, len(symbols))
-        n = int(active[end - 1])
-        # lanes that end inside the window train with those that span it, up to the shortest common stretch
-        if n < active[t]:
-            end = t + int((active[t:end] == active[t]).sum())
-            n = int(active[t])
-        grad, state, _ = model.train_window(before[t:end, :n], symbols[t:end, :n], fresh[t:end, :n], h[:n])
+    h = np.zeros((lanes, s.hidden), np.float32)
+    for t in range(0, steps, s.window):
+        end = min(t + s.window, steps)
+        grad, h, _ = model.train_window(before[t:end], symbols[t:end], fresh[t:end], h)
         norm = float(np.sqrt((grad * grad).sum()))
         if norm > s.clip:
             grad *= np.float32(s.clip / norm)
         adam.update(model.flat, grad)
-        h[:n] = state
 
 
-def log_likelihoods(model: Model, docs: list[np.ndarray], lanes: int = 256, window: int = 64) -> np.ndarray:
+def log_likelihoods(model: Model, docs: list[np.ndarray], lanes: int = 256, window: int = 256) -> np.ndarray:
     """Natural log probability of each whole document, state carried across its windows."""
     out = np.zeros(len(docs))
     if not docs:
