@@ -33,7 +33,7 @@ def baseline_lists(s: Setting, fit_until: int, k: int, als: dict) -> dict[str, D
         "repeat": retrieval.repeat_backfill(pairs, s.items, s.asked, depth),
         "item_knn": retrieval.item_knn(pairs, s.items, s.asked, depth),
         "als": retrieval.als_topk(pairs, s.asked, depth, **als),
-        "vector": vectors.vector_topk(s.user_vectors(fit_until, s.asked), s.vectors, k),
+        "vector": s.nearest(s.user_vectors(fit_until, s.asked), k),
     }
     lists = {name: stage(df, f"list-{name}") for name, df in lists.items()}
     lists["blend"] = retrieval.rrf_blend([(lists[n], w) for n, w in BLEND_WEIGHTS.items()], k)
@@ -55,7 +55,8 @@ def run(
     spark: SparkSession, tables: str, output: str,
     trees: int = ranking.TREES, depth: int = ranking.DEPTH, als: dict | None = None,
 ) -> None:
-    s = Setting(spark, tables)
+    # candidates come from the pruned search: its cost per customer does not grow with the catalog
+    s = Setting(spark, tables, cells=(vectors.NLIST, vectors.NPROBE))
     popularity = stage(s.base_popularity(s.pairs()), "popularity")
 
     # Both freshness settings: fitted up to the train window, and up to the day before the test week.

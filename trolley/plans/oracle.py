@@ -288,8 +288,8 @@ FROM (SELECT *, regexp_extract_all(context, '- \\[(item_\\d+)\\] ([^\\n]+)', 1)
   regexp_extract_all(context, '- \\[(item_\\d+)\\] ([^\\n]+)', 2) AS facts,
   list_filter(string_split(context, '\n'), lambda s: starts_with(s, '- ') AND NOT starts_with(s, '- [') AND length(s) > 2) AS evid FROM ctx)""",
     "claims": """
-SELECT customer_id, item_id, false AS fabricated, allowed_ids, answer FROM ans
-UNION ALL SELECT customer_id, item_id, true, allowed_ids, concat(answer, ' See also [item_99999].') FROM ans
+SELECT customer_id, item_id, false AS fabricated, allowed_ids, answer, context, question, answer AS plain FROM ans
+UNION ALL SELECT customer_id, item_id, true, allowed_ids, concat(answer, ' See also [item_99999].'), context, question, answer FROM ans
 WHERE (customer_id + item_id) % 7 = 0""",
     "checked": """
 SELECT *, len(bad) = 0 AS grounded FROM (

@@ -30,6 +30,8 @@ class Setting:
 
     spark: SparkSession
     folder: str
+    # (cells, cells probed) of the vector search of the candidate lists; None: every item is compared
+    cells: tuple[int, int] | None = None
     _staged: dict = field(default_factory=dict, repr=False)
 
     def once(self, name: str, day: int, make) -> DataFrame:
@@ -99,12 +101,20 @@ class Setting:
         users = vectors.pooled_user_vectors(self.log(as_of_day=as_of_day), self.vectors)
         return stage(users.join(asked, "customer_id", "left_semi"), "users")
 
+    def nearest(self, users: DataFrame, k: int) -> DataFrame:
+        """Best items per customer by cosine, over all items or over the probed cells only."""
+        if self.cells is None:
+            return vectors.vector_topk(users, self.vectors, k)
+        asked = users.select(F.col("customer_id").alias("query_id"), "vector")
+        found = vectors.ivf_topk(asked, self.vectors, k, *self.cells)
+        return found.withColumnRenamed("query_id", "customer_id").select("customer_id", "item_id", "rank", "score")
+
     def sources(self, pairs: DataFrame, as_of_day: int, asked: DataFrame) -> dict[str, DataFrame]:
         """The four candidate lists, all fitted on the log up to ``as_of_day``."""
         depth = pooling.PER_SOURCE
         return {
             "repeat": retrieval.repeat_purchase(pairs, asked, depth["repeat"]),
-            "two_tower": vectors.vector_topk(self.user_vectors(as_of_day, asked), self.vectors, depth["two_tower"]),
+            "two_tower": self.nearest(self.user_vectors(as_of_day, asked), depth["two_tower"]),
             "item_knn": retrieval.item_knn(pairs, self.items, asked, depth["item_knn"]),
             "popularity": retrieval.popularity_topk(pairs, self.items, asked, depth["popularity"]),
         }
