@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     # hash instead of sort-merge where the measured partitions are small enough
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # whole texts travel to Python in these batches, on both sides outside the heap
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.session.timeZone": "UTC",
 }
 
