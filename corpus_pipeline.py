@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trolley.llm import minhash, packing, quality, repeats
 from trolley.llm.common import table
-from trolley.session import stage
+from trolley.session import stage, tune
 
 CAPACITY = 4096
 TOKENIZER = "word_bpe_49k.json"
@@ -19,21 +19,25 @@ TOKENIZER = "word_bpe_49k.json"
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go; references come from the documents given."""
+    tune(spark)
     return quality.keep(docs, quality.fit_references(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document stays of each group linked by a similarity of 0.8 or more on shingles of five words."""
+    tune(spark)
     return minhash.keep_one(docs, minhash.Settings(shingle=5))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 200 bytes that occur more than once go from the texts; every document stays."""
+    tune(spark)
     return repeats.remove_repeats(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place of every piece in sequences of 4096 tokens."""
+    tune(spark)
     return packing.pack(docs, public_tokenizers.path(TOKENIZER), CAPACITY)
 
 
