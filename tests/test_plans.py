@@ -63,3 +63,23 @@ def test_ids_beyond_32_bits(spark):
     asked = pairs.select("customer_id").distinct()
     got = retrieval.als_topk(pairs, asked, 2, factors=2, iterations=2).collect()
     assert len(got) == 12 and all(r["customer_id"] >= 2**40 and r["item_id"] >= 2**41 for r in got)
+
+
+def test_staged_folders_go_when_the_job_is_done(spark, monkeypatch):
+    from trolley import session
+
+    monkeypatch.setattr(session, "_WRITTEN", {})
+    frame = session.stage(spark.range(5), "released")
+    (path,) = session._WRITTEN[spark.sparkContext.applicationId]
+    assert frame.count() == 5 and Path(path.removeprefix("file://")).exists()
+    session.release(spark)
+    assert not Path(path.removeprefix("file://")).exists()
+
+
+@pytest.mark.skipif(not Path(TABLES).exists(), reason="no test tables")
+def test_a_setting_aggregates_the_log_once_per_day(spark):
+    from trolley.plans.setting import Setting
+
+    s = Setting(spark, TABLES)
+    assert s.pairs() is s.pairs(s.train_end) and s.pairs(s.valid_end) is not s.pairs()
+    assert "events.parquet" not in json.dumps(s.pairs().inputFiles())
