@@ -26,10 +26,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm.common import packed, parts_for, raw, unpacked
+from trolley.llm.common import longs, packed, parts_for, raw, unpacked
 from trolley.session import stage
 
 END, OTHER = 0, 1
@@ -310,8 +310,17 @@ def _bundled(docs: DataFrame, s: Settings) -> DataFrame:
     n = parts_for(docs.sparkSession, size, s.bundle_bytes)
     doc_id = F.col("doc_id").cast("bigint")
     rows = packed(docs, doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"))
-    rows = rows.withColumn("b", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)))
-    return rows.repartition(n, "b")
+    turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
+    return rows.withColumn("b", F.element_at(longs(_one_per_partition(docs.sparkSession, n)), turn + 1)).repartition(n, "b")
+
+
+def _one_per_partition(spark: SparkSession, n: int) -> list[int]:
+    """``n`` numbers that a hash partitioning of ``n`` partitions deals to a partition each, so that no task gets several bundles."""
+    place = F.pmod(F.hash("id"), F.lit(n)).alias("p")
+    found = spark.range(n * (12 + 2 * n.bit_length())).groupBy(place).agg(F.min("id").alias("id"))
+    own = [r["id"] for r in found.collect()]
+    # a partition that no number was dealt to stays empty; its share goes to others
+    return own + own[: n - len(own)]
 
 
 def _bundle_words(rows: DataFrame) -> DataFrame:
