@@ -261,7 +261,8 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links), kept (whether it is that one)."""
     signed = stage(signatures(docs, s), "signatures")
     named = signed.where("n > 0 and doc_id is not null")
-    groups = named.groupBy("g", "h", "n").agg(F.min("doc_id").alias("sid"))
+    # written, so that the rows of one hot set, which the join below brings together, can be split
+    groups = stage(named.groupBy("g", "h", "n").agg(F.min("doc_id").alias("sid")), "set-groups")
     owners = stage(named.select("doc_id", "g", "h", "n").join(groups, ["g", "h", "n"]).select("doc_id", "sid"), "set-owners")
     distinct = signed.join(owners.where("doc_id = sid").select("doc_id").distinct(), "doc_id", "left_semi")
 
