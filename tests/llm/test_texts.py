@@ -279,6 +279,14 @@ def test_recurrent_scores(docs, texts, empty):
     assert recurrent_lm.score(empty, s).count() == 0
 
 
+def test_every_training_document_gives_a_gradient(docs):
+    s = recurrent_lm.Settings()
+    own = docs.where(~recurrent_lm.held_out(docs.doc_id))
+    want = sum(len((r.text or "").encode().split()) + 1 for r in own.collect())
+    symbols = recurrent_lm.Symbols([b"the", b"of", b"and"], [3, 2, 1], 1, 1, s.classes)
+    assert recurrent_lm._trained(docs, symbols, s)[1] == want
+
+
 def small_model():
     s = recurrent_lm.Settings(vocabulary=12, classes=5, hidden=4)
     sym = recurrent_lm.Symbols([bytes([97 + k]) for k in range(12)], list(range(24, 0, -2)), 30, 9, s.classes)

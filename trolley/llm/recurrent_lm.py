@@ -6,8 +6,8 @@ within its class (classes of about equal mass), so a step costs about the square
 
 Training is data parallel: in each of ``rounds`` rounds every task starts from the shared weights and runs truncated
 backpropagation over windows of ``window`` symbols of its training documents, with the state carried from window to window and cleared
-where a document starts; the new weights are the mean over tasks, weighted by symbols and summed by Spark. A round takes its own share of the
-training documents by hash, ``train_share`` of them over all rounds, so training grows with the corpus.
+where a document starts; the new weights are the mean over tasks, weighted by symbols and summed by Spark. Every round takes its own share of the
+training documents by hash, and each training document is in exactly one (``train_share`` under 1 leaves some out, for trials only).
 Scoring runs documents side by side in lanes, each through all its windows with the state carried, so every document is scored whole.
 
 Words meet their counts by bundle: documents are dealt to bundles, the distinct words of a bundle join the counts, and a task reads one bundle and
@@ -43,8 +43,8 @@ class Settings:
     hidden: int = 16
     window: int = 24
     lanes: int = 256
-    rounds: int = 2
-    train_share: float = 0.25
+    rounds: int = 4
+    train_share: float = 1.0
     rate: float = 0.01
     clip: float = 1.0
     seed: int = 11
@@ -347,9 +347,9 @@ def _bundle_words(rows: DataFrame) -> DataFrame:
     return rows.select("b", "held_out", "packed").mapInArrow(count, "b bigint, word binary, n bigint")
 
 
-def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> Model:
-    """Weights after all rounds of data-parallel training."""
-    model = Model(symbols, s)
+def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> tuple[Model, int]:
+    """Weights after all rounds of data-parallel training, and the number of symbols that gave a gradient."""
+    model, trained_on = Model(symbols, s), 0
     doc_id = F.col("doc_id").cast("bigint")
     turn = F.pmod(F.xxhash64(doc_id, raw("text")), F.lit(1_000_000)) / F.lit(1_000_000.0) / F.lit(s.train_share / s.rounds)
     rows = docs.where(~held_out(doc_id)).select(F.floor(turn).alias("turn"), raw("text").alias("text"))
@@ -384,7 +384,8 @@ def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> Model:
         if len(sums):
             x = sums["x"].to_numpy()
             model = Model(symbols, s, (x[1:] / x[0]).astype(np.float32))
-    return model
+            trained_on += int(x[0])
+    return model, trained_on
 
 
 def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
@@ -399,8 +400,7 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     top = counts.where("c > 0").orderBy(F.desc("c"), "word").limit(s.vocabulary).collect()
     inside = sum(r["c"] for r in top)
     symbols = Symbols([bytes(r["word"]) for r in top], [r["c"] for r in top], ends, n - ends - inside, s.classes)
-    model = _trained(docs, symbols, s)
-    flat = model.flat
+    flat = _trained(docs, symbols, s)[0].flat
     # of the words outside the vocabulary: smoothed share of a word among them
     rest = (n - ends - inside) + (total[0] - len(top)) + 1
     base_log = math.log10(n + v + 1)
