@@ -4,12 +4,16 @@ import base64
 import collections
 import hashlib
 import math
+import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 
-from trolley.llm import byte_bpe, minhash, packing, quality, recurrent_lm, repeats, sharding
+from compare import difference
+from llm.conftest import DOCS
+from trolley.llm import byte_bpe, minhash, packing, quality, queries, recurrent_lm, repeats, sharding
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -279,6 +283,20 @@ def test_recurrent_scores(docs, texts, empty):
     assert recurrent_lm.score(empty, s).count() == 0
 
 
+def test_quality_references_count_texts_not_ids(spark, tmp_path):
+    """No ids, one id for different texts, and rows that repeat id and text; the verdicts are those of the SQL."""
+    rng = random.Random(8)
+    some = [" ".join(rng.choice(["ab", "cd", "ef", "gh", str(k)]) + rng.choice("xyz") for _ in range(60)) for k in range(66)]
+    rows = [(None, t, "en", None, 1) for t in some[:22]] + [(7, t, "de", None, 1) for t in some[22:44]]
+    rows += [(100 + k, t, "fr", None, 1) for k, t in enumerate(some[44:])] + [(100, some[44], "fr", None, 1)] * 30
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    refs = quality.fit_references(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert sorted(refs.classes) == ["de", "en", "fr"]
+    assert difference(queries.op10_quality_rules(spark, str(tmp_path)), con, queries.OP10_SQL) is None
+
+
 def test_every_training_document_gives_a_gradient(docs):
     s = recurrent_lm.Settings()
     own = docs.where(~recurrent_lm.held_out(docs.doc_id))

@@ -155,15 +155,13 @@ def verdict(text: bytes, lang: str | None, refs: References, rules: Rules) -> tu
 
 
 def _distinct_texts(docs: DataFrame) -> DataFrame:
-    """One row (lang, packed) per distinct text and language with the text compressed. Hashes and ids find the first copies;
-    then compressed texts meet the ids of those."""
-
-    rows = docs.select(
-        F.col("doc_id").cast("string").alias("id"), F.col("lang").cast("string").alias("lang"), raw("text").alias("text"))
-    key = rows.select("id", F.xxhash64("lang", "text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g"))
-    first = key.groupBy("h", "g").agg(F.min("id").alias("id")).select("id")
-    return (packed(rows.where("lang is not null"), F.col("id"), F.col("lang"), text=F.col("text"))
-            .join(first, "id", "left_semi").drop("id"))
+    """One row (lang, packed) per distinct text and language with the text compressed, whatever the ids are. Texts with the same two
+    hashes are equal; their copies fall together before the shuffle, so a much repeated text is one row per task."""
+    lang = F.col("lang").cast("string")
+    text = raw("text")
+    rows = docs.where("lang is not null")
+    rows = packed(rows, lang.alias("lang"), F.xxhash64(lang, text).alias("h"), F.xxhash64(F.lit(1), text).alias("g"), text=text)
+    return rows.groupBy("lang", "h", "g").agg(F.first("packed").alias("packed")).select("lang", "packed")
 
 
 def fit_references(docs: DataFrame, rules: Rules = Rules()) -> References:
