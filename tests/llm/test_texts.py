@@ -297,6 +297,20 @@ def test_quality_references_count_texts_not_ids(spark, tmp_path):
     assert difference(queries.op10_quality_rules(spark, str(tmp_path)), con, queries.OP10_SQL) is None
 
 
+def test_every_language_with_enough_texts_has_its_reference(docs, spark):
+    """With one language on the driver or with all, the verdicts are the same for documents of all languages with a reference."""
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.choice(x) + rng.choice("xyz") for _ in range(60)), x, None, 1)
+            for k, x in enumerate(["abcd", "efgh", "ijkl"] * 8)]
+    docs = spark.createDataFrame(rows, DOCS)
+    few, many = quality.Rules(min_texts=5, max_languages=1), quality.Rules(min_texts=5)
+    one, all_three = quality.fit_references(docs, few), quality.fit_references(docs, many)
+    assert (len(one.classes), one.more.count()) == (1, 2) and len(all_three.classes) == 3 and all_three.more is None
+    want = sorted(quality.judge(docs, all_three, many).collect())
+    assert all(r.kept for r in want) and sorted(quality.judge(docs, one, few).collect()) == want
+    assert sorted(quality.keep(docs, one, few).collect()) == sorted(docs.collect())
+
+
 def test_every_training_document_gives_a_gradient(docs):
     s = recurrent_lm.Settings()
     own = docs.where(~recurrent_lm.held_out(docs.doc_id))

@@ -6,11 +6,11 @@ Short texts scatter more, so both limits widen with 1/sqrt(words), and nothing u
 
 The references are means over all distinct texts of a language that pass the base rules: every distinct text
 weighs the same, however often it is copied and however long it is. Sums are kept in whole millionths, so that
-they don't depend on the order of rows. At most ``max_languages`` languages (those with most texts) and
-``common_words`` words each reach the driver.
+they don't depend on the order of rows. The references of at most ``max_languages`` languages (those with most texts, ``common_words``
+words each) reach the driver; those of all other languages stay a table that joins the documents of these languages.
 
 Defined results: a null or empty text has no words and fails the base rules. A document whose language is null, or has
-under ``min_texts`` texts, is held against its nearest reference. Without any reference the base rules decide.
+under ``min_texts`` texts, is held against the nearest reference of the ``max_languages`` languages. Without any reference the base rules decide.
 Rows are judged one by one, so repeated rows and null ids get their own row each. Texts are read whole.
 """
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.llm.common import packed, raw, unpacked
+from trolley.session import stage
 
 SYMBOLS = b"#*$%&|<>"
 CLASSES = ("lower", "upper", "other_letter", "digit", "space", "punctuation", "symbol", "inside")
@@ -53,11 +54,25 @@ class Rules:
 
 @dataclass(frozen=True)
 class References:
-    """By language: class histogram, common words, and their histogram with the rest as the last bin."""
+    """By language: class histogram, common words, and their histogram with the rest as the last bin. ``more`` has the languages that
+    don't reach the driver: lang, and its statistics (kind, item, share, r) as an array ``own``; None if there are none."""
 
     classes: dict[str, np.ndarray] = field(default_factory=dict)
     words: dict[str, list[bytes]] = field(default_factory=dict)
     shares: dict[str, np.ndarray] = field(default_factory=dict)
+    more: DataFrame | None = None
+
+    def add(self, lang: str, stats: list, rules: Rules) -> None:
+        """Histograms of a language from its statistics, rows with kind, item, share and rank r."""
+        total = sum(r["share"] for r in stats if r["kind"] == TEXTS)
+        classes = np.zeros(len(CLASSES) - 1)
+        for r in stats:
+            if r["kind"] == CLASS:
+                classes[r["item"][0]] = r["share"] / total
+        words = sorted((r for r in stats if r["kind"] == WORD and r["r"] <= rules.common_words), key=lambda r: r["r"])
+        share = np.array([r["share"] / total for r in words])
+        self.classes[lang], self.words[lang] = classes / classes.sum(), [bytes(r["item"]) for r in words]
+        self.shares[lang] = np.append(share, max(1 - share.sum(), 0.0))
 
 
 def _class_table() -> np.ndarray:
@@ -202,24 +217,46 @@ def fit_references(docs: DataFrame, rules: Rules = Rules()) -> References:
             .groupBy("lang", "kind", "item").agg(F.sum("share").alias("share")))
     order = Window.partitionBy("lang", "kind").orderBy(F.desc("share"), "item")
     top = rows.withColumn("r", F.row_number().over(order)).where(F.col("r") <= max(rules.common_words, len(CLASSES)))
-    by: dict[str, list] = {}
-    for r in top.collect():
-        by.setdefault(r["lang"], []).append(r)
-    total = {x: sum(r["share"] for r in rs if r["kind"] == TEXTS) for x, rs in by.items()}
-    chosen = sorted((x for x in total if total[x] >= rules.min_texts * MILLION), key=lambda x: (-total[x], x))
-    refs = References()
-    for x in chosen[: rules.max_languages]:
-        classes = np.zeros(len(CLASSES) - 1)
-        for r in by[x]:
-            if r["kind"] == CLASS:
-                classes[r["item"][0]] = r["share"] / total[x]
-        words = sorted((r for r in by[x] if r["kind"] == WORD and r["r"] <= rules.common_words), key=lambda r: r["r"])
-        share = np.array([r["share"] / total[x] for r in words])
-        refs.classes[x], refs.words[x] = classes / classes.sum(), [bytes(r["item"]) for r in words]
-        refs.shares[x] = np.append(share, max(1 - share.sum(), 0.0))
+    top = stage(top, "reference-statistics")
+    enough = top.where((F.col("kind") == TEXTS) & (F.col("share") >= rules.min_texts * MILLION))
+    largest = [r["lang"] for r in enough.orderBy(F.desc("share"), "lang").limit(rules.max_languages + 1).collect()]
+    chosen, beyond = largest[: rules.max_languages], len(largest) > rules.max_languages
+    by: dict[str, list] = {x: [] for x in chosen}
+    for r in top.where(F.col("lang").isin(chosen)).collect():
+        by[r["lang"]].append(r)
+    more = None
+    if beyond:
+        others = enough.where(~F.col("lang").isin(chosen)).select("lang")
+        more = stage(top.join(others, "lang").groupBy("lang").agg(F.collect_list(F.struct("kind", "item", "share", "r")).alias("own")),
+                     "more-references")
+    refs = References(more=more)
+    for x in chosen:
+        refs.add(x, by[x], rules)
     return refs
 
 
+def _with_own(docs: DataFrame, lang: str, refs: References) -> DataFrame:
+    """``docs`` with the statistics of languages that are not on the driver as column ``__own``, null for all other rows."""
+    if refs.more is None:
+        return docs.withColumn("__own", F.lit(None).cast("array<struct<kind:int,item:binary,share:bigint,r:int>>"))
+    more = refs.more.select(F.col("lang").alias("__lang"), F.col("own").alias("__own"))
+    return docs.join(more, F.col(lang).cast("string") == F.col("__lang"), "left").drop("__lang")
+
+
+def _verdicts(texts: list[bytes], langs: list[str | None], own: list[list | None], refs: References, rules: Rules) -> list[tuple]:
+    """Verdicts of rows; a row with its own statistics is held against these."""
+    found, out, last = References(), [], None
+    for text, lang, stats in zip(texts, langs, own):
+        if stats is None:
+            out.append(verdict(text, lang, refs, rules))
+            continue
+        if lang != last:
+            found, last = References(), lang
+            found.add(lang, stats, rules)
+        out.append(verdict(text, lang, found, rules))
+    return out
+
+
 SCHEMA = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
           "base_failed boolean, kept boolean, class_distance double, word_distance double")
 
@@ -227,29 +264,33 @@ SCHEMA = ("doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n
 def judge(docs: DataFrame, refs: References, rules: Rules = Rules()) -> DataFrame:
     """One row per document with the base counts, the two distances and the verdict."""
 
+    near = replace(refs, more=None)
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in SCHEMA.split(", ")]
         kinds = [pa.int64()] * 6 + [pa.bool_()] * 2 + [pa.float64()] * 2
         for batch in batches:
-            found = [verdict(t, x, refs, rules) for t, x in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist())]
+            found = _verdicts(*(batch.column(c).to_pylist() for c in ("text", "lang", "__own")), near, rules)
             columns = [list(c) for c in zip(*found)] or [[]] * 9
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds[1:]))], names)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-                       raw("text").alias("text")).mapInArrow(each, SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), raw("text").alias("text"))
+    return _with_own(rows, "lang", refs).mapInArrow(each, SCHEMA)
 
 
 def keep(docs: DataFrame, refs: References, rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, with all their columns as they came."""
 
+    near = replace(refs, more=None)
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            langs = batch.column("lang").to_pylist()
-            yield batch.filter(pa.array([verdict((t or "").encode(), x, refs, rules)[6] for t, x in zip(texts, langs)], pa.bool_()))
+            texts, langs, own = (batch.column(c).to_pylist() for c in ("text", "lang", "__own"))
+            kept = [v[6] for v in _verdicts([(t or "").encode() for t in texts], langs, own, near, rules)]
+            yield batch.drop_columns(["__own"]).filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(each, docs.schema)
+    return _with_own(docs, "lang", refs).mapInArrow(each, docs.schema)
 
 
 def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
