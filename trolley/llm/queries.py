@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import byte_bpe, conversations, embedding_forest, minhash, packing, quality, recurrent_lm, repeats, sharding, url_filter
+from trolley.llm import byte_bpe, conversations, embedding_forest, minhash, packing, pruned_graph, quality, recurrent_lm, repeats, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -242,6 +242,28 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+def op13_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return pruned_graph.nearest(rows, rows.where("vec_id % 50 = 0"), 5)
+
+
+#: The exact lists, which the beams are to find. Sums run in the order of the components on both sides.
+OP13_SQL = """
+WITH good AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_dot_product(q.v, c.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(c.v, c.v))) AS score
+    FROM good q JOIN good c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+)
+SELECT query_id, CAST(row_number() OVER o AS INTEGER) AS rank, vec_id, score FROM scored
+WINDOW o AS (PARTITION BY query_id ORDER BY score DESC, vec_id) QUALIFY row_number() OVER o <= 5
+"""
+
+
 QUERIES = {
     "op2_recurrent_scores": (op2_recurrent_scores, None),
     "op3_projection_forest": (op3_projection_forest, OP3_SQL),
@@ -253,4 +275,5 @@ QUERIES = {
     "op8_hilbert_shards": (op8_hilbert_shards, None),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
+    "op13_pruned_graph": (op13_pruned_graph, OP13_SQL),
 }
