@@ -284,6 +284,8 @@ def build(rows: DataFrame, keep: int, s: Settings = Settings(), id_column: str =
             "edges": pa.array([e[e >= 0].astype("<i4").tobytes() for e in g.edges], pa.binary())})
 
     turned = dealt.select("size", "shard", "ids", "v", F.xxhash64(F.lit(1), F.element_at("ids", 1), "v").alias("turn"))
+    # a task per shard, whatever few bytes it has
+    turned = turned.repartition(2 * (shards.agg(F.sum("shards")).first()[0] or 1), "size", "shard")
     return stage(turned.groupBy("size", "shard").applyInArrow(grow, INDEX), "graph-index")
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import byte_bpe, conversations, embedding_forest, minhash, packing, pruned_graph, quality, recurrent_lm, repeats, sharding, url_filter
+from trolley.llm import byte_bpe, collocations, conversations, embedding_forest, minhash, packing, pruned_graph, quality, recurrent_lm, repeats, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -242,6 +242,52 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+def op12_best_first_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+#: All phrases and all cuts, without growth or bounds.
+OP12_SQL = r"""
+WITH pieces AS (
+    SELECT rid, lang, unnest(ps) AS piece, generate_subscripts(ps, 1) AS place FROM (
+        SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+        FROM documents)
+), words AS (
+    SELECT rid, place, lang, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
+    FROM (SELECT rid, place, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces)
+), grams AS (
+    SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4
+    FROM words WINDOW o AS (PARTITION BY rid, place ORDER BY pos)
+), f AS (
+    SELECT lang, p, count(*) AS a FROM (
+        SELECT lang, [w1] AS p FROM grams
+        UNION ALL SELECT lang, [w1, w2] FROM grams WHERE w2 IS NOT NULL
+        UNION ALL SELECT lang, [w1, w2, w3] FROM grams WHERE w3 IS NOT NULL
+        UNION ALL SELECT lang, [w1, w2, w3, w4] FROM grams WHERE w4 IS NOT NULL)
+    GROUP BY lang, p HAVING count(*) >= 30
+), candidates AS (
+    SELECT * FROM f WHERE len(p) > 1
+), cuts AS (
+    SELECT c.lang, c.p, c.a, k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
+    FROM (SELECT *, unnest(range(1, len(p))) AS k FROM candidates) c
+    JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k] JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, p[i:j] AS p, max(a) AS longer
+    FROM (SELECT lang, p, a, i, unnest(range(i + 1, len(p) + 1)) AS j FROM (SELECT *, unnest(range(1, len(p))) AS i FROM candidates))
+    WHERE j - i + 1 < len(p) GROUP BY ALL
+), kept AS (
+    SELECT s.*, array_to_string(s.p, ' ') AS phrase FROM scored s LEFT JOIN inside USING (lang, p)
+    WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a
+)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN (SELECT lang, count(*) AS n FROM words GROUP BY lang) USING (lang)
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000
+"""
+
+
 def op13_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return pruned_graph.nearest(rows, rows.where("vec_id % 50 = 0"), 5)
@@ -275,5 +321,6 @@ QUERIES = {
     "op8_hilbert_shards": (op8_hilbert_shards, None),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
+    "op12_best_first_phrases": (op12_best_first_phrases, OP12_SQL),
     "op13_pruned_graph": (op13_pruned_graph, OP13_SQL),
 }
