@@ -38,8 +38,8 @@ class Settings:
     #: Phrases of two words, in multiples of ``per_language``, down to whose score the first round goes; then ``wider`` times as many.
     first: int = 2
     wider: int = 4
-    bundle_words: int = 2_000_000
-    bundle_bytes: int = 16 << 20
+    bundle_words: int = 1_000_000
+    bundle_bytes: int = 8 << 20
     bits_per_prefix: int = 16
     least_bits: int = 20
     most_bits: int = 27

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.llm import byte_bpe, collocations, conversations, embedding_forest, minhash, packing, pruned_graph, quality, recurrent_lm, repeats, sharding, url_filter
+from trolley.llm import alignment, byte_bpe, collocations, conversations, embedding_forest, minhash, packing, pruned_graph, quality, recurrent_lm, repeats, sharding, url_filter
 from trolley.llm.common import table
 
 
@@ -242,6 +242,11 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+def op11_exact_text_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_best_first_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(table(spark, sf_dir, "documents"))
 
@@ -321,6 +326,7 @@ QUERIES = {
     "op8_hilbert_shards": (op8_hilbert_shards, None),
     "op9_url_filter": (op9_url_filter, OP9_SQL),
     "op10_quality_rules": (op10_quality_rules, OP10_SQL),
+    "op11_exact_text_alignment": (op11_exact_text_alignment, None),
     "op12_best_first_phrases": (op12_best_first_phrases, OP12_SQL),
     "op13_pruned_graph": (op13_pruned_graph, OP13_SQL),
 }
