@@ -24,6 +24,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +90,9 @@ class Tokenizers:
         self.apart = not any(re.search(f"[^{SPACE_SIGN}]{SPACE_SIGN}", p) for p in pieces)
         self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+        #: How a token is written: an A id before another one or at the end of its group, a B id also at the end of its chunk.
+        self.written = [b"%d%s" % (k, sign) for n, signs in ((len(self.a_bytes), (b",", b"|")), (len(self.b_bytes), (b",", b";", b"\n")))
+                        for k in range(n) for sign in signs]
 
     def chunks(self, text: str) -> list[str]:
         return CUT.split(text) if self.apart else [text]
@@ -101,10 +105,19 @@ class Tokenizers:
             b += self.b.encode(some, num_threads=1)
         return a, b
 
-    def sound(self, chunk: str, a: list[int], b: list[int]) -> bool:
-        """Whether the tokens' bytes are those of the space and the chunk."""
-        want = b" " + chunk.encode()
-        return b"".join([self.b_bytes[k] for k in b]) == want == b"".join([self.a_bytes[k] for k in a])
+    def sound(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
+        """Whether the tokens' bytes are those of the space and the chunk, on both sides."""
+        want = [b" " + c.encode() for c in chunks]
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        good = np.ones(len(want), bool)
+        for ids, own, sizes in ((a, self.a_bytes, self.a_size), (b, self.b_bytes, self.b_size)):
+            flat = list(chain.from_iterable(ids))
+            ends = np.r_[0, np.cumsum(sizes[np.array(flat, np.int64)])][np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]
+            # one comparison for all; one by one only where it fails
+            if np.array_equal(ends, np.cumsum(size)) and b"".join(map(own.__getitem__, flat)) == b"".join(want):
+                continue
+            good &= np.fromiter((b"".join(map(own.__getitem__, x)) == w for x, w in zip(ids, want)), bool, len(want))
+        return good
 
 
 @dataclass
@@ -123,7 +136,7 @@ class Aligned:
 def align(a: list[list[int]], b: list[list[int]], t: Tokenizers) -> Aligned:
     """Alignment of chunks whose tokens have the same bytes on both sides; empty lists give nothing."""
     n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-    ids_a, ids_b = (np.fromiter((k for x in side for k in x), np.int64, int(n.sum())) for side, n in ((a, n_a), (b, n_b)))
+    ids_a, ids_b = (np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((a, n_a), (b, n_b)))
     # both sides are the same stream of bytes, in which every chunk ends on both sides
     end_a, end_b = np.cumsum(t.a_size[ids_a]), np.cumsum(t.b_size[ids_b])
     start_a = end_a - t.a_size[ids_a]
@@ -133,24 +146,18 @@ def align(a: list[list[int]], b: list[list[int]], t: Tokenizers) -> Aligned:
     link_b = ids_b[np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
     whose = np.repeat(np.arange(len(a)), n_a)
     n_links = np.bincount(whose, many, len(a)).astype(np.int64)
-    both = np.isin(end_a, end_b, assume_unique=False)
+    both = np.append(end_b, -1)[last] == end_a
     n_groups = np.bincount(whose[both], minlength=len(a)).astype(np.int64)
-    # ends of groups as places of tokens within their chunk
-    cut_a = np.flatnonzero(both) + 1
-    cut_b = np.searchsorted(end_b, end_a[both], "left") + 1
-    text, at_a, at_b, k = [], 0, 0, 0
-    cuts_a, cuts_b = cut_a.tolist(), cut_b.tolist()
-    for x, y, groups in zip(a, b, n_groups.tolist()):
-        if groups == 1:
-            text.append(f"{','.join(map(str, x))}|{','.join(map(str, y))}".encode())
-        else:
-            parts, i, j = [], 0, 0
-            for g in range(k, k + groups):
-                to_i, to_j = cuts_a[g] - at_a, cuts_b[g] - at_b
-                parts.append(f"{','.join(map(str, x[i:to_i]))}|{','.join(map(str, y[j:to_j]))}")
-                i, j = to_i, to_j
-            text.append(";".join(parts).encode())
-        at_a, at_b, k = at_a + len(x), at_b + len(y), k + groups
+    # groups in their order, A before B, every token as its text and the sign behind it
+    cuts = end_a[both]
+    group_a, group_b = np.searchsorted(cuts, end_a, "left"), np.searchsorted(cuts, end_b, "left")
+    chunk_ends = np.zeros(len(ids_b) + 1, bool)
+    chunk_ends[np.cumsum(n_b)[n_b > 0] - 1] = True
+    closes_b = (cuts[group_b] == end_b).astype(np.int64) + chunk_ends[:-1]
+    codes = np.r_[2 * ids_a + both, 2 * len(t.a_bytes) + 3 * ids_b + closes_b]
+    order = np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable")
+    lines = iter(b"".join(map(t.written.__getitem__, codes[order].tolist())).split(b"\n"))
+    text = [next(lines) if n else b"" for n in n_a.tolist()]
     return Aligned(n_a, n_b, n_groups, n_links, text, link_a, link_b)
 
 
@@ -176,7 +183,7 @@ def _numbers(squeezed: bytes, kind: str) -> np.ndarray:
 def _bundle(texts: list[tuple[bytes, int, np.ndarray]], chunks: list[str], t: Tokenizers) -> pa.RecordBatch:
     """Results of a bundle's texts (digest, times, places of their chunks)."""
     a, b = t.encode(chunks)
-    good = np.fromiter(map(t.sound, chunks, a, b), bool, len(chunks))
+    good = t.sound(chunks, a, b)
     for k in np.flatnonzero(~good):
         a[k], b[k] = [], []
     found = align(a, b, t)
