@@ -35,7 +35,8 @@ from trolley.llm.common import crc32_number, numbered, raw
 from trolley.session import stage
 
 END_ID = 1
-WORD_CACHE = 800_000
+#: Bytes of a cache of words, and what an entry takes besides its text and ids.
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 200
 FLUSH_BYTES = 16 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
@@ -48,7 +49,7 @@ class WordTokenizer:
     """Little-endian 32-bit ids of whole texts, for a tokenizer that drops white space and never looks across it.
 
     A text is cut at ASCII white space only, all of which the tokenizer drops; every distinct word is encoded
-    once while it stays in a bounded cache. ASCII words are lower-cased and cut by the tokenizer's own pattern here and
+    once while it stays in a cache of bounded bytes, which goes with the task. ASCII words are lower-cased and cut by the tokenizer's own pattern here and
     only merged by its model; all others go through the whole tokenizer.
     """
 
@@ -64,6 +65,11 @@ class WordTokenizer:
         self.parts = re.compile(pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9"), re.ASCII).findall
         self.cache: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.held = 0
+
+    def forget(self) -> None:
+        """Empty the cache."""
+        self.cache, self.pieces, self.held = {}, {}, 0
 
     def _merged(self, part: str) -> bytes:
         ids = array.array("I", [t.id for t in self.merge(part)])
@@ -80,12 +86,11 @@ class WordTokenizer:
             ids = self.pieces.get(part)
             if ids is None:
                 ids = self.pieces[part] = self._merged(part)
+                self.held += len(part) + len(ids) + ENTRY_BYTES
             found.append(ids)
         return found[0] if len(found) == 1 else b"".join(found)
 
     def _learn(self, words: list[bytes]) -> None:
-        if len(self.pieces) > WORD_CACHE:
-            self.pieces.clear()
         others = []
         for w in words:
             if w.isascii() and SPECIAL not in w and b"\x7f" not in w and min(w) > 32:
@@ -94,11 +99,12 @@ class WordTokenizer:
                 others.append(w)
         for w, e in zip(others, self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)):
             self.cache[w] = np.array(e.ids, "<u4").tobytes()
+        self.held += sum(len(w) + len(self.cache[w]) + ENTRY_BYTES for w in words)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [t.split() for t in texts]
-        if len(self.cache) > WORD_CACHE:
-            self.cache.clear()
+        if self.held > CACHE_BYTES:
+            self.forget()
         new = list(set().union(*split).difference(self.cache))
         if new:
             self._learn(new)
@@ -108,7 +114,7 @@ class WordTokenizer:
 
 @functools.cache
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One per Python worker, so that its cache outlives a task."""
+    """One per Python worker; its cache goes when a task ends."""
     return WordTokenizer(path)
 
 
@@ -129,19 +135,23 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int =
             rows.clear()
             return out
 
-        for batch in batches:
-            names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for at in range(0, len(names), 256):
-                for name, ids in zip(names[at: at + 256], tokenizer.encode(texts.slice(at, 256).to_pylist())):
-                    ids += end
-                    for k in range(0, len(ids), step):
-                        part = ids[k: k + step]
-                        rows.append((name, k // step, k // 4, len(part) // 4, part))
-                        held += len(part)
-                if held > FLUSH_BYTES:
-                    yield flush()
-                    held = 0
-        yield flush()
+        try:
+            for batch in batches:
+                names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+                for at in range(0, len(names), 256):
+                    for name, ids in zip(names[at: at + 256], tokenizer.encode(texts.slice(at, 256).to_pylist())):
+                        ids += end
+                        for k in range(0, len(ids), step):
+                            part = ids[k: k + step]
+                            rows.append((name, k // step, k // 4, len(part) // 4, part))
+                            held += len(part)
+                    if held > FLUSH_BYTES:
+                        yield flush()
+                        held = 0
+            yield flush()
+        finally:
+            tokenizer.forget()
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), raw("text").alias("text")).mapInArrow(pieces, PIECES)
 
