@@ -17,7 +17,7 @@ a common pivot cost the square of their size in sketch comparisons, which is the
 
 Defined results: without words (null or empty text) the set is empty and linked with nothing. With fewer words than a shingle has, the
 whole sequence is the one shingle. Rows with a null doc_id get null component_id and kept = true. Rows that repeat a doc_id are one node with
-the links of all its texts. An empty table gives no rows. Texts are read whole.
+the links of all its texts; ``keep_one`` compares rows instead. An empty table gives no rows. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -315,10 +315,16 @@ def near_duplicates(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """``docs`` with all their columns, one document of each group of near duplicates; of rows with equal id and text one stays.
+    """``docs`` with all their columns, one row of each group of near duplicates: the one with the smallest doc_id.
 
-    Documents without words or without an id stay.
+    Rows are compared as rows, whatever their ids: those that share an id or have none are told apart by their place in a written copy.
+    Rows without words stay.
     """
-    gone = near_duplicates(docs, s).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__gone"), "left_anti")
-    return left.dropDuplicates(["doc_id", "text"])
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "document-rows")
+    found = near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"), s)
+    members = stage(found.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")), "document-groups")
+    copies = members.where("__row <> __group").select("__group").distinct()
+    inside = members.join(copies, "__group", "left_semi").join(rows.select("__row", F.col("doc_id").cast("bigint").alias("__id")), "__row")
+    first = inside.groupBy("__group").agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__row")).alias("__first"))
+    gone = inside.join(first, "__group").where(F.col("__row") != F.col("__first.__row")).select("__row")
+    return rows.join(gone, "__row", "left_anti").drop("__row")
