@@ -6,11 +6,11 @@ Short texts scatter more, so both limits widen with 1/sqrt(words), and nothing u
 
 The references are means over all distinct texts of a language that pass the base rules: every distinct text
 weighs the same, however often it is copied and however long it is. Sums are kept in whole millionths, so that
-they don't depend on the order of rows. The references of at most ``max_languages`` languages (those with most texts, ``common_words``
-words each) reach the driver; those of all other languages stay a table that joins the documents of these languages.
+they don't depend on the order of rows. Which road a reference takes makes no difference to a verdict: those of at most ``max_languages`` languages (those with most texts,
+``common_words`` words each) go through the driver, those of all other languages stay a table that joins their documents.
 
 Defined results: a null or empty text has no words and fails the base rules. A document whose language is null, or has
-under ``min_texts`` texts, is held against the nearest reference of the ``max_languages`` languages. Without any reference the base rules decide.
+under ``min_texts`` texts and so no reference, is judged by the base rules alone and has no distances.
 Rows are judged one by one, so repeated rows and null ids get their own row each. Texts are read whole.
 """
 
@@ -144,15 +144,12 @@ def word_histogram(counts: Counter, n: int, words: list[bytes]) -> np.ndarray:
 
 
 def distances(text: bytes, lang: str | None, refs: References) -> tuple[float | None, float | None]:
-    """Class and word distance from the language's reference, else from the nearest one."""
-    langs = [lang] if lang in refs.classes else sorted(refs.classes)
-    if not langs:
+    """Class and word distance from the language's reference; none without one."""
+    if lang not in refs.classes:
         return None, None
-    own = class_histogram(text)
     counts = Counter(text.lower().split())
-    n = sum(counts.values())
-    return (min(jensen_shannon(own, refs.classes[x]) for x in langs),
-            min(jensen_shannon(word_histogram(counts, n, refs.words[x]), refs.shares[x]) for x in langs))
+    return (jensen_shannon(class_histogram(text), refs.classes[lang]),
+            jensen_shannon(word_histogram(counts, sum(counts.values()), refs.words[lang]), refs.shares[lang]))
 
 
 def verdict(text: bytes, lang: str | None, refs: References, rules: Rules) -> tuple:

@@ -53,7 +53,7 @@ WITH d AS (
     SELECT rid, lang, n_words FROM base WHERE lang IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY lang, t ORDER BY rid) = 1 AND NOT base_failed
 ), langs AS (
-    SELECT lang, count(*) AS texts FROM firsts GROUP BY lang HAVING count(*) >= 20 ORDER BY texts DESC, lang LIMIT 256
+    SELECT lang, count(*) AS texts FROM firsts GROUP BY lang HAVING count(*) >= 20
 ), class_mean AS (
     SELECT lang, item, share / sum(share) OVER (PARTITION BY lang) AS q FROM (
         SELECT lang, item, sum(floor(share * 1000000 + 0.5)) / (any_value(texts) * 1000000.0::DOUBLE) AS share
@@ -64,8 +64,6 @@ WITH d AS (
     QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sum(floor(n / n_words::DOUBLE * 1000000 + 0.5)) DESC, item) <= 64
 ), asked AS (
     SELECT rid, n_words, l.lang AS ref FROM base JOIN langs l ON base.lang = l.lang WHERE n_words >= 50
-    UNION ALL
-    SELECT rid, n_words, l.lang FROM base, langs l WHERE n_words >= 50 AND (base.lang IS NULL OR base.lang NOT IN (SELECT lang FROM langs))
 ), both_classes AS (
     SELECT rid, ref, share AS p, q FROM asked JOIN class_mean ON class_mean.lang = ref JOIN classes USING (rid, item)
 ), both_words AS (
