@@ -7,6 +7,8 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from schemas import ITEM_SCHEMA, LOG_SCHEMA  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -38,11 +40,6 @@ def log(spark):
     return rows
 
 
-LOG_SCHEMA = "customer_id int, item_id int, day int, event_type int, quantity int, event_seq bigint"
-ITEM_SCHEMA = ("item_id int, category_id int, category_name string, brand_id int, price double, "
-               "is_replenishable boolean")
-
-
 @pytest.fixture(scope="session")
 def interactions(spark, log):
     return spark.createDataFrame(log, LOG_SCHEMA).repartition(4)

@@ -1,5 +1,5 @@
 import pytest
-from conftest import ITEM_SCHEMA, LOG_SCHEMA
+from schemas import ITEM_SCHEMA, LOG_SCHEMA
 
 from trolley.operators import features, pooling
 from trolley.operators.features import FEATURE_COLUMNS

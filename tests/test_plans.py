@@ -47,13 +47,13 @@ def test_daily_job_reads_the_log_once(spark, interactions, items, tmp_path, monk
     items.write.parquet(catalog)
     interactions.select("customer_id", "item_id").distinct().write.parquet(candidates)
     read = []
-    monkeypatch.setattr(feature_job, "stage", lambda df, name: read.append(plan(df)) or staged(df, name))
+    monkeypatch.setattr(feature_job, "stage", lambda df, name: read.append(df.inputFiles()) or staged(df, name))
     from trolley.session import stage as staged
 
     kept = []
     monkeypatch.setattr(feature_job, "write_features", lambda frame, path: kept.append(frame) or sinks.write_features(frame, path))
     feature_job.run(spark, events, catalog, candidates, out, 8)
-    assert sum(p.count(f"{tmp_path}/events") > 0 for p in read) == 1
+    assert sum(any(f"{tmp_path}/events" in f for f in files) for files in read) == 1
     assert events not in json.dumps(kept[0].inputFiles()) and spark.read.parquet(out).count() > 0
 
 

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import LOG_SCHEMA
+from schemas import LOG_SCHEMA
 
 from trolley.operators import retrieval, vectors
 from trolley.operators.pairs import pair_aggregate
