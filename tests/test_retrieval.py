@@ -110,15 +110,6 @@ def test_block_search_is_exact(cloud, blocks):
         assert mine == sorted(range(90), key=lambda j: (-scores[q, j], j))[:5]
 
 
-def test_all_cells_give_the_exact_result(cloud):
-    _, _, qdf, idf = cloud
-    exact = vectors.block_topk(vectors.unit_vectors(qdf), vectors.unit_vectors(idf), 5)
-    approx = vectors.ivf_topk(qdf, idf, 5, nlist=4, nprobe=4)
-    assert vectors.ann_recall(approx, exact, 5).first()["recall"] == 1.0
-    few = vectors.ivf_topk(qdf, idf, 5, nlist=256, nprobe=256)
-    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, exact.collect()))
-
-
 def test_neighbours_leave_the_item_out(cloud):
     _, _, _, idf = cloud
     rows = vectors.item_neighbours(idf, 3).collect()

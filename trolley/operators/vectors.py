@@ -1,4 +1,4 @@
-"""Exact and cluster-pruned vector search as blocked matrix products.
+"""Vector search as blocked matrix products (J11, K3, R6, R11); ``cells`` prunes it.
 
 Queries and items are cut into blocks of bounded size and every pair of blocks
 is one group, so no task ever holds a whole side and nothing is broadcast. A
@@ -14,15 +14,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trolley.functions.expressions import best_first, unit
 from trolley.operators.sequences import HISTORY_LEN, last_purchases
 
-NLIST, NPROBE = 256, 16
 QUERY_BLOCK, ITEM_BLOCK = 1024, 4096
 
 
@@ -152,39 +149,3 @@ def item_neighbours(vectors: DataFrame, k: int, of: DataFrame | None = None) ->
     return best_first(others, ["query_id"], k).select(
         F.col("query_id").alias("item_id"), F.col("item_id").alias("neighbour_id"), "rank", "score",
     )
-
-
-def _centres(model) -> Iterator[tuple[int, list[float]]]:
-    for i, centre in enumerate(model.clusterCenters()):
-        yield i, [float(x) for x in centre]
-
-
-def ivf_topk(
-    queries: DataFrame,
-    vectors: DataFrame,
-    k: int,
-    nlist: int = NLIST,
-    nprobe: int = NPROBE,
-    seed: int = 7,
-) -> DataFrame:
-    """Search only the ``nprobe`` nearest of ``nlist`` KMeans cells, exactly inside them.
-
-    Always prunes, whatever the size of the catalog; call ``block_topk`` for
-    the plain exact search. With ``nprobe = nlist`` the result equals it.
-    """
-    items = unit_vectors(vectors)
-    asked = queries.select("query_id", unit(F.col("vector")).alias("vector"))
-    with_vec = items.withColumn("features", array_to_vector("vector"))
-    model = KMeans(k=nlist, seed=seed, maxIter=10, featuresCol="features", predictionCol="cell").fit(with_vec)
-    celled = model.transform(with_vec).select("item_id", "vector", "cell")
-    # the nlist centres are few by construction
-    centres = queries.sparkSession.createDataFrame(list(_centres(model)), "item_id int, vector array<double>")
-    probes = block_topk(asked, centres, nprobe).select("query_id", F.col("item_id").cast("int").alias("cell"))
-    return block_topk(asked.join(probes, "query_id"), celled, k, cell="cell")
-
-
-def ann_recall(approx: DataFrame, exact: DataFrame, k: int) -> DataFrame:
-    """Mean share of the exact top-k ids that the approximate search found."""
-    hits = exact.join(approx.select("query_id", "item_id", F.lit(1).alias("hit")), ["query_id", "item_id"], "left")
-    per_query = hits.groupBy("query_id").agg((F.count("hit") / F.lit(k)).alias("recall"))
-    return per_query.agg(F.count(F.lit(1)).alias("queries"), F.avg("recall").alias("recall"))

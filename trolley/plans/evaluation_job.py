@@ -13,7 +13,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators import diagnostics, metrics, ranking, retrieval, vectors
+from trolley.operators import diagnostics, metrics, ranking, retrieval
 from trolley.operators.features import FEATURE_COLUMNS
 from trolley.plans.setting import Setting
 from trolley.session import build_session, release, stage
@@ -55,8 +55,7 @@ def run(
     spark: SparkSession, tables: str, output: str,
     trees: int = ranking.TREES, depth: int = ranking.DEPTH, als: dict | None = None,
 ) -> None:
-    # candidates come from the pruned search: its cost per customer does not grow with the catalog
-    s = Setting(spark, tables, cells=(vectors.NLIST, vectors.NPROBE))
+    s = Setting(spark, tables)
     popularity = stage(s.base_popularity(s.pairs()), "popularity")
 
     # Both freshness settings: fitted up to the train window, and up to the day before the test week.

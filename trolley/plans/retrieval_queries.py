@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trolley.operators import retrieval, vectors
+from trolley.operators import cells, retrieval, vectors
 from trolley.plans.common import rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import OrdersSetting, Setting
+from trolley.session import stage
 
 K = 20
 LIST = ("score",)
@@ -95,42 +96,71 @@ def item_neighbours(spark, d):
     return rounded(vectors.item_neighbours(Setting(spark, d).vectors, 5))
 
 
-def _ivf(s: Setting, users, nprobe: int):
-    queries = users.select(F.col("customer_id").alias("query_id"), "vector")
-    return vectors.ivf_topk(queries, s.vectors, K, nprobe=nprobe)
+def _queries(s: Setting):
+    return _user_vectors(s).select(F.col("customer_id").alias("query_id"), "vector")
+
+
+def pruned_topk(spark, d):
+    """Cells in the order of their bounds until none can hold a better item: the lists of the full product."""
+    s = Setting(spark, d)
+    return rounded(cells.pruned_topk(_queries(s), s.vectors, K).withColumnRenamed("query_id", "customer_id"))
+
+
+def cells_read(spark, d):
+    """What the bounds leave to read, as shares of all cells and of all pairs, for the last purchases' vectors."""
+    s = Setting(spark, d)
+    _, visits, known = cells.search(_queries(s), s.vectors, K)
+    return rounded(cells.work(visits, known))
+
+
+def pruned_neighbours(spark, d):
+    """The 5 nearest items of every item, itself among them, by the same search."""
+    items = Setting(spark, d).vectors
+    found = cells.pruned_topk(items.select(F.col("item_id").alias("query_id"), "vector"), items, 5)
+    return rounded(found.select(F.col("query_id").alias("item_id"), F.col("item_id").alias("neighbour_id"), "rank", "score"))
 
 
 def ivf_topk(spark, d):
     s = Setting(spark, d)
-    return rounded(_ivf(s, _user_vectors(s), vectors.NPROBE))
+    return rounded(cells.ivf_topk(_queries(s), s.vectors, K))
 
 
 def ivf_all_cells(spark, d):
-    """Every cell probed: the pruned search must then list what the exact one lists."""
+    """Every cell probed: the search must then list what the exact one lists."""
     s = Setting(spark, d)
-    return rounded(_ivf(s, _user_vectors(s), vectors.NLIST).withColumnRenamed("query_id", "customer_id"))
+    found = cells.ivf_topk(_queries(s), s.vectors, K, nprobe=cells.MOST_CELLS)
+    return rounded(found.withColumnRenamed("query_id", "customer_id"))
 
 
 def ann_recall_all_cells(spark, d):
     s = Setting(spark, d)
-    users = _user_vectors(s)
-    queries = users.select(F.col("customer_id").alias("query_id"), "vector")
+    queries = _queries(s)
     exact = vectors.block_topk(queries, vectors.unit_vectors(s.vectors), K)
-    return rounded(vectors.ann_recall(_ivf(s, users, vectors.NLIST), exact, K))
+    return rounded(cells.ann_recall(cells.ivf_topk(queries, s.vectors, K, nprobe=cells.MOST_CELLS), exact, K))
 
 
-def ann_recall(spark, d):
+def _recalls(spark, d):
     s = Setting(spark, d)
-    users = _user_vectors(s)
-    queries = users.select(F.col("customer_id").alias("query_id"), "vector")
-    exact = vectors.block_topk(queries, vectors.unit_vectors(s.vectors), K)
-    parts = [
-        vectors.ann_recall(approx, exact, K).select(F.lit(name).alias("index"), "queries", "recall")
-        for name, approx in (("all_cells", _ivf(s, users, vectors.NLIST)), ("probed_cells", _ivf(s, users, vectors.NPROBE)))
-    ]
+    queries = _queries(s)
+    exact = stage(vectors.block_topk(queries, vectors.unit_vectors(s.vectors), K), "exact-lists")
+    for name, found in (("bounds", cells.pruned_topk(queries, s.vectors, K)), ("probed_cells", cells.ivf_topk(queries, s.vectors, K))):
+        found = stage(found, "found-lists")
+        yield cells.ann_recall(found, exact, K).select(
+            F.lit(name).alias("index"), "queries", "recall", found.agg(F.count(F.lit(1))).scalar().alias("listed"))
+
+
+def ann_recall(spark, d):
+    """Recall of the search by bounds and of that by a fitted number of probes."""
+    parts = list(_recalls(spark, d))
     return rounded(parts[0].unionByName(parts[1]))
 
 
+def ann_recall_reached(spark, d):
+    """Whether both searches reach a recall of 0.9 with full lists, and the exact one 1."""
+    return ann_recall(spark, d).select("index", "queries", "listed", (F.col("recall") >= 0.9).alias("reached"),
+                                       ((F.col("recall") == 1) | (F.col("index") != "bounds")).alias("exact"))
+
+
 _LIST = "SELECT customer_id, item_id, CAST(rank AS INTEGER) AS rank, score FROM {} WHERE rank < 20"
 _SIM = "SELECT item_i, item_j, sim, CAST(rank AS INTEGER) AS rank FROM sim"
 
@@ -150,8 +180,23 @@ SELECT customer_id, item_id, CAST(rank AS INTEGER) AS rank, score FROM asked, po
     "rrf_blend": (rrf_blend, build(_LIST.format("rrf"), digits=LIST)),
     "item_neighbours": (item_neighbours, build("""
 SELECT item_id, neighbour_id, CAST(rank AS INTEGER) AS rank, score FROM neigh WHERE rank < 5""", digits=LIST)),
+    "pruned_topk": (pruned_topk, build(_LIST.format("vec"), digits=LIST)),
+    "pruned_neighbours": (pruned_neighbours, """
+WITH v AS (
+    SELECT CAST(vec_id AS BIGINT) AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+), scored AS (
+    SELECT a.id AS item_id, b.id AS neighbour_id,
+           round(list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))), 9) AS score
+    FROM v a, v b
+)
+SELECT item_id, neighbour_id, CAST(row_number() OVER o - 1 AS INTEGER) AS rank, round(score, 6) AS score FROM scored
+WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, neighbour_id) QUALIFY row_number() OVER o <= 5"""),
+    "cells_read": (cells_read, None),
     "ivf_topk": (ivf_topk, None),
     "ann_recall": (ann_recall, None),
+    "ann_recall_reached": (ann_recall_reached, build("""
+SELECT i AS index, count(DISTINCT customer_id) AS queries, count(*) FILTER (rank < 20) AS listed, true AS reached, true AS exact
+FROM vec, (SELECT unnest(['bounds', 'probed_cells']) AS i) GROUP BY i""")),
     "ivf_all_cells": (ivf_all_cells, build(_LIST.format("vec"), digits=LIST)),
     "ann_recall_all_cells": (ann_recall_all_cells, build(
         "SELECT count(DISTINCT customer_id) AS queries, 1.0::DOUBLE AS recall FROM vec")),

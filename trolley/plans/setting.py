@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trolley.operators import features, pooling, retrieval, split, vectors
+from trolley.operators import cells, features, pooling, retrieval, split, vectors
 from trolley.operators.pairs import bought_pairs, pair_aggregate
 from trolley.session import stage
 from trolley.sources import tables
@@ -30,8 +30,8 @@ class Setting:
 
     spark: SparkSession
     folder: str
-    # (cells, cells probed) of the vector search of the candidate lists; None: every item is compared
-    cells: tuple[int, int] | None = None
+    # vector search of the candidate lists: "bounds" (exact, cells whose bound rules them out are not read) or "all" items
+    search: str = "bounds"
     _staged: dict = field(default_factory=dict, repr=False)
 
     def once(self, name: str, day: int, make) -> DataFrame:
@@ -102,11 +102,11 @@ class Setting:
         return stage(users.join(asked, "customer_id", "left_semi"), "users")
 
     def nearest(self, users: DataFrame, k: int) -> DataFrame:
-        """Best items per customer by cosine, over all items or over the probed cells only."""
-        if self.cells is None:
+        """Best items per customer by cosine; both ways list the same."""
+        if self.search == "all":
             return vectors.vector_topk(users, self.vectors, k)
         asked = users.select(F.col("customer_id").alias("query_id"), "vector")
-        found = vectors.ivf_topk(asked, self.vectors, k, *self.cells)
+        found = cells.pruned_topk(asked, self.vectors, k)
         return found.withColumnRenamed("query_id", "customer_id").select("customer_id", "item_id", "rank", "score")
 
     def sources(self, pairs: DataFrame, as_of_day: int, asked: DataFrame) -> dict[str, DataFrame]:
