@@ -24,6 +24,7 @@ import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,7 @@ from trolley.session import stage
 
 END_ID = 1
 #: Bytes of a cache of words, and what an entry takes besides its text and ids.
-CACHE_BYTES, ENTRY_BYTES = 48 << 20, 200
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 200
 FLUSH_BYTES = 16 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
@@ -49,7 +50,7 @@ class WordTokenizer:
     """Little-endian 32-bit ids of whole texts, for a tokenizer that drops white space and never looks across it.
 
     A text is cut at ASCII white space only, all of which the tokenizer drops; every distinct word is encoded
-    once while it stays in a cache of bounded bytes, which goes with the task. ASCII words are lower-cased and cut by the tokenizer's own pattern here and
+    once while it stays in a cache of bounded bytes. ASCII words are lower-cased and cut by the tokenizer's own pattern here and
     only merged by its model; all others go through the whole tokenizer.
     """
 
@@ -68,8 +69,10 @@ class WordTokenizer:
         self.held = 0
 
     def forget(self) -> None:
-        """Empty the cache."""
-        self.cache, self.pieces, self.held = {}, {}, 0
+        """Drop all but the third of the words that came first: frequent words come early."""
+        self.cache = dict(islice(self.cache.items(), len(self.cache) // 3))
+        self.pieces = dict(islice(self.pieces.items(), len(self.pieces) // 3))
+        self.held = sum(len(k) + len(v) + ENTRY_BYTES for x in (self.cache, self.pieces) for k, v in x.items())
 
     def _merged(self, part: str) -> bytes:
         ids = array.array("I", [t.id for t in self.merge(part)])
@@ -114,7 +117,7 @@ class WordTokenizer:
 
 @functools.cache
 def word_tokenizer(path: str) -> WordTokenizer:
-    """One per Python worker; its cache goes when a task ends."""
+    """One per Python worker, so that its bounded cache outlives a task."""
     return WordTokenizer(path)
 
 
@@ -135,23 +138,20 @@ def tokenized(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int =
             rows.clear()
             return out
 
-        try:
-            for batch in batches:
-                names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-                for at in range(0, len(names), 256):
-                    for name, ids in zip(names[at: at + 256], tokenizer.encode(texts.slice(at, 256).to_pylist())):
-                        ids += end
-                        for k in range(0, len(ids), step):
-                            part = ids[k: k + step]
-                            rows.append((name, k // step, k // 4, len(part) // 4, part))
-                            held += len(part)
-                    if held > FLUSH_BYTES:
-                        yield flush()
-                        held = 0
-            yield flush()
-        finally:
-            tokenizer.forget()
-            pa.default_memory_pool().release_unused()
+        for batch in batches:
+            names, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for at in range(0, len(names), 256):
+                for name, ids in zip(names[at: at + 256], tokenizer.encode(texts.slice(at, 256).to_pylist())):
+                    ids += end
+                    for k in range(0, len(ids), step):
+                        part = ids[k: k + step]
+                        rows.append((name, k // step, k // 4, len(part) // 4, part))
+                        held += len(part)
+                if held > FLUSH_BYTES:
+                    yield flush()
+                    held = 0
+        yield flush()
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), raw("text").alias("text")).mapInArrow(pieces, PIECES)
 
