@@ -98,12 +98,8 @@ class Tokenizers:
         return CUT.split(text) if self.apart else [text]
 
     def encode(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a, b = [], []
-        for k in range(0, len(chunks), 4096):
-            some = chunks[k: k + 4096]
-            a += [e.ids for e in self.a.encode_batch_fast([" " + c for c in some], add_special_tokens=False)]
-            b += self.b.encode(some, num_threads=1)
-        return a, b
+        return ([e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)],
+                self.b.encode(chunks, num_threads=1))
 
     def sound(self, chunks: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
         """Whether the tokens' bytes are those of the space and the chunk, on both sides."""
@@ -119,6 +115,20 @@ class Tokenizers:
             good &= np.fromiter((b"".join(map(own.__getitem__, x)) == w for x, w in zip(ids, want)), bool, len(want))
         return good
 
+    def tokens(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and B chunk by chunk, their numbers per chunk, and which chunks are sound; the others get none. Few lists at a time."""
+        parts = []
+        for k in range(0, len(chunks), 4096):
+            some = chunks[k: k + 4096]
+            a, b = self.encode(some)
+            good = self.sound(some, a, b)
+            for x in np.flatnonzero(~good):
+                a[x], b[x] = [], []
+            parts.append([*(np.fromiter(chain.from_iterable(side), np.int64) for side in (a, b)),
+                          *(np.fromiter(map(len, side), np.int64, len(side)) for side in (a, b)), good])
+        ids_a, ids_b, n_a, n_b, good = (np.concatenate(x) for x in zip(*parts))
+        return ids_a, ids_b, n_a, n_b, good
+
 
 @dataclass
 class Aligned:
@@ -133,10 +143,8 @@ class Aligned:
     link_b: np.ndarray
 
 
-def align(a: list[list[int]], b: list[list[int]], t: Tokenizers) -> Aligned:
-    """Alignment of chunks whose tokens have the same bytes on both sides; empty lists give nothing."""
-    n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-    ids_a, ids_b = (np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in ((a, n_a), (b, n_b)))
+def align(ids_a: np.ndarray, ids_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, t: Tokenizers) -> Aligned:
+    """Alignment of chunks whose tokens have the same bytes on both sides; chunks without tokens have nothing."""
     # both sides are the same stream of bytes, in which every chunk ends on both sides
     end_a, end_b = np.cumsum(t.a_size[ids_a]), np.cumsum(t.b_size[ids_b])
     start_a = end_a - t.a_size[ids_a]
@@ -144,10 +152,10 @@ def align(a: list[list[int]], b: list[list[int]], t: Tokenizers) -> Aligned:
     many = last - first + 1
     link_a = np.repeat(ids_a, many)
     link_b = ids_b[np.repeat(first - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))]
-    whose = np.repeat(np.arange(len(a)), n_a)
-    n_links = np.bincount(whose, many, len(a)).astype(np.int64)
+    whose = np.repeat(np.arange(len(n_a)), n_a)
+    n_links = np.bincount(whose, many, len(n_a)).astype(np.int64)
     both = np.append(end_b, -1)[last] == end_a
-    n_groups = np.bincount(whose[both], minlength=len(a)).astype(np.int64)
+    n_groups = np.bincount(whose[both], minlength=len(n_a)).astype(np.int64)
     # groups in their order, A before B, every token as its text and the sign behind it
     cuts = end_a[both]
     group_a, group_b = np.searchsorted(cuts, end_a, "left"), np.searchsorted(cuts, end_b, "left")
@@ -156,7 +164,9 @@ def align(a: list[list[int]], b: list[list[int]], t: Tokenizers) -> Aligned:
     closes_b = (cuts[group_b] == end_b).astype(np.int64) + chunk_ends[:-1]
     codes = np.r_[2 * ids_a + both, 2 * len(t.a_bytes) + 3 * ids_b + closes_b]
     order = np.argsort(np.r_[2 * group_a, 2 * group_b + 1], kind="stable")
-    lines = iter(b"".join(map(t.written.__getitem__, codes[order].tolist())).split(b"\n"))
+    codes = codes[order]
+    parts = [b"".join(map(t.written.__getitem__, codes[k: k + 65_536].tolist())) for k in range(0, len(codes), 65_536)]
+    lines = iter(b"".join(parts).split(b"\n"))
     text = [next(lines) if n else b"" for n in n_a.tolist()]
     return Aligned(n_a, n_b, n_groups, n_links, text, link_a, link_b)
 
@@ -182,11 +192,8 @@ def _numbers(squeezed: bytes, kind: str) -> np.ndarray:
 
 def _bundle(texts: list[tuple[bytes, int, np.ndarray]], chunks: list[str], t: Tokenizers) -> pa.RecordBatch:
     """Results of a bundle's texts (digest, times, places of their chunks)."""
-    a, b = t.encode(chunks)
-    good = t.sound(chunks, a, b)
-    for k in np.flatnonzero(~good):
-        a[k], b[k] = [], []
-    found = align(a, b, t)
+    ids_a, ids_b, n_a, n_b, good = t.tokens(chunks)
+    found = align(ids_a, ids_b, n_a, n_b, t)
     key, links = np.unique(found.link_a << 32 | found.link_b, return_inverse=True)
     ends = np.cumsum(found.n_links)
     counts = np.zeros(len(key), np.int64)
@@ -234,6 +241,7 @@ def bundles(texts: DataFrame, byte_path: str, piece_path: str, s: Settings) -> D
                     places, held, chunks = Places(), [], 0
         if held:
             yield _bundle(held, list(places), t)
+        pa.default_memory_pool().release_unused()
 
     found = texts.select("digest", "text", "times").mapInArrow(gather, BUNDLE)
     return stage(found.withColumn("bundle", F.monotonically_increasing_id()), "alignment-bundles")
