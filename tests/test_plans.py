@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-from trolley.operators import retrieval
+from trolley.operators import retrieval, similarity
 from trolley.plans import feature_job
 from trolley.plans.setting import OrdersSetting
 from trolley.sources import sinks
@@ -17,22 +17,30 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_item_similarity_limits_on_the_map_side_and_spreads_a_full_row(spark):
-    # one customer holds every item, a third of all cells
-    rows = [(0, i, 1.0 + i % 3) for i in range(300)] + [(1 + i % 60, (i * 7) % 300, 1.0) for i in range(600)]
+@pytest.mark.parametrize("pairs", [similarity.PAIRS, 400])
+def test_item_similarity_shuffles_no_row_per_pair(spark, pairs):
+    # one customer holds every item, a third of all cells, and every customer item 0
+    rows = [(0, i, 1.0 + i % 3) for i in range(300)] + [(1 + i % 60, (i * 7) % 300, 1.0) for i in range(600)] + [(1 + c, 0, 2.0) for c in range(60)]
     matrix = spark.createDataFrame(rows, "customer_id bigint, item_id bigint, r double").groupBy("customer_id", "item_id").sum("r").toDF("customer_id", "item_id", "r")
-    found = retrieval.item_similarity(matrix, 5, segment=32)
-    assert "WindowGroupLimit" in plan(found)
+    found = similarity.item_similarity(matrix, 5, segment=32, pairs=pairs)
+    text = plan(found)
+    if pairs == similarity.PAIRS:
+        # what the products give is final: nothing is exchanged behind them
+        assert "Exchange" not in text[: text.index("FlatMapGroupsInArrow")]
+    else:
+        # heavy blocks are cut, their sums limited on the map side
+        assert "WindowGroupLimit" in text
     got = found.collect()
     cells = {}
     for r in matrix.collect():
         cells.setdefault(r["item_id"], {})[r["customer_id"]] = r["r"]
     norm = {i: sum(x * x for x in c.values()) ** 0.5 + 1e-8 for i, c in cells.items()}
     for i in (0, 7, 299):
-        sims = {j: sum(x * cells[j].get(c, 0) for c, x in cells[i].items()) / (norm[i] * norm[j] + retrieval.SHRINKAGE)
+        sims = {j: sum(x * cells[j].get(c, 0) for c, x in cells[i].items()) / (norm[i] * norm[j] + similarity.SHRINKAGE)
                 for j in cells if j != i}
         best = sorted(sims, key=lambda j: (-round(sims[j], 9), j))[:5]
         assert [r["item_j"] for r in sorted(got, key=lambda r: r["rank"]) if r["item_i"] == i] == best
+    assert similarity.item_similarity(matrix.limit(0), 5).count() == 0
 
 
 @pytest.mark.skipif(not Path(TABLES).exists(), reason="no test tables")

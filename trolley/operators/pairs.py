@@ -66,3 +66,25 @@ def bought_pairs(pairs: DataFrame) -> DataFrame:
 def reanchored(weight: str, anchor: Column, half_life: float) -> Column:
     """A decayed sum as if its decay had started at ``anchor`` instead of ``as_of_day``."""
     return F.col(weight) / half_life_decay(F.col("as_of_day") - anchor, half_life)
+
+
+#: Decayed sums of a state and their half-lives.
+DECAYED = {"popular_w": POPULARITY_HALF_LIFE, "repeat_w": HALF_LIFE, "implicit_w": HALF_LIFE}
+
+
+def merged(states: list[DataFrame], as_of_day: int) -> DataFrame:
+    """One pair aggregate from those of disjoint days, as of ``as_of_day``: counts add up, decayed sums move to the new anchor first.
+
+    So a day costs the rows of that day and one row per pair, however long the log is.
+    """
+    pooled = None
+    for state in states:
+        age = F.lit(as_of_day) - F.col("as_of_day")
+        moved = state.withColumns({c: F.col(c) * half_life_decay(age, life) for c, life in DECAYED.items()})
+        pooled = moved if pooled is None else pooled.unionByName(moved)
+    sums = ("n_events", "n_purchase", "n_cart", "n_view", "qty", "units", *DECAYED)
+    return pooled.groupBy("customer_id", "item_id").agg(
+        *[F.sum(c).alias(c) for c in sums],
+        *[F.max(c).alias(c) for c in ("last_day", "last_purchase")], *[F.min(c).alias(c) for c in ("first_day", "first_purchase")],
+        F.lit(as_of_day).alias("as_of_day"),
+    ).select(states[0].columns)

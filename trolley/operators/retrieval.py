@@ -1,4 +1,4 @@
-"""Candidate retrievers.
+"""Candidate retrievers.
 
 Every retriever returns (customer_id, item_id, rank, score) with a 0-based
 rank. What a retriever is fitted on is the pair aggregate of the log up to the
@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 
 from trolley.functions.expressions import best_first, score_key
 from trolley.operators.pairs import HALF_LIFE, POPULARITY_HALF_LIFE, bought_pairs, reanchored
+from trolley.operators.similarity import NEIGHBOURS, SEGMENT, SHRINKAGE, item_similarity
 from trolley.operators.vectors import block_topk
 from trolley.session import stage, use_checkpoints
 
-NEIGHBOURS, SHRINKAGE = 200, 25.0
 RRF_K = 60.0
-SEGMENT = 256
+# Fusion weights of the evaluated blend.
+BLEND_WEIGHTS = {"repeat": 1.0, "item_knn": 0.8, "als": 0.8}
 
 
 def item_popularity(pairs: DataFrame, items: DataFrame, half_life: float = POPULARITY_HALF_LIFE) -> DataFrame:
@@ -95,83 +96,6 @@ def interaction_matrix(pairs: DataFrame, half_life: float = HALF_LIFE) -> DataFr
     return pairs.select("customer_id", "item_id", reanchored("implicit_w", anchor, half_life).alias("r"))
 
 
-def _segments(matrix: DataFrame, segment: int) -> DataFrame:
-    """Matrix rows cut into segments of about ``segment`` items, one array per segment.
-
-    Columns: customer_id, n_seg, seg, cells array<(item_id, r, norm)> sorted by item.
-    """
-    sizes = matrix.groupBy("customer_id").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(segment)).cast("long").alias("n_seg")
-    )
-    return (
-        matrix.join(sizes, "customer_id")
-        .withColumn("seg", F.pmod(F.xxhash64("item_id"), F.col("n_seg")))
-        # the join leaves a customer's whole row in one task; its segments part here
-        .repartition("customer_id", "seg")
-        .groupBy("customer_id", "n_seg", "seg")
-        .agg(F.sort_array(F.collect_list(F.struct("item_id", "r", "norm"))).alias("cells"))
-    )
-
-
-def co_occurrence(matrix: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """Upper triangle of M'M without the diagonal: (item_i < item_j, co, norms).
-
-    ``matrix`` has (customer_id, item_id, r, norm); ``norms`` is the product of
-    the two items' norms, carried along so that the item pairs need no join.
-
-    A matrix row is never multiplied with itself whole. It is cut into
-    segments of bounded size, and one bounded block product per pair of
-    segments runs where the hash of (customer, segment, segment) puts it, so
-    a customer with a huge row is spread over all tasks. (The explicit
-    repartition is needed: a partitioning by customer alone would satisfy the
-    grouping and would keep such a customer in one task.) Products are summed
-    per item pair inside the task before anything is shuffled.
-    """
-    seg = _segments(matrix, segment)
-    # segment s takes part in the blocks (s, t) for t >= s and (t, s) for t < s
-    placed = seg.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_seg") - 1))).select(
-        "customer_id",
-        F.least("seg", "other").alias("a"), F.greatest("seg", "other").alias("b"),
-        F.col("seg").alias("seg"), "cells",
-    ).repartition("customer_id", "a", "b")
-    block = placed.groupBy("customer_id", "a", "b").agg(
-        F.first(F.when(F.col("seg") == F.col("a"), F.col("cells")), ignorenulls=True).alias("left"),
-        F.first(F.when(F.col("seg") == F.col("b"), F.col("cells")), ignorenulls=True).alias("right"),
-    )
-    # inside one segment each pair is taken once, from the smaller item id
-    rows = block.filter(F.col("left").isNotNull() & F.col("right").isNotNull()).select(
-        "a", "b", "right", F.posexplode("left").alias("pos", "l")
-    )
-    rest = F.slice(F.col("right"), F.col("pos") + 2, F.size("right"))
-    partners = F.when(F.col("a") != F.col("b"), F.col("right")).otherwise(rest)
-    cells = rows.select("l", F.explode(partners).alias("c"))
-    return (
-        cells.select(
-            F.least("l.item_id", "c.item_id").alias("item_i"),
-            F.greatest("l.item_id", "c.item_id").alias("item_j"),
-            (F.col("l.r") * F.col("c.r")).alias("p"),
-            (F.col("l.norm") * F.col("c.norm")).alias("nn"),
-        )
-        .groupBy("item_i", "item_j").agg(F.sum("p").alias("co"), F.max("nn").alias("norms"))
-    )
-
-
-def item_similarity(
-    matrix: DataFrame, neighbours: int = NEIGHBOURS, shrinkage: float = SHRINKAGE, segment: int = SEGMENT
-) -> DataFrame:
-    """Shrunk cosine similarity, the ``neighbours`` best per item: (item_i, item_j, sim, rank)."""
-    norms = matrix.groupBy("item_id").agg((F.sqrt(F.sum(F.col("r") * F.col("r"))) + 1e-8).alias("norm"))
-    upper = co_occurrence(matrix.join(norms, "item_id"), segment)
-    sim = upper.select(
-        "item_i", "item_j", (F.col("co") / (F.col("norms") + F.lit(shrinkage))).alias("sim")
-    ).filter(F.col("sim") > 0)
-    both = sim.select(F.inline(F.array(
-        F.struct(F.col("item_i"), F.col("item_j"), F.col("sim")),
-        F.struct(F.col("item_j").alias("item_i"), F.col("item_i").alias("item_j"), F.col("sim")),
-    )))
-    return best_first(both, ["item_i"], neighbours, "sim", "item_j")
-
-
 def item_knn(
     pairs: DataFrame, items: DataFrame, customers: DataFrame, k: int,
     neighbours: int = NEIGHBOURS, shrinkage: float = SHRINKAGE, half_life: float = HALF_LIFE,

@@ -20,8 +20,6 @@ from trolley.session import build_session, release, stage
 from trolley.sources import sinks
 
 MAX_K = max(metrics.K_VALUES)
-# Fusion weights of the blend.
-BLEND_WEIGHTS = {"repeat": 1.0, "item_knn": 0.8, "als": 0.8}
 
 
 def baseline_lists(s: Setting, fit_until: int, k: int, als: dict) -> dict[str, DataFrame]:
@@ -36,7 +34,7 @@ def baseline_lists(s: Setting, fit_until: int, k: int, als: dict) -> dict[str, D
         "vector": s.nearest(s.user_vectors(fit_until, s.asked), k),
     }
     lists = {name: stage(df, f"list-{name}") for name, df in lists.items()}
-    lists["blend"] = retrieval.rrf_blend([(lists[n], w) for n, w in BLEND_WEIGHTS.items()], k)
+    lists["blend"] = retrieval.rrf_blend([(lists[n], w) for n, w in retrieval.BLEND_WEIGHTS.items()], k)
     return lists
 
 

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from trolley.operators import diagnostics, metrics, ranking, retrieval, vectors
+from trolley.operators import diagnostics, metrics, pairwise, ranking, retrieval, vectors
 from trolley.operators.features import FEATURE_COLUMNS
 from trolley.operators.split import purchases_only
 from trolley.plans.common import rounded
@@ -92,9 +92,20 @@ def batch_slate(spark, d):
     return rounded(ranking.batch_slate(tables.customers(spark, d), scored, popular, s.items, K))
 
 
+#: Fitted rankers and their train frames, by application and tables: two queries share one fit.
+_FITTED: dict[tuple[str, str], tuple] = {}
+
+
+def _train_frame(s: Setting):
+    return s.once("train-frame", s.train_end, lambda: s.labelled("valid"))
+
+
 def _trained(s: Setting):
     """Ranker fitted on the train stage; the frame is read once per tree level, hence staged."""
-    return ranking.train_ranker(stage(s.labelled("valid"), "train-frame"))
+    key = (s.spark.sparkContext.applicationId, s.folder)
+    if key not in _FITTED:
+        _FITTED[key] = ranking.train_ranker(_train_frame(s))
+    return _FITTED[key]
 
 
 def two_stage_ranker(spark, d):
@@ -107,6 +118,44 @@ def feature_importance(spark, d):
     return rounded(ranking.feature_importance(_trained(Setting(spark, d)), spark, FEATURE_COLUMNS))
 
 
+def ranker_trees(spark, d):
+    """Trees grown and kept, and the lowest hold-out error."""
+    model = _trained(Setting(spark, d))
+    return rounded(spark.createDataFrame(
+        [(model.trained_trees, model.kept_trees, float(min(model.holdout_errors, default=0.0)))], "trained int, kept int, holdout_error double"))
+
+
+def ranker_pairs(spark, d):
+    """Bought and not bought candidates that the pairwise ranker holds against each other, by customer."""
+    return pairwise.pairs(Setting(spark, d).labelled()).groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_distinct("item_id").alias("bought"), F.count_distinct("other_id").alias("others"))
+
+
+def pairwise_ranker(spark, d):
+    """Metrics of the linear ranker fitted on pairs of the train stage, beside those of the transparent weights."""
+    s = Setting(spark, d)
+    frame = stage(s.labelled(), "test-frame")
+    model = pairwise.train_pairwise(_train_frame(s))
+    parts = [
+        metrics.ranking_metrics(ranking.rank_candidates(scored, 50), s.test_truth).withColumn("model", F.lit(name))
+        for name, scored in (("pairwise", pairwise.score_pairwise(model, frame)),
+                             ("weights", frame.withColumn("score", ranking.linear_score(LINEAR_WEIGHTS))))
+    ]
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+def evaluated_blend(spark, d):
+    """The blend that the evaluation job reports: repeat purchase, nearest neighbours and factorization."""
+    s = Setting(spark, d)
+    pairs = s.pairs()
+    lists = {
+        "repeat": retrieval.repeat_backfill(pairs, s.items, s.asked, 3 * K),
+        "item_knn": retrieval.item_knn(pairs, s.items, s.asked, 3 * K),
+        "als": retrieval.als_topk(pairs, s.asked, 3 * K),
+    }
+    return rounded(retrieval.rrf_blend([(lists[n], w) for n, w in retrieval.BLEND_WEIGHTS.items()], K))
+
+
 def scored_frame(spark, d):
     path = f"{shared_dir(spark)}/scored-{uuid.uuid4().hex}"
     sinks.write_scored(_scored(Setting(spark, d)), path)
@@ -208,6 +257,13 @@ LEFT JOIN cat ON cat.item_id = s.item_id""", past="hist",
         asked="SELECT DISTINCT customer_id FROM hist WHERE event_type = 2", digits=("score", "price"))),
     "two_stage_ranker": (two_stage_ranker, None),
     "feature_importance": (feature_importance, None),
+    "ranker_trees": (ranker_trees, None),
+    "pairwise_ranker": (pairwise_ranker, None),
+    "evaluated_blend": (evaluated_blend, None),
+    "ranker_pairs": (ranker_pairs, build("""
+SELECT customer_id, least(p, 8) * least(n, 16) AS pairs, least(p, 8) AS bought, least(n, 16) AS others
+FROM (SELECT customer_id, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n FROM labelled GROUP BY 1)
+WHERE p > 0 AND n > 0""", past="hist")),
     "scored_frame": (scored_frame, build("""
 SELECT customer_id, item_id, label, score, in_repeat, in_two_tower, in_item_knn, in_popularity, ui_n_purchase
 FROM scored""", past="hist", digits=("score",))),

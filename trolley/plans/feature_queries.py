@@ -7,10 +7,11 @@ import uuid
 from pyspark.sql import functions as F
 
 from trolley.operators import diagnostics, features, pooling
+from trolley.operators.pairs import merged, pair_aggregate
 from trolley.plans.common import rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import OrdersSetting, Setting
-from trolley.session import shared_dir
+from trolley.session import shared_dir, stage
 from trolley.sources import sinks
 
 POOL_DOUBLES = tuple(f"{p}_{s}" for s in features.SOURCES for p in ("rr", "score"))
@@ -117,6 +118,19 @@ def feature_backfill(spark, d):
     return rounded(spark.read.parquet(path).select(*FRAME, "as_of_day"))
 
 
+def incremental_days(spark, d):
+    """The state of ten days ago, moved on day by day, each time with the rows of one day only."""
+    s = Setting(spark, d)
+    state = s.pairs(s.valid_end - 10)
+    for day in range(s.valid_end - 9, s.valid_end + 1):
+        rows = s.log(as_of_day=day, after_day=day - 1)
+        state = stage(merged([state, pair_aggregate(rows, day)], day), "state")
+    return rounded(state.select(*STATE))
+
+
+STATE = ["customer_id", "item_id", "n_events", "last_day", "first_day", "n_purchase", "n_cart", "n_view", "qty", "units", "last_purchase",
+         "first_purchase", "popular_w", "repeat_w", "implicit_w", "as_of_day"]
+_AGE = "exp(-ln(2.0) * (d - day) / {})"
 _ORD_UI = build("SELECT * FROM blk_ui", past="ohist", aod="SELECT valid_end AS d FROM olim",
                 digits=("ui_mean_gap", "ui_due_ratio", "ui_cart_rate", "ui_purchase_rate"))
 _FRAME_SQL = ", ".join(f'"{c}"' for c in FRAME)
@@ -164,6 +178,14 @@ SELECT block, latest_day, d - latest_day AS age_days FROM aod, (
     "ordered_frame": (ordered_frame, build("""
 SELECT customer_id, item_id, label, row_number() OVER (PARTITION BY customer_id ORDER BY item_id) - 1 AS place
 FROM labelled""", past="hist")),
+    "incremental_days": (incremental_days, build(f"""
+SELECT customer_id, item_id, count(*) AS n_events, max(day) AS last_day, min(day) AS first_day, count(*) FILTER (event_type = 2) AS n_purchase,
+  count(*) FILTER (event_type = 1) AS n_cart, count(*) FILTER (event_type = 0) AS n_view, CAST(sum(quantity) AS BIGINT) AS qty,
+  CAST(sum(quantity) FILTER (event_type = 2) AS BIGINT) AS units, max(day) FILTER (event_type = 2) AS last_purchase,
+  min(day) FILTER (event_type = 2) AS first_purchase, sum({_AGE.format(21.0)}) FILTER (event_type = 2) AS popular_w,
+  sum({_AGE.format(30.0)}) FILTER (event_type = 2) AS repeat_w,
+  sum(CASE event_type WHEN 0 THEN 0.3 WHEN 1 THEN 1.0 ELSE 3.0 END * {_AGE.format(30.0)}) AS implicit_w, any_value(d) AS as_of_day
+FROM past, aod GROUP BY 1, 2""", past="hist", digits=("popular_w", "repeat_w", "implicit_w"))),
     "feature_backfill": (feature_backfill, "SELECT * FROM ({}) UNION ALL SELECT * FROM ({})".format(
         build(f"SELECT {_FRAME_SQL}, as_of_day FROM ff", past="train", aod="SELECT train_end AS d FROM lim",
               digits=FRAME_DOUBLES),
