@@ -37,7 +37,7 @@ from trolley.session import stage
 
 END_ID = 1
 #: Bytes of a cache of words, and what an entry takes besides its text and ids.
-CACHE_BYTES, ENTRY_BYTES = 64 << 20, 200
+CACHE_BYTES, ENTRY_BYTES = 160 << 20, 200
 FLUSH_BYTES = 16 << 20
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
