@@ -60,6 +60,40 @@ def test_forest_finds_each_pair_once_in_blocks(spark):
     assert all((r.n_links, r.component_id) == (89, 0) for r in rows)
 
 
+def test_large_leaves_are_cut_again(spark):
+    """Cuts of a small sample leave large leaves; those are cut by samples of their own, but for the dense group of copies."""
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((600, 32))
+    near = [centres[k % 600] + rng.standard_normal(32) * 0.05 for k in range(2400)]
+    near += [centres[0] + rng.standard_normal(32) * 0.01 for _ in range(150)]
+    x = np.array(near)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>, label int").repartition(3)
+    s = embedding_forest.Settings(leaf=40, sample=48, least_sample=8, most=100, again=120, block=64)
+    vectors = df.selectExpr("vec_id AS rid", "CAST(label AS string) AS label", "1L AS weight", "embedding AS v")
+    spots = embedding_forest.placed(vectors, embedding_forest.fit(vectors, len(x), s))
+    before = [r["count"] for r in spots.groupBy("code").count().collect()]
+    deep = embedding_forest.deepened(spots, s)
+    after = [r["count"] for r in deep.groupBy("code").count().collect()]
+    # comparisons within leaves
+    assert sum(n * n for n in after) < 0.5 * sum(n * n for n in before)
+    assert all(r.code in r.codes and r.codes == sorted(set(r.codes)) for r in deep.collect())
+    got = {r.vec_id: r for r in embedding_forest.near_duplicates(df, s).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    links = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert all(got[i].n_links <= links[i] for i in range(len(x)))
+    assert sum(r.n_links for r in got.values()) >= 0.99 * links.sum()
+
+
+def test_huge_and_tiny_vectors_keep_their_links(spark):
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((200, 6))
+    data = [(i, v.tolist()) for i, v in enumerate(np.concatenate([base, base * 1e-200, base * 1e250, base * 5e-308]))]
+    df = spark.createDataFrame([(i, v, 1) for i, v in data], "vec_id bigint, embedding array<double>, label int")
+    s = embedding_forest.Settings(leaf=40, least_sample=8, block=64)
+    rows = {r.vec_id: r for r in embedding_forest.near_duplicates(df, s).collect()}
+    assert all(rows[i].n_links >= 3 and rows[i].component_id == rows[i % 200].component_id for i, _ in data)
+
+
 def test_urls(spark):
     urls = ["http://a.net/x", "http://example.net/en/1", "https://M.Example.NET/de/", "http://example.com/de/?q", "ftp://b.org/fr/",
             "http://notnet/x", "net", None, "://", "http://x.example.com#/de/", "http://example.com/de", "x://y://z.net/q", "http://net",

@@ -7,7 +7,8 @@ by cosine in double precision, if their labels agree. With the defaults a pair a
 probability of about 1e-5.
 
 The cuts are fitted on a bounded sample (``sample`` vectors, those with the least hash of their id); every vector is
-sent down every tree. Equal vectors of a label are one vector with a weight. A leaf is cut into blocks, a task per pair of blocks,
+sent down every tree. A leaf that still holds over ``most`` vectors of a label is cut again, with cuts fitted on ``again`` vectors of its own, round
+by round until no such leaf can be cut, so leaves stay small however many vectors there are. Equal vectors of a label are one vector with a weight. A leaf is cut into blocks, a task per pair of blocks,
 so a leaf that a dense group fills stays spread out. A linked pair counts in the first leaf that both share only, so the numbers of
 links are sums over leaves and no pair needs to be emitted; what leaves a task are sums per vector and the links of a spanning forest.
 
@@ -19,12 +20,13 @@ id gets null component_id and kept = true. An empty table gives no rows.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trolley.llm.components import block_pairs, components, sorted_groups
@@ -41,6 +43,9 @@ class Settings:
     sample: int = 20_000
     #: A node of the sample with fewer vectors is not cut, as its median says little.
     least_sample: int = 32
+    #: A leaf with more vectors is cut again, with cuts fitted on ``again`` of them.
+    most: int = 8192
+    again: int = 4096
     block: int = 1024
     seed: int = 7
 
@@ -54,6 +59,11 @@ class Node:
     right: "Node | None"
 
 
+def scaled(v: np.ndarray) -> np.ndarray:
+    """``v`` times a power of two that brings its largest component near 1: the same angles, and no square becomes 0 or infinite."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max())[1])
+
+
 def grow(points: np.ndarray, depth: int, s: Settings, rng: np.random.Generator) -> Node | None:
     """Tree over unit vectors; None is a leaf. Vectors below ``high`` go left, those from ``low`` on go right."""
     if depth <= 0 or len(points) < 2 * s.least_sample:
@@ -86,7 +96,7 @@ def leaves(tree: Node | None, points: np.ndarray) -> Iterator[tuple[int, np.ndar
 def fit(vectors: DataFrame, rows: int, s: Settings) -> dict[int, list[Node | None]]:
     """Trees by vector length, on a bounded sample of ``vectors`` (rid, v)."""
     some = (vectors.withColumn("r", F.xxhash64("rid")).orderBy("r", "rid").limit(s.sample).select("v").toPandas())
-    points = [np.array(v, float) for v in some["v"]]
+    points = [scaled(np.array(v, float)) for v in some["v"]]
     rng = np.random.default_rng(s.seed)
     depth = math.ceil(math.log2(max(rows / s.leaf, 1)))
     found = {}
@@ -104,7 +114,7 @@ def placed(vectors: DataFrame, trees: dict[int, list[Node | None]]) -> DataFrame
 
     def down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [np.array(v, float) for v in batch.column("v").to_pylist()]
+            values = [scaled(np.array(v, float)) for v in batch.column("v").to_pylist()]
             codes: list[list[int]] = [[] for _ in values]
             lengths = np.array([len(v) for v in values], int)
             for size in np.unique(lengths):
@@ -127,6 +137,67 @@ def placed(vectors: DataFrame, trees: dict[int, list[Node | None]]) -> DataFrame
     return vectors.select("rid", "label", "weight", "v").mapInArrow(down, PLACES)
 
 
+def _leaf(spots: DataFrame) -> DataFrame:
+    return spots.withColumn("leaf", F.concat_ws(":", "code", "size", "label"))
+
+
+def deepened(spots: DataFrame, s: Settings) -> DataFrame:
+    """The same vectors with the leaves of over ``most`` of them cut again, until those left are dense groups."""
+    tried = None
+    while True:
+        sizes = _leaf(spots).groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > s.most)
+        large = stage(sizes if tried is None else sizes.join(tried, "leaf", "left_anti"), "large-leaves")
+        if large.isEmpty():
+            return spots
+        tried = large.select("leaf") if tried is None else tried.union(large.select("leaf"))
+        rows = _leaf(spots).join(large, "leaf").select("leaf", "n", "rid", "code", "x")
+        first = Window.partitionBy("leaf").orderBy(F.xxhash64("rid"), "rid")
+        some = rows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= s.again)
+        trees = stage(some.select("leaf", "n", "x").groupBy("leaf").applyInArrow(
+            lambda table: _subtree(table, s), "leaf string, n bigint, tree binary"), "subtrees")
+        if trees.isEmpty():
+            continue
+        slices = F.ceil(F.col("n") / s.again).cast("bigint")
+        dealt = trees.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), slices - 1)))
+        held = rows.withColumn("slice", F.pmod(F.xxhash64("rid", "code"), slices)).join(trees.select("leaf"), "leaf", "left_semi")
+        moved = held.select("leaf", "slice", "rid", "code", "x").groupBy("leaf", "slice").cogroup(
+            dealt.select("leaf", "slice", "tree").groupBy("leaf", "slice")
+        ).applyInArrow(_resent, "rid bigint, code bigint, below array<bigint>")
+        moved = stage(moved, "deeper-codes")
+        # a vector has few codes, so they fit a row; its components follow by one join
+        codes = (spots.select("rid", "code").join(moved, ["rid", "code"], "left")
+                 .groupBy("rid").agg(F.array_sort(F.flatten(F.collect_list(F.coalesce("below", F.array("code"))))).alias("codes")))
+        own = spots.where(F.col("code") == F.col("codes")[0]).drop("codes", "code")
+        spots = own.join(codes, "rid").select(*own.columns, "codes", F.explode("codes").alias("code"))
+        spots = stage(spots.select("rid", "label", "weight", "size", "x", "codes", "code"), "leaf-places")
+
+
+def _subtree(table: pa.Table, s: Settings) -> pa.Table:
+    """Tree of one leaf from a sample of its vectors; no row where it cannot be cut."""
+    leaf, n = table.column("leaf")[0].as_py(), table.column("n")[0].as_py()
+    x = np.stack([np.frombuffer(b, float) for b in sorted(table.column("x").to_pylist())])
+    x = x / np.linalg.norm(x, axis=1)[:, None]
+    rng = np.random.default_rng([s.seed, *leaf.encode()])
+    tree = grow(x, math.ceil(math.log2(n / s.leaf)), s, rng)
+    kept = [] if tree is None else [pickle.dumps(tree)]
+    return pa.table({"leaf": pa.array([leaf] * len(kept), pa.string()), "n": pa.array([n] * len(kept), pa.int64()),
+                     "tree": pa.array(kept, pa.binary())})
+
+
+def _resent(_, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Codes below their old one of some vectors of a leaf; the path within its tree is appended to the old path."""
+    tree, code = pickle.loads(right.column("tree")[0].as_py()), left.column("code").to_pylist()
+    below: list[list[int]] = [[] for _ in code]
+    if code:
+        x = np.stack([np.frombuffer(b, float) for b in left.column("x").to_pylist()])
+        for path, rows in leaves(tree, x / np.linalg.norm(x, axis=1)[:, None]):
+            bits = path.bit_length() - 1
+            for k in rows:
+                t, above = code[k] >> 40, code[k] & (1 << 40) - 1
+                below[k].append(t << 40 | above << bits | path & (1 << bits) - 1)
+    return pa.table({"rid": left.column("rid"), "code": left.column("code"), "below": pa.array(below, pa.list_(pa.int64()))})
+
+
 def _compared(rows: DataFrame, s: Settings) -> DataFrame:
     """a, b, links: per vector the weights it links with (b null), and links of a spanning forest (links 0)."""
 
@@ -207,8 +278,7 @@ def near_duplicates(rows: DataFrame, s: Settings = Settings(), id_column: str =
     good = named.where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(sound, F.lit(False)))
     vectors = stage(good.groupBy("label", "v").agg(F.min("id").alias("rid"), F.count(F.lit(1)).alias("weight")), "vectors")
     trees = fit(vectors, vectors.count(), s)
-    spots = placed(vectors, trees).withColumn("leaf", F.concat_ws(":", "code", "size", "label"))
-    spots = stage(spots, "leaf-places")
+    spots = _leaf(deepened(stage(placed(vectors, trees), "leaf-places"), s))
     sizes = spots.groupBy("leaf").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     found = stage(_compared(block_pairs(spots.drop("size"), "leaf", sizes, "rid", s.block), s), "vector-links")
 

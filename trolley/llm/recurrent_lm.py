@@ -390,7 +390,8 @@ def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> tuple[Model, int
 
 def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10)."""
-    rows = _bundled(docs, s)
+    # written, so that both readers of a bundle see the same documents in it
+    rows = stage(_bundled(docs, s), "bundles")
     own = stage(_bundle_words(rows), "bundle-words")
     counts = own.groupBy("word").agg(F.sum("n").alias("c"))
     counts = stage(counts, "word-counts")
