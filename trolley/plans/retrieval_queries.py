@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from trolley.operators import cells, retrieval, vectors
+from trolley.operators import cells, factorization, retrieval, vectors
 from trolley.plans.common import rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import OrdersSetting, Setting
@@ -72,6 +72,31 @@ def als_scores(spark, d):
         F.round(F.max(F.abs(F.col("again") - F.col("score"))), 6).alias("worst_gap"))
 
 
+def implicit_objective(spark, d):
+    """The factorization's objective for vectors that SQL can derive: last purchases pooled, and the items' own vectors."""
+    s = Setting(spark, d)
+    matrix = stage(retrieval.interaction_matrix(s.pairs()), "matrix")
+    users = _user_vectors(s).select(F.col("customer_id").alias("query_id"), "vector")
+    return rounded(factorization.implicit_objective(matrix, users, s.vectors), 3)
+
+
+def als_objective(spark, d):
+    """After few and after all iterations: filled cells, customers, whether the objective fell, whether each customer's factors solve it."""
+    s = Setting(spark, d)
+    matrix = stage(retrieval.interaction_matrix(s.pairs()), "matrix")
+    everyone = matrix.select("customer_id").distinct()
+    rows, last = None, F.lit(float("inf"))
+    for iterations in (1, 4, 12):
+        users, items = retrieval.als_factors(s.pairs(), everyone, iterations=iterations)
+        found = stage(factorization.implicit_objective(matrix, users, items), "objective")
+        gaps = factorization.stationarity(matrix, users, items)
+        row = found.select(
+            F.lit(iterations).alias("iterations"), "filled", gaps.agg(F.count(F.lit(1))).scalar().alias("customers"),
+            (F.col("objective") < last).alias("fell"), (gaps.agg(F.max("gap")).scalar() < 1e-3).alias("solved"))
+        rows, last = row if rows is None else rows.unionByName(row), found.select("objective").scalar()
+    return rows
+
+
 def _user_vectors(s: Setting):
     return s.user_vectors(s.train_end, s.asked)
 
@@ -200,6 +225,18 @@ FROM vec, (SELECT unnest(['bounds', 'probed_cells']) AS i) GROUP BY i""")),
     "ivf_all_cells": (ivf_all_cells, build(_LIST.format("vec"), digits=LIST)),
     "ann_recall_all_cells": (ann_recall_all_cells, build(
         "SELECT count(DISTINCT customer_id) AS queries, 1.0::DOUBLE AS recall FROM vec")),
+    "implicit_objective": (implicit_objective, build("""
+SELECT filled, round(loss, 3) AS loss, round(penalty, 3) AS penalty, round(loss + penalty, 3) AS objective FROM (
+  SELECT count(r) AS filled, sum(CASE WHEN r IS NULL THEN s * s ELSE (1 + 12 * r) * (1 - s) * (1 - s) END) AS loss,
+    0.05::DOUBLE * sum(CASE WHEN r IS NULL THEN 0 ELSE xx + yy END) AS penalty
+  FROM (
+    SELECT m.r, list_dot_product(u.v, i.v) AS s, list_dot_product(u.v, u.v) AS xx, list_dot_product(i.v, i.v) AS yy
+    FROM (SELECT customer_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM uvec
+          WHERE customer_id IN (SELECT customer_id FROM asked)) u CROSS JOIN ivec i
+    LEFT JOIN mat m ON m.customer_id = u.customer_id AND m.item_id = i.item_id))""")),
+    "als_objective": (als_objective, build("""
+SELECT CAST(unnest([1, 4, 12]) AS INTEGER) AS iterations, count(*) AS filled, count(DISTINCT customer_id) AS customers, true AS fell, true AS solved
+FROM mat""")),
     "als_scores": (als_scores, build(
         "SELECT count(*) AS customers, 20 * count(*) AS listed, 0.0::DOUBLE AS worst_gap FROM asked")),
 }
