@@ -41,3 +41,13 @@ def test_evaluation_job_reports(spark, tmp_path):
     assert spark.read.csv(f"{out}/ranker_importance", header=True).count() == 42
     analysis = json.loads(next(Path(out, "analysis").glob("*.json")).read_text())
     assert 0 <= analysis["repeat_vs_discovery"]["repeat_recall"] <= 1 and len(analysis["source_contribution"]) == 4
+
+
+def test_write_reports_what_it_stored(spark, tmp_path):
+    frame = spark.createDataFrame([(1, 2.0, 3), (2, None, 4), (None, None, 4)], "customer_id int, x double, as_of_day int").repartition(3)
+    out = str(tmp_path / "features")
+    want = {"rows": 3, "latest_day": 4, "nulls_customer_id": 1, "nulls_x": 2, "nulls_as_of_day": 0}
+    assert sinks.write_observed(frame, out) == want == sinks.write_observed(frame, out)
+    assert spark.read.parquet(out).count() == 3
+    empty = sinks.write_observed(frame.limit(0), str(tmp_path / "none"))
+    assert empty["rows"] == empty["nulls_x"] == 0 and empty["latest_day"] is None

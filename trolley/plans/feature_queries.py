@@ -118,6 +118,14 @@ def feature_backfill(spark, d):
     return rounded(spark.read.parquet(path).select(*FRAME, "as_of_day"))
 
 
+def feature_write_quality(spark, d):
+    """Rows, latest day and nulls per column of a block, as the write that stored it saw them."""
+    s = Setting(spark, d)
+    block = features.user_item_features(_pairs(s), s.valid_end).withColumn("as_of_day", F.lit(s.valid_end))
+    found = sinks.write_observed(block, f"{shared_dir(spark)}/features-{uuid.uuid4().hex}")
+    return spark.createDataFrame(sorted(found.items()), "metric string, value bigint")
+
+
 def incremental_days(spark, d):
     """The state of ten days ago, moved on day by day, each time with the rows of one day only."""
     s = Setting(spark, d)
@@ -135,7 +143,14 @@ _ORD_UI = build("SELECT * FROM blk_ui", past="ohist", aod="SELECT valid_end AS d
                 digits=("ui_mean_gap", "ui_due_ratio", "ui_cart_rate", "ui_purchase_rate"))
 _FRAME_SQL = ", ".join(f'"{c}"' for c in FRAME)
 
+_BLOCK = ("customer_id", "item_id", "ui_n_events", "ui_last_day", "ui_n_purchase", "ui_n_cart", "ui_n_view", "ui_qty", "ui_days_since",
+          "ui_mean_gap", "ui_due_ratio", "ui_cart_rate", "ui_purchase_rate", "as_of_day")
+
 QUERIES = {
+    "feature_write_quality": (feature_write_quality, build(
+        "SELECT unnest([{}]) AS metric, unnest([{}]) AS value FROM (SELECT blk_ui.*, aod.d AS as_of_day FROM blk_ui, aod)".format(
+            ", ".join(["'rows'", "'latest_day'", *(f"'nulls_{c}'" for c in _BLOCK)]),
+            ", ".join(["count(*)", "CAST(max(as_of_day) AS BIGINT)", *(f"count(*) FILTER ({c} IS NULL)" for c in _BLOCK)])), past="hist")),
     "user_item_features": (user_item_features, build(
         "SELECT * FROM blk_ui", past="hist", digits=("ui_mean_gap", "ui_due_ratio", "ui_cart_rate", "ui_purchase_rate"))),
     "user_item_features_orders": (user_item_features_orders, _ORD_UI),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Columns of the audit record.
@@ -31,6 +31,17 @@ def write_features(frame: DataFrame, path: str) -> None:
     )
 
 
+def write_observed(frame: DataFrame, path: str, name: str = "features") -> dict[str, int | None]:
+    """As ``write_features``; returns rows, latest_day and the nulls of each column, gathered by the write itself without another pass.
+
+    A frame without rows has None as its latest day and no nulls.
+    """
+    seen = Observation(name)
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{c}") for c in frame.columns]
+    write_features(frame.observe(seen, F.count(F.lit(1)).alias("rows"), F.max("as_of_day").alias("latest_day"), *nulls), path)
+    return seen.get
+
+
 def write_scored(frame: DataFrame, path: str) -> None:
     """The columns that the diagnostics read back."""
     keep = [c for c in frame.columns if c.startswith("in_")]
