@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.operators import documents, explain, governance, ranking, sequences, vectors
+from trolley.operators import documents, explain, governance, ranking, retrieval, sequences, vectors
 from trolley.plans.common import joined_text, rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import LINEAR_WEIGHTS, Setting
@@ -65,6 +65,23 @@ def qa_context(spark, d):
     return joined_text(documents.qa_context(docs, index, _asks(spark, QUESTIONS), 4), "allowed_ids")
 
 
+def hybrid_search(spark, d):
+    """Products by terms and by dense vectors of the same postings, both lists fused by reciprocal ranks."""
+    docs = stage(_docs(Setting(spark, d)), "docs")
+    counts = stage(documents.term_counts(docs, "item_id", "text"), "index")
+    idf, postings = _index(counts, documents.corpus_size(docs), "item_id")
+    asks = _asks(spark, QUESTIONS)
+    lexical = documents.tfidf_search((idf, postings), asks, 3 * HYBRID, "item_id")
+    asked = stage(documents.dense_vectors(documents.query_weights(idf, asks), "query_id", "q"), "dense")
+    items = stage(documents.dense_vectors(postings, "item_id", "weight"), "dense")
+    dense = vectors.block_topk(asked, items, 3 * HYBRID).where("score > 0")
+    lists = [(found.select(F.col("query_id").cast("int").alias("customer_id"), "item_id", "rank"), 1.0) for found in (lexical, dense)]
+    return rounded(retrieval.rrf_blend(lists, HYBRID)).withColumnRenamed("customer_id", "query_id")
+
+
+HYBRID = 10
+
+
 def _contexts(s: Setting) -> DataFrame:
     """Contexts of all slots of every slate."""
     scored = s.labelled().withColumn("score", ranking.linear_score(LINEAR_WEIGHTS))
@@ -218,6 +235,29 @@ QUERIES = {
     "tfidf_search": (tfidf_search, build("""
 SELECT query_id, doc_id, CAST(rank AS INTEGER) AS rank, score FROM found WHERE rank < 10""",
         digits=("score",), asks=_values(PHRASES))),
+    "hybrid_search": (hybrid_search, build("""
+WITH spots AS (
+SELECT term, CAST(concat('0x', substr(md5(term), 3 * j + 1, 2)) AS INTEGER) AS place,
+  CASE WHEN substr(md5(term), 3 * j + 3, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS sign
+FROM (SELECT DISTINCT term FROM wts), (SELECT unnest(range(8)) AS j)),
+ddense AS (
+SELECT doc_id, place, sum(weight * sign) AS v FROM wts JOIN spots ON spots.term = wts.term GROUP BY 1, 2),
+qdense AS (
+SELECT query_id, place, sum(q * sign) AS v FROM qwts JOIN spots ON spots.term = qwts.term GROUP BY 1, 2),
+nearest AS (
+SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) - 1 AS rank FROM (
+  SELECT q.query_id, d.doc_id, round(sum(q.v * d.v) / (any_value(qn.n) * any_value(dn.n)), 9) AS score
+  FROM ddense d JOIN qdense q ON q.place = d.place
+  JOIN (SELECT doc_id, sqrt(sum(v * v)) AS n FROM ddense GROUP BY 1) dn ON dn.doc_id = d.doc_id
+  JOIN (SELECT query_id, sqrt(sum(v * v)) AS n FROM qdense GROUP BY 1) qn ON qn.query_id = q.query_id GROUP BY 1, 2)
+WHERE score > 0),
+fused AS (
+SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, item_id) - 1 AS rank FROM (
+  SELECT query_id, doc_id AS item_id, sum(1.0::DOUBLE / (60 + rank + 1)) AS score FROM (
+    SELECT query_id, doc_id, rank FROM found WHERE rank < 30
+    UNION ALL SELECT query_id, doc_id, rank FROM nearest WHERE rank < 30) GROUP BY 1, 2))
+SELECT query_id, item_id, CAST(rank AS INTEGER) AS rank, score FROM fused WHERE rank < 10""", digits=("score",),
+        asks=_values(QUESTIONS), corpus="SELECT item_id AS doc_id, text FROM docs")),
     "qa_context": (qa_context, build("""
 SELECT a.query_id, a.query, CASE WHEN f.lines IS NULL THEN 'No matching products found in the catalogue.'
     ELSE concat('RETRIEVED PRODUCTS:\n', f.lines) END AS context, coalesce(f.tags, '') AS allowed_ids
