@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from trolley.operators import diagnostics, metrics, pairwise, ranking, retrieval, vectors
@@ -12,7 +10,7 @@ from trolley.operators.split import purchases_only
 from trolley.plans.common import rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import LINEAR_WEIGHTS, Setting
-from trolley.session import shared_dir, stage
+from trolley.session import scratch, stage
 from trolley.sources import sinks, tables
 
 K = 20
@@ -157,7 +155,7 @@ def evaluated_blend(spark, d):
 
 
 def scored_frame(spark, d):
-    path = f"{shared_dir(spark)}/scored-{uuid.uuid4().hex}"
+    path = scratch(spark, "scored")
     sinks.write_scored(_scored(Setting(spark, d)), path)
     return rounded(spark.read.parquet(path))
 
@@ -165,7 +163,7 @@ def scored_frame(spark, d):
 def report_roundtrip(spark, d):
     """A report written as CSV and as JSON, read back from both."""
     report = source_contribution(spark, d)
-    path = f"{shared_dir(spark)}/report-{uuid.uuid4().hex}"
+    path = scratch(spark, "report")
     sinks.write_report(report, f"{path}/csv")
     sinks.write_report(report, f"{path}/json", "json")
     back = spark.read.schema(report.schema).option("header", True).csv(f"{path}/csv").withColumn("kind", F.lit("csv"))

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from trolley.operators import diagnostics, features, pooling
+from trolley.operators import blocks, diagnostics, features, pooling
 from trolley.operators.pairs import merged, pair_aggregate
 from trolley.plans.common import rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import OrdersSetting, Setting
-from trolley.session import shared_dir, stage
+from trolley.session import scratch, stage
 from trolley.sources import sinks
 
 POOL_DOUBLES = tuple(f"{p}_{s}" for s in features.SOURCES for p in ("rr", "score"))
@@ -111,7 +109,7 @@ def ordered_frame(spark, d):
 def feature_backfill(spark, d):
     """Two days written, the second one again: every day is there exactly once."""
     s = Setting(spark, d)
-    path = f"{shared_dir(spark)}/features-{uuid.uuid4().hex}"
+    path = scratch(spark, "features")
     first, second = (s.feature_frame(day, s.asked).select(*FRAME, "as_of_day") for day in s.days)
     for frame in (first, second, second):
         sinks.write_features(frame, path)
@@ -122,10 +120,20 @@ def feature_write_quality(spark, d):
     """Rows, latest day and nulls per column of a block, as the write that stored it saw them."""
     s = Setting(spark, d)
     block = features.user_item_features(_pairs(s), s.valid_end).withColumn("as_of_day", F.lit(s.valid_end))
-    found = sinks.write_observed(block, f"{shared_dir(spark)}/features-{uuid.uuid4().hex}")
+    found = sinks.write_observed(block, scratch(spark, "features"))
     return spark.createDataFrame(sorted(found.items()), "metric string, value bigint")
 
 
+def bucketed_feature_frame(spark, d):
+    """The feature frame from blocks that were written in buckets and stay where they are."""
+    s = Setting(spark, d)
+    pairs = _pairs(s)
+    kept = blocks.BucketedBlocks(scratch(spark, "blocks"), blocks.buckets_for(pairs.count()))
+    kept.write(features.FeatureStore.from_pairs(pairs, s.items, s.valid_end))
+    pool = stage(s.pool(s.valid_end, s.asked), "pool")
+    return rounded(blocks.transform(kept.read(spark, s.valid_end), pool).select(*FRAME, "as_of_day"))
+
+
 def incremental_days(spark, d):
     """The state of ten days ago, moved on day by day, each time with the rows of one day only."""
     s = Setting(spark, d)
@@ -168,6 +176,8 @@ QUERIES = {
     "candidate_pool": (candidate_pool, build("SELECT * FROM pool", past="hist", digits=POOL_DOUBLES)),
     "feature_frame": (feature_frame, build(
         f"SELECT {_FRAME_SQL}, as_of_day FROM ff", past="hist", digits=FRAME_DOUBLES)),
+    "bucketed_feature_frame": (bucketed_feature_frame, build(
+        f"SELECT {_FRAME_SQL}, as_of_day FROM ff", past="hist", digits=FRAME_DOUBLES)),
     "attach_labels": (attach_labels, build(
         "SELECT customer_id, item_id, n_sources, label FROM labelled", past="hist")),
     "group_sizes": (group_sizes, build(

@@ -8,7 +8,7 @@ from trolley.operators import diagnostics, joins, metrics, sequences, split
 from trolley.plans.common import joined_text, rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import OrdersSetting, Setting
-from trolley.session import shared_dir, stage
+from trolley.session import scratch, stage
 from trolley.sources import sinks, tables
 
 SEQ_COLS = ("log_n_prior", "days_since_last", "log_mean_price", "log_days_active", "distinct_ratio")
@@ -16,10 +16,8 @@ SEQ_COLS = ("log_n_prior", "days_since_last", "log_mean_price", "log_days_active
 
 def load_events_cut(spark, d):
     """Writes the canonical log by day, then reads it back up to the end of the train window."""
-    import uuid
-
     s = Setting(spark, d)
-    path = f"{shared_dir(spark)}/log-{uuid.uuid4().hex}"
+    path = scratch(spark, "log")
     sinks.write_interactions(s.log(), path)
     return tables.load_events(spark, path, s.train_end).select(
         "customer_id", "item_id", "day", "event_type", "quantity", "event_seq"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +9,7 @@ from trolley.operators import documents, explain, governance, ranking, retrieval
 from trolley.plans.common import joined_text, rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import LINEAR_WEIGHTS, Setting
-from trolley.session import shared_dir, stage
+from trolley.session import scratch, stage
 from trolley.sources import sinks, tables
 
 # Questions of the catalogue search and phrases looked up in the corpus.
@@ -178,7 +176,7 @@ def audit_records(spark, d):
 
 def audit_roundtrip(spark, d):
     """Appended twice as JSON lines and read back: every record is there twice."""
-    path = f"{shared_dir(spark)}/audit-{uuid.uuid4().hex}"
+    path = scratch(spark, "audit")
     records = _audit(spark, d)
     sinks.append_audit(records, path)
     sinks.append_audit(records, path)

@@ -80,18 +80,25 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
 
 
-#: Folders written by ``stage``, by application, until ``release`` deletes them.
+#: Folders given out by ``scratch``, by application, until ``release`` deletes them.
 _WRITTEN: dict[str, list[str]] = {}
 
 
 def release(spark: SparkSession) -> None:
-    """Delete what ``stage`` has written for this application; call it when the results of a job are stored."""
+    """Delete the folders that ``scratch`` gave out and ``stage`` wrote for this application; call it when the results of a job are stored."""
     jvm = spark.sparkContext._jvm
     for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
         place = jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own in the shared folder, which ``release`` deletes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -100,7 +107,6 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     planner sees the real file size when it decides on a broadcast.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = scratch(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
