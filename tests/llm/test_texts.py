@@ -152,16 +152,17 @@ def test_byte_bpe(docs, empty):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
     assert byte_bpe.read_ranks(path) == ranks
     own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    rows = docs.where("length(text) < 5000 or text is null")
     spark = docs.sparkSession
     odd = spark.createDataFrame([(900, "a\x00b \x1c don't  \n\n x\u0301 日本語 <|endoftext|> 1234"), (901, None)], "doc_id bigint, text string")
-    texts = collections.Counter((r.doc_id, r.text or "") for r in rows.select("doc_id", "text").union(odd).collect())
+    texts = collections.Counter((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").union(odd).collect())
     got = collections.Counter((r.doc_id, r.n_tokens, r.ids, bytes(r.decoded)) for r in
-                              byte_bpe.encode(rows.select("doc_id", "text").union(odd), ranks, P.PATTERN).collect())
+                              byte_bpe.encode(docs.select("doc_id", "text").union(odd), ranks, P.PATTERN).collect())
     want = collections.Counter()
     for (i, t), n in texts.items():
         ids = own.encode_ordinary(t)
         want[i, len(ids), ",".join(map(str, ids)), t.encode()] += n
+    # one of them is a single run of letters
+    assert max(len(t) for _, t in texts) > 15_000
     assert got == want
     assert byte_bpe.encode(empty, ranks, P.PATTERN).count() == 0
 
@@ -310,6 +311,38 @@ def test_recurrent_scores(docs, texts, empty):
     assert recurrent_lm.score(empty, s).count() == 0
 
 
+def test_recurrent_score_is_that_of_the_fitted_model(docs, monkeypatch):
+    """Every document again, one state at a time in double precision, with the probability of every symbol written out."""
+    s = recurrent_lm.Settings(vocabulary=60, classes=8, hidden=6, lanes=8, window=8)
+    fit, fitted = recurrent_lm._trained, []
+    monkeypatch.setattr(recurrent_lm, "_trained", lambda *given: fitted.append(fit(*given)) or fitted[-1])
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.score) for r in recurrent_lm.score(docs, s).collect())
+    model = fitted[0][0]
+    w, sym, k = {n: x.astype(float) for n, x in model.w.items()}, model.symbols, s.hidden
+    tokens = [(r.doc_id, (r.text or "").encode().lower().split()) for r in docs.collect()]
+    c = collections.Counter(x for i, ws in tokens if i is None or zlib.crc32(str(i).encode()) % 7 != 2 for x in ws)
+    assert set(sym.number) == set(sorted(c, key=lambda x: (-c[x], x))[:60])
+    rest = sum(n + 1 for x, n in c.items() if x not in sym.number) + 1
+
+    def log10p(words):
+        h, before, total = np.zeros(k), recurrent_lm.END, 0.0
+        for x in [*(sym.number.get(x, recurrent_lm.OTHER) for x in words), recurrent_lm.END]:
+            inp, rec = w["inp"][before], h @ w["rec"]
+            z, r = (1 / (1 + np.exp(-inp[a: a + k] - rec[a: a + k])) for a in (0, k))
+            cand = np.tanh(inp[2 * k:] + r * rec[2 * k:])
+            h = (1 - z) * cand + z * h
+            p, classes = np.zeros(len(sym)), np.exp(h @ w["cls"] + w["cls_b"])
+            for own, share in zip(sym.members, classes / classes.sum()):
+                e = np.exp(w["word"][own] @ h + w["word_b"][own])
+                p[own] = share * e / e.sum()
+            assert abs(p.sum() - 1) < 1e-9
+            total, before = total + math.log10(p[x]), x
+        return total + sum(math.log10((c[x] + 1) / rest) for x in words if x not in sym.number)
+
+    want = sorted((-1 if i is None else i, log10p(ws)) for i, ws in tokens)
+    assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-4)
+
+
 def test_quality_references_count_texts_not_ids(spark, tmp_path):
     """No ids, one id for different texts, and rows that repeat id and text; the verdicts are those of the SQL."""
     rng = random.Random(8)
