@@ -167,6 +167,31 @@ def test_byte_bpe(docs, empty):
     assert byte_bpe.encode(empty, ranks, P.PATTERN).count() == 0
 
 
+def test_byte_bpe_folds_a_word_of_a_task_once(docs, monkeypatch):
+    tiktoken = pytest.importorskip("tiktoken")
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = byte_bpe.read_ranks(path)
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    monkeypatch.setattr(byte_bpe, "BUNDLE_DISTINCT", 150)
+    some = docs.where("doc_id < 38").select("doc_id", "text").coalesce(1)
+    rows = byte_bpe.bundles(some, P.PATTERN).collect()
+    words = [w for r in rows for w in r.words]
+    assert len(rows) > 3 and len(words) == len(set(words))
+    # and its list starts anew when it is long
+    monkeypatch.setattr(byte_bpe, "HELD_DISTINCT", 400)
+    assert sum(r["first"] == 0 for r in byte_bpe.bundles(some, P.PATTERN).collect()) > 1
+    got = collections.Counter((r.doc_id, r.ids, bytes(r.decoded)) for r in byte_bpe.encode(some, ranks, P.PATTERN).collect())
+    assert got == collections.Counter((r.doc_id, ",".join(map(str, own.encode_ordinary(r.text))), r.text.encode()) for r in some.collect())
+
+
+def test_byte_bpe_pairs_take_different_places():
+    keys = np.unique(np.random.default_rng(3).integers(0, 2**34, 20_000))
+    q, b, shift, place = byte_bpe.deal_out(keys)
+    assert len(np.unique(place)) == len(keys) and (place == keys % q + shift[keys % b]).all() and place.max() < 2 * q
+    with pytest.raises(ValueError):
+        byte_bpe.RankMap(None, {b"a": 0})
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
