@@ -336,6 +336,39 @@ def test_recurrent_scores(docs, texts, empty):
     assert recurrent_lm.score(empty, s).count() == 0
 
 
+def test_recurrent_texts_travel_as_places(docs):
+    from pyspark.sql import functions as F
+
+    numbered = recurrent_lm._numbered_words(recurrent_lm._bundled(docs, recurrent_lm.Settings(bundle_bytes=4000)))
+    listed, counted, found = {}, collections.Counter(), collections.Counter()
+    rows = numbered.collect()
+    for r in rows:
+        if r.word is not None:
+            assert listed.setdefault((r.b, r.place), bytes(r.word)) == bytes(r.word)
+            counted[bytes(r.word)] += r.n
+    words = [x for x in rows if x.word is not None]
+    assert len({r.b for r in rows}) > 3 and len({(r.b, bytes(r.word)) for r in words}) == len({(r.b, r.place) for r in words}) == len(words)
+    for r in rows:
+        if r.word is None:
+            places = np.frombuffer(recurrent_lm.unpacked([r.places])[0], "<u4").tolist()
+            found[r.doc_id, r.held_out, tuple(listed[r.b, k] for k in places)] += 1
+    own = docs.select("doc_id", "text", recurrent_lm.held_out(F.col("doc_id")).alias("out")).collect()
+    assert found == collections.Counter((r.doc_id, r.out, tuple((r.text or "").encode().lower().split())) for r in own)
+    assert +counted == collections.Counter(w for r in own if not r.out for w in (r.text or "").encode().lower().split())
+
+
+def test_recurrent_softmax_without_the_largest_logit():
+    m = small_model()
+    rng = np.random.default_rng(2)
+    states, targets = rng.uniform(-1, 1, (50, 4)).astype(np.float32), rng.integers(0, len(m.symbols), 50)
+    assert m.bounded()
+    near = m.output(states, targets)[0]
+    m.rows = 7
+    assert np.allclose(m.output(states, targets)[0], near, atol=1e-5)
+    m.w["word"][3] = 1000
+    assert not m.bounded() and np.isfinite(m.output(states, targets)[0]).all()
+
+
 def test_recurrent_score_is_that_of_the_fitted_model(docs, monkeypatch):
     """Every document again, one state at a time in double precision, with the probability of every symbol written out."""
     s = recurrent_lm.Settings(vocabulary=60, classes=8, hidden=6, lanes=8, window=8)

@@ -10,8 +10,8 @@ where a document starts; the new weights are the mean over tasks, weighted by sy
 training documents by hash, and each training document is in exactly one (``train_share`` under 1 leaves some out, for trials only).
 Scoring runs documents side by side in lanes, each through all its windows with the state carried, so every document is scored whole.
 
-Words meet their counts by bundle: documents are dealt to bundles, the distinct words of a bundle join the counts, and a task reads one bundle and
-its words. No table of all words is broadcast, and a frequent word is one row per bundle.
+Words meet their counts by bundle: documents are dealt to bundles and written as places in the list of their bundle's distinct words; these words join the
+counts, and a task reads one bundle and the counts of its words by place. No table of all words is broadcast, and a frequent word is one row per bundle.
 
 Defined results: a null or empty text is the end mark alone. Rows without doc_id train and are not held out. Repeated rows are documents of their own.
 An empty table gives no rows. Without training words all known-word terms are those of unseen words.
@@ -76,6 +76,9 @@ class Symbols:
 class Model:
     """Gated recurrent unit over symbols with a class-factored softmax; weights are views of one flat vector."""
 
+    #: Most rows of one softmax while scoring.
+    rows = 8192
+
     def __init__(self, symbols: Symbols, s: Settings, flat: np.ndarray | None = None):
         self.symbols, self.s = symbols, s
         n, h, c = len(symbols), s.hidden, len(symbols.members)
@@ -118,23 +121,24 @@ class Model:
     def output(self, states: np.ndarray, targets: np.ndarray, grad: dict[str, np.ndarray] | None = None):
         """Natural log probability of each target; with ``grad``, also the gradient by state, of the mean loss."""
         w, sym = self.w, self.symbols
+        if grad is None and len(targets) > self.rows:
+            # blocks that stay in the processor's cache
+            return np.concatenate([self.output(states[k: k + self.rows], targets[k: k + self.rows])[0] for k in range(0, len(targets), self.rows)]), None
         goal = sym.class_of[targets]
         scale = np.float32(1 / max(len(targets), 1))
         rows = np.arange(len(targets))
-        logits = states @ w["cls"] + w["cls_b"]
-        logits -= logits.max(axis=1, keepdims=True)
-        p = np.exp(logits)
-        total = p.sum(axis=1, keepdims=True)
-        logp = logits[rows, goal] - np.log(total[:, 0])
+        safe = self.bounded()
+        at_goal, total, p = self._softmax(states @ w["cls"], w["cls_b"], (rows, goal), safe)
+        logp = at_goal - np.log(total)
         back = None
         if grad is not None:
-            p /= total
+            p /= total[:, None]
             p[rows, goal] -= 1
             p *= scale
             grad["cls"] += states.T @ p
             grad["cls_b"] += p.sum(axis=0)
             back = p @ w["cls"].T
-        order = np.argsort(goal, kind="stable")
+        order = np.argsort(goal.astype(np.int16), kind="stable")
         cuts = np.searchsorted(goal[order], np.arange(len(sym.members) + 1))
         for c, m in enumerate(sym.members):
             if len(m) < 2 or cuts[c] == cuts[c + 1]:
@@ -142,14 +146,11 @@ class Model:
             own = order[cuts[c]: cuts[c + 1]]
             a, b = int(m[0]), int(m[-1]) + 1
             h = states[own]
-            logits = h @ w["word"][a:b].T + w["word_b"][a:b]
-            logits -= logits.max(axis=1, keepdims=True)
-            p = np.exp(logits)
-            total = p.sum(axis=1, keepdims=True)
-            at = (np.arange(len(own)), sym.place[targets[own]])
-            logp[own] += logits[at] - np.log(total[:, 0])
+            at = (rows[: len(own)], sym.place[targets[own]])
+            at_goal, total, p = self._softmax(h @ w["word"][a:b].T, w["word_b"][a:b], at, safe)
+            logp[own] += at_goal - np.log(total)
             if grad is not None:
-                p /= total
+                p /= total[:, None]
                 p[at] -= 1
                 p *= scale
                 grad["word"][a:b] += p.T @ h
@@ -157,6 +158,21 @@ class Model:
                 back[own] += p @ w["word"][a:b]
         return logp, back
 
+    def bounded(self) -> bool:
+        """Whether no logit can pass 60 either way, as states lie between -1 and 1: then exponentials need no largest logit taken off."""
+        w = self.w
+        return bool((np.abs(w["cls"]).sum(axis=0) + np.abs(w["cls_b"])).max() < 60 and (np.abs(w["word"]).sum(axis=1) + np.abs(w["word_b"])).max() < 60)
+
+    @staticmethod
+    def _softmax(logits: np.ndarray, bias: np.ndarray, at: tuple[np.ndarray, np.ndarray], safe: bool) -> tuple[np.ndarray, ...]:
+        """Logit of the place ``at`` of each row, sum of the row's exponentials, and these in place of the logits."""
+        logits += bias
+        if not safe:
+            logits -= logits.max(axis=1, keepdims=True)
+        found = logits[at]
+        p = np.exp(logits, out=logits)
+        return found, p @ np.ones(p.shape[1], p.dtype), p
+
     def train_window(self, before: np.ndarray, targets: np.ndarray, fresh: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """Gradient over one window (steps x lanes) of previous symbols and targets; ``fresh`` marks starts of documents."""
         w, k = self.w, self.s.hidden
@@ -269,7 +285,7 @@ def train(model: Model, docs: list[np.ndarray], adam: Adam) -> None:
         adam.update(model.flat, grad)
 
 
-def log_likelihoods(model: Model, docs: list[np.ndarray], lanes: int = 256, window: int = 256) -> np.ndarray:
+def log_likelihoods(model: Model, docs: list[np.ndarray], lanes: int = 512, window: int = 128) -> np.ndarray:
     """Natural log probability of each whole document, state carried across its windows."""
     out = np.zeros(len(docs))
     if not docs:
@@ -323,28 +339,44 @@ def _one_per_partition(spark: SparkSession, n: int) -> list[int]:
     return own + own[: n - len(own)]
 
 
-def _bundle_words(rows: DataFrame) -> DataFrame:
-    """b, word and n, its number in training documents of the bundle (0 if only others have it)."""
+def _numbered_words(rows: DataFrame) -> DataFrame:
+    """Texts as places in the list of distinct words of their bundle, and that list.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, Counter] = {}
+    Rows of documents: b, doc_id, held_out and places (little-endian 32-bit, compressed). Rows of words: b, word, place and n, its number in training
+    documents of the bundle (0 if only others have it).
+    """
+    schema = pa.schema([("b", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("places", pa.binary()),
+                        ("word", pa.binary()), ("place", pa.int32()), ("n", pa.int64())])
+
+    def columns(length: int, **given: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(length, f.type)) for f in schema], schema=schema)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=1).compress
+        lists: dict[int, dict[bytes, int]] = {}
+        trained: dict[int, list[np.ndarray]] = {}
         for batch in batches:
+            places = []
             for b, out, text in zip(*(batch.column(c).to_pylist() for c in ("b", "held_out")), unpacked(batch.column("packed").to_pylist())):
-                own = found.setdefault(b, Counter())
-                if out:
-                    for w in set(_words(text)):
-                        own[w] += 0
-                else:
-                    own.update(_words(text))
-        for b, own in found.items():
-            words = sorted(own)
+                at = lists.setdefault(b, {})
+                own = np.array([at.setdefault(w, len(at)) for w in _words(text)], "<u4")
+                if not out:
+                    trained.setdefault(b, []).append(own)
+                places.append(press(own.tobytes()))
+            yield columns(batch.num_rows, **{c: batch.column(c).cast(schema.field(c).type) for c in ("b", "doc_id", "held_out")},
+                          places=pa.array(places, pa.binary()))
+        for b, at in lists.items():
+            n = np.bincount(np.concatenate([np.zeros(0, "<u4"), *trained.pop(b, [])]).astype(np.int64), minlength=len(at))
+            words = list(at)
             for k in range(0, len(words), 50_000):
                 some = words[k: k + 50_000]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([b] * len(some), pa.int64()), pa.array(some, pa.binary()),
-                    pa.array([own[w] for w in some], pa.int64())], ["b", "word", "n"])
+                yield columns(len(some), b=pa.array([b] * len(some), pa.int64()), word=pa.array(some, pa.binary()),
+                              place=pa.array(range(k, k + len(some)), pa.int32()), n=pa.array(n[k: k + len(some)]))
 
-    return rows.select("b", "held_out", "packed").mapInArrow(count, "b bigint, word binary, n bigint")
+    return rows.mapInArrow(
+        number, "b bigint, doc_id bigint, held_out boolean, places binary, word binary, place int, n bigint")
 
 
 def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> tuple[Model, int]:
@@ -390,11 +422,10 @@ def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> tuple[Model, int
 
 def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10)."""
-    # written, so that both readers of a bundle see the same documents in it
-    rows = stage(_bundled(docs, s), "bundles")
-    own = stage(_bundle_words(rows), "bundle-words")
-    counts = own.groupBy("word").agg(F.sum("n").alias("c"))
-    counts = stage(counts, "word-counts")
+    # written, so that the documents and the words of a bundle go together whatever becomes of its task
+    numbered = stage(_numbered_words(_bundled(docs, s)), "bundles")
+    own = numbered.where(F.col("word").isNotNull()).select("b", "word", "place", "n")
+    counts = stage(own.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     ends = docs.where(~held_out(F.col("doc_id"))).count()
     total = counts.where("c > 0").agg(F.count(F.lit(1)), F.sum("c")).first()
     v, n = total[0] + (ends > 0), (total[1] or 0) + ends
@@ -409,9 +440,16 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
 
     def judge(_, left: pa.Table, right: pa.Table) -> pa.Table:
         own = Model(symbols, s, flat)
-        c_of = dict(zip(right.column("word").to_pylist(), right.column("c").to_pylist()))
+        # what a text needs of a word comes from arrays by its place
+        at, c = right.column("place").to_numpy(), right.column("c").to_numpy()
+        count, symbol_of = np.zeros(len(at), np.int64), np.full(len(at), OTHER, np.int32)
+        count[at] = c
+        for k, w in zip(at.tolist(), right.column("word").to_pylist()):
+            if w is not None:
+                symbol_of[k] = symbols.number.get(w, OTHER)
+        log_of = np.log10(count + 1.0)
         names, out = left.column("doc_id").to_pylist(), left.column("held_out").to_pylist()
-        packs = left.column("packed").to_pylist()
+        packs = left.column("places").to_pylist()
         tokens, known, base, scores = [], [], [], []
         held: list[np.ndarray] = []
         extra: list[float] = []
@@ -423,14 +461,13 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
             held.clear(), extra.clear()
 
         for k in range(0, len(packs), 64):
-            for text in unpacked(packs[k: k + 64]):
-                words = _words(text)
-                c = np.array([c_of[w] for w in words], np.int64)
-                doc = np.array([*(symbols.number.get(w, OTHER) for w in words), END], np.int32)
-                logs = np.log10(c + 1.0)
+            for places in unpacked(packs[k: k + 64]):
+                at = np.frombuffer(places, "<u4")
+                doc = np.append(symbol_of[at], np.int32(END))
+                logs = log_of[at]
                 tokens.append(len(doc))
-                known.append(int((c > 0).sum()) + (ends > 0))
-                base.append(float(logs.sum() - base_log * len(words) + end_term))
+                known.append(int((count[at] > 0).sum()) + (ends > 0))
+                base.append(float(logs.sum() - base_log * len(at) + end_term))
                 others = doc[:-1] == OTHER
                 extra.append(float(logs[others].sum() - math.log10(rest) * others.sum()))
                 held.append(doc)
@@ -444,6 +481,9 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
             "n_known": pa.array(known, pa.int64()), "train_tokens": pa.array([n] * len(names), pa.int64()),
             "base_score": pa.array(base, pa.float64()), "score": pa.array(scores, pa.float64())})
 
-    with_c = own.select("b", "word").join(counts, "word").select("b", "word", "c")
+    # only words as frequent as the rarest of the vocabulary travel as such
+    least = min([r["c"] for r in top], default=0)
+    with_c = own.join(counts, "word").select("b", "place", "c", F.when(F.col("c") >= least, F.col("word")).alias("word"))
+    rows = numbered.where(F.col("word").isNull()).select(F.col("b").alias("b"), "doc_id", "held_out", "places")
     return rows.groupBy("b").cogroup(with_c.groupBy("b")).applyInArrow(
         judge, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
