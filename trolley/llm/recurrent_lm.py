@@ -19,13 +19,16 @@ An empty table gives no rows. Without training words all known-word terms are th
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,15 +111,29 @@ class Model:
         w["word"][:] *= 0.1
         return flat
 
-    def step(self, gates: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """New state, update and reset gates together, candidate, recurrent part of the candidate."""
+    def halved(self) -> tuple[np.ndarray, np.ndarray]:
+        """Input and recurrent weights with those of the update and reset gates halved, as their sigmoid is taken by the tangent of half its argument."""
+        k = 2 * self.s.hidden
+        out = self.w["inp"].copy(), self.w["rec"].copy()
+        for x in out:
+            x[:, :k] *= np.float32(0.5)
+        return out
+
+    def step(self, gates: np.ndarray, h: np.ndarray, rec: np.ndarray) -> tuple[np.ndarray, ...]:
+        """New state, update and reset gates together, candidate, recurrent part of the candidate; for ``gates`` and ``rec`` from ``halved`` weights."""
         k = self.s.hidden
-        own = h @ self.w["rec"]
-        zr = np.tanh((gates[:, : 2 * k] + own[:, : 2 * k]) * np.float32(0.5))
+        own = h @ rec
+        zr = gates[:, : 2 * k] + own[:, : 2 * k]
+        np.tanh(zr, out=zr)
         zr += 1
         zr *= np.float32(0.5)
-        cand = np.tanh(gates[:, 2 * k:] + zr[:, k:] * own[:, 2 * k:])
-        return cand + zr[:, :k] * (h - cand), zr, cand, own[:, 2 * k:]
+        cand = zr[:, k:] * own[:, 2 * k:]
+        cand += gates[:, 2 * k:]
+        np.tanh(cand, out=cand)
+        new = h - cand
+        new *= zr[:, :k]
+        new += cand
+        return new, zr, cand, own[:, 2 * k:]
 
     def output(self, states: np.ndarray, targets: np.ndarray, grad: dict[str, np.ndarray] | None = None):
         """Natural log probability of each target; with ``grad``, also the gradient by state, of the mean loss."""
@@ -180,32 +197,48 @@ class Model:
         flat = np.zeros_like(self.flat)
         grad = self.views(flat)
         gates = w["inp"][before]
-        states, kept = np.empty((steps, lanes, k), np.float32), []
+        gates[:, :, : 2 * k] *= np.float32(0.5)
+        half = w["rec"].copy()
+        half[:, : 2 * k] *= np.float32(0.5)
+        begins = fresh.any(axis=1)
+        states, prev = np.empty((steps, lanes, k), np.float32), np.empty((steps, lanes, k), np.float32)
+        zr, cand, own = (np.empty((steps, lanes, n * k), np.float32) for n in (2, 1, 1))
         for t in range(steps):
-            h = np.where(fresh[t][:, None], np.float32(0), h)
-            new, zr, cand, own = self.step(gates[t], h)
-            kept.append((h, zr, cand, own))
-            states[t] = h = new
+            prev[t] = h
+            if begins[t]:
+                prev[t, fresh[t]] = 0
+            states[t], zr[t], cand[t], own[t] = self.step(gates[t], prev[t], half)
+            h = states[t]
         logp, back = self.output(states.reshape(-1, k), targets.ravel(), grad)
         back = back.reshape(steps, lanes, k)
+        z, r = zr[:, :, :k], zr[:, :, k:]
+        # what each gate's gradient is of the state's, for all steps at once
+        by_cand = (1 - z) * (1 - cand * cand)
+        by_z = (prev - cand) * z * (1 - z)
+        by_r = by_cand * own * r * (1 - r)
+        by_rec = by_cand * r
         ahead = np.zeros((lanes, k), np.float32)
-        by_gate = np.empty((steps, lanes, 3 * k), np.float32)
+        by_gate, rec = np.empty((steps, lanes, 3 * k), np.float32), np.empty((steps, lanes, 3 * k), np.float32)
+        turned = np.ascontiguousarray(w["rec"].T)
         for t in reversed(range(steps)):
-            prev, zr, cand, own = kept[t]
-            z, r = zr[:, :k], zr[:, k:]
-            d = back[t] + ahead
-            dc = d * (1 - z) * (1 - cand * cand)
-            g = by_gate[t]
-            g[:, :k] = d * (prev - cand) * z * (1 - z)
-            g[:, k: 2 * k] = dc * own * r * (1 - r)
-            g[:, 2 * k:] = dc
-            rec = g.copy()
-            rec[:, 2 * k:] *= r
-            grad["rec"] += prev.T @ rec
-            ahead = np.where(fresh[t][:, None], np.float32(0), d * z + rec @ w["rec"].T)
+            d = back[t]
+            d += ahead
+            g = rec[t]
+            np.multiply(d, by_z[t], out=g[:, :k])
+            np.multiply(d, by_r[t], out=g[:, k: 2 * k])
+            np.multiply(d, by_rec[t], out=g[:, 2 * k:])
+            ahead = g @ turned
+            ahead += d * z[t]
+            if begins[t]:
+                ahead[fresh[t]] = 0
+        by_gate[:, :, : 2 * k] = rec[:, :, : 2 * k]
+        np.multiply(back, by_cand, out=by_gate[:, :, 2 * k:])
+        grad["rec"] += prev.reshape(-1, k).T @ rec.reshape(-1, 3 * k)
         flat_before, by_gate = before.ravel(), by_gate.reshape(-1, 3 * k)
-        order = np.argsort(flat_before, kind="stable")
-        names, starts = np.unique(flat_before[order], return_index=True)
+        order = np.argsort(flat_before.astype(np.int16) if len(self.symbols) < 2**15 else flat_before, kind="stable")
+        ordered = flat_before[order]
+        starts = np.flatnonzero(np.diff(ordered, prepend=-1))
+        names = ordered[starts]
         grad["inp"][names] = np.add.reduceat(by_gate[order], starts, axis=0)
         return flat, h, float(-logp.mean())
 
@@ -296,20 +329,21 @@ def log_likelihoods(model: Model, docs: list[np.ndarray], lanes: int = 512, wind
     active = (symbols >= 0).sum(axis=1)
     k = model.s.hidden
     h = np.zeros((symbols.shape[1], k), np.float32)
+    inp, rec = model.halved()
     for t in range(0, len(symbols), window):
         end = min(t + window, len(symbols))
         width = int(active[t])
-        gates = model.w["inp"][before[t:end, :width]]
+        gates = inp[before[t:end, :width]]
         states = np.zeros((end - t, width, k), np.float32)
         begins = fresh[t:end].any(axis=1)
         for i in range(end - t):
             n = int(active[t + i])
+            # lanes end in order, so the first n go on; a state that a document starts from is not read again
             own = h[:n]
             if begins[i]:
-                own = np.where(fresh[t + i, :n][:, None], np.float32(0), own)
-            new = model.step(gates[i, :n], own)[0]
-            states[i, :n] = new
-            h[:n] = new
+                own[fresh[t + i, :n]] = 0
+            h = model.step(gates[i, :n], own, rec)[0]
+            states[i, :n] = h
         there = symbols[t:end, :width] >= 0
         logp, _ = model.output(states[there], symbols[t:end, :width][there])
         out += np.bincount(which[t:end, :width][there], logp, len(docs))
@@ -360,8 +394,11 @@ def _numbered_words(rows: DataFrame) -> DataFrame:
         for batch in batches:
             places = []
             for b, out, text in zip(*(batch.column(c).to_pylist() for c in ("b", "held_out")), unpacked(batch.column("packed").to_pylist())):
-                at = lists.setdefault(b, {})
-                own = np.array([at.setdefault(w, len(at)) for w in _words(text)], "<u4")
+                if b not in lists:
+                    # a word that is new gets the next place
+                    lists[b] = defaultdict(itertools.count().__next__)
+                words = _words(text)
+                own = np.fromiter(map(lists[b].__getitem__, words), "<u4", len(words))
                 if not out:
                     trained.setdefault(b, []).append(own)
                 places.append(press(own.tobytes()))
@@ -391,11 +428,13 @@ def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> tuple[Model, int
         def local(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             own = Model(symbols, s, start.copy())
             adam = Adam(len(start), s.rate)
+            number = symbols.number.get
             held: list[np.ndarray] = []
             size = seen = 0
             for batch in batches:
                 for text in batch.column("text").to_pylist():
-                    doc = np.array([*(symbols.number.get(w, OTHER) for w in _words(text)), END], np.int32)
+                    words = _words(text)
+                    doc = np.append(np.fromiter(map(number, words, itertools.repeat(OTHER)), np.int32, len(words)), np.int32(END))
                     held.append(doc)
                     size += len(doc)
                     if size > 500_000:
@@ -405,18 +444,17 @@ def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> tuple[Model, int
                 train(own, held, adam)
                 seen += size
             if seen:
+                # blocks of weights, weighted by symbols, and the symbols themselves as the last one
+                blocks = [*np.array_split(own.flat.astype(float) * seen, max(len(start) // 4096, 1)), np.array([float(seen)])]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([seen], pa.int64()),
-                    pa.array([(own.flat.astype(float) * seen).tolist()], pa.list_(pa.float64()))], ["seen", "w"])
-
-        parts = rows.where(F.col("turn") == r).select("text").mapInArrow(local, "seen bigint, w array<double>")
-        # (place, value) pairs are summed map-side, so a task's weights shrink to one row per place before the shuffle
-        sums = (parts.select(F.posexplode(F.concat(F.array(F.col("seen").cast("double")), "w")).alias("at", "x"))
-                .groupBy("at").agg(F.sum("x").alias("x")).toPandas().sort_values("at"))
-        if len(sums):
-            x = sums["x"].to_numpy()
-            model = Model(symbols, s, (x[1:] / x[0]).astype(np.float32))
-            trained_on += int(x[0])
+                    pa.array(range(len(blocks)), pa.int64()), pa.array([x.tolist() for x in blocks], pa.list_(pa.float64()))], ["block", "w"])
+
+        parts = rows.where(F.col("turn") == r).select("text").mapInArrow(local, "block bigint, w array<double>")
+        sums = sorted(parts.groupBy("block").agg(Summarizer.sum(array_to_vector("w")).alias("w")).select("block", vector_to_array("w").alias("w")).collect())
+        if sums:
+            x = np.concatenate([r["w"] for r in sums])
+            model = Model(symbols, s, (x[:-1] / x[-1]).astype(np.float32))
+            trained_on += int(x[-1])
     return model, trained_on
 
 
