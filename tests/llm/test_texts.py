@@ -339,7 +339,7 @@ def test_recurrent_scores(docs, texts, empty):
 def test_recurrent_texts_travel_as_places(docs):
     from pyspark.sql import functions as F
 
-    numbered = recurrent_lm._numbered_words(recurrent_lm._bundled(docs, recurrent_lm.Settings(bundle_bytes=4000)))
+    numbered = recurrent_lm._numbered_words(recurrent_lm._bundled(docs, recurrent_lm.Settings(bundle_bytes=4000))[0])
     listed, counted, found = {}, collections.Counter(), collections.Counter()
     rows = numbered.collect()
     for r in rows:
@@ -357,6 +357,18 @@ def test_recurrent_texts_travel_as_places(docs):
     assert +counted == collections.Counter(w for r in own if not r.out for w in (r.text or "").encode().lower().split())
 
 
+def test_recurrent_bundles_stay_one_to_a_task(docs):
+    from pyspark.sql import functions as F
+
+    s = recurrent_lm.Settings(vocabulary=60, classes=8, hidden=6, lanes=8, window=8, bundle_bytes=4000)
+    parts = recurrent_lm._bundled(docs, s)[1]
+    assert parts > int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = recurrent_lm.score(docs, s)
+    used = rows.select(F.spark_partition_id().alias("p")).distinct().count()
+    held = recurrent_lm._bundled(docs, s)[0].select(F.spark_partition_id().alias("p")).distinct().count()
+    assert rows.rdd.getNumPartitions() == parts and used == held
+
+
 def test_recurrent_softmax_without_the_largest_logit():
     m = small_model()
     rng = np.random.default_rng(2)

@@ -354,14 +354,14 @@ def _words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
 
-def _bundled(docs: DataFrame, s: Settings) -> DataFrame:
-    """b (bundle), doc_id, held_out, packed; rows spread evenly whatever their ids and texts are."""
+def _bundled(docs: DataFrame, s: Settings) -> tuple[DataFrame, int]:
+    """b (bundle), doc_id, held_out, packed, rows spread evenly whatever their ids and texts are; and the number of bundles."""
     size = docs.agg(F.sum(F.octet_length(raw("text")))).first()[0]
     n = parts_for(docs.sparkSession, size, s.bundle_bytes)
     doc_id = F.col("doc_id").cast("bigint")
     rows = packed(docs, doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"))
     turn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
-    return rows.withColumn("b", F.element_at(longs(_one_per_partition(docs.sparkSession, n)), turn + 1)).repartition(n, "b")
+    return rows.withColumn("b", F.element_at(longs(_one_per_partition(docs.sparkSession, n)), turn + 1)).repartition(n, "b"), n
 
 
 def _one_per_partition(spark: SparkSession, n: int) -> list[int]:
@@ -461,7 +461,8 @@ def _trained(docs: DataFrame, symbols: Symbols, s: Settings) -> tuple[Model, int
 def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (both log10)."""
     # written, so that the documents and the words of a bundle go together whatever becomes of its task
-    numbered = stage(_numbered_words(_bundled(docs, s)), "bundles")
+    bundled, parts = _bundled(docs, s)
+    numbered = stage(_numbered_words(bundled), "bundles")
     own = numbered.where(F.col("word").isNotNull()).select("b", "word", "place", "n")
     counts = stage(own.groupBy("word").agg(F.sum("n").alias("c")), "word-counts")
     ends = docs.where(~held_out(F.col("doc_id"))).count()
@@ -523,5 +524,6 @@ def score(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     least = min([r["c"] for r in top], default=0)
     with_c = own.join(counts, "word").select("b", "place", "c", F.when(F.col("c") >= least, F.col("word")).alias("word"))
     rows = numbered.where(F.col("word").isNull()).select(F.col("b").alias("b"), "doc_id", "held_out", "places")
-    return rows.groupBy("b").cogroup(with_c.groupBy("b")).applyInArrow(
+    # dealt out as the bundles were, one to a task
+    return rows.repartition(parts, "b").groupBy("b").cogroup(with_c.repartition(parts, "b").groupBy("b")).applyInArrow(
         judge, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
