@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trolley.operators import documents, explain, governance, ranking, retrieval, sequences, vectors
+from trolley.operators import documents, explain, governance, postings, ranking, retrieval, sequences, vectors
 from trolley.plans.common import joined_text, rounded
 from trolley.plans.oracle import build
 from trolley.plans.setting import LINEAR_WEIGHTS, Setting
@@ -45,7 +45,7 @@ def _corpus(spark, d):
 
 
 def tfidf_weights(spark, d):
-    return rounded(documents.tfidf_weights(*_corpus(spark, d)))
+    return rounded(postings.tfidf_postings(tables.table(spark, d, "documents"), "doc_id", "text"))
 
 
 def _index(counts: DataFrame, n_docs, key: str = "doc_id"):
