@@ -111,6 +111,7 @@ def feature_backfill(spark, d):
     s = Setting(spark, d)
     path = scratch(spark, "features")
     first, second = (s.feature_frame(day, s.asked).select(*FRAME, "as_of_day") for day in s.days)
+    second = stage(second, "day")
     for frame in (first, second, second):
         sinks.write_features(frame, path)
     return rounded(spark.read.parquet(path).select(*FRAME, "as_of_day"))
