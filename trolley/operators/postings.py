@@ -2,7 +2,7 @@
 
 Documents are dealt to parts of bounded text, a task each. A part counts in how many of its documents each term occurs; these counts are added up by
 term, and the terms that occur in several documents travel back to the parts they came from. The documents are then read once more and weighted where
-they are. What is shuffled is the text, twice, and one row per part and distinct term, but never one per document and term.
+they are. What is shuffled is the text, twice, and the distinct terms of each part, in order and packed by hash, but never a row per document and term.
 
 Defined results: as ``documents.tfidf_weights`` over ``documents.term_counts``; rows that share an id are one document, rows without text have no terms.
 """
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trolley.operators.documents import terms
@@ -65,26 +65,102 @@ def _joined(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield some[0] if len(some) == 1 else pa.Table.from_batches(some).combine_chunks().to_batches()[0]
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(part, term, n): documents of the part that have the term."""
-    part, found, counts = None, [], []
+def _packed(names: pa.Array, n: np.ndarray) -> tuple[bytes, bytes]:
+    """Terms, best in order, and their counts; terms have no line breaks."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), "\n")[0].as_py().encode()
+    return _zip(joined), _zip(n.astype(np.int64).tobytes())
 
-    def end() -> Iterator[pa.RecordBatch]:
-        if found:
+
+def _zip(plain: bytes) -> bytes:
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
+
+
+def _unzip(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+
+
+def _unpacked(names: bytes, n: bytes) -> tuple[pa.Array, np.ndarray]:
+    return pc.split_pattern(pa.array([_unzip(names).decode()]), "\n").flatten(), np.frombuffer(_unzip(n), np.int64)
+
+
+_FACTORS = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+
+
+def _bucket(names: pa.Array, buckets: int) -> np.ndarray:
+    """A bucket for each term, the same wherever it is computed."""
+    raw = names.cast(pa.large_binary())
+    _, offsets, data = raw.buffers()
+    at = np.frombuffer(offsets, np.int64)[raw.offset: raw.offset + len(raw) + 1]
+    letters = np.frombuffer(data, np.uint8)[at[0]: at[-1]]
+    size = np.diff(at)
+    place = np.arange(len(letters)) - np.repeat(at[:-1] - at[0], size)
+    total = np.r_[np.uint64(0), np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * _FACTORS[place & 255], dtype=np.uint64)]
+    mixed = (total[at[1:] - at[0]] - total[at[:-1] - at[0]]) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _counted(buckets: int):
+    """(bucket, part, names, n): terms of the part and how many of its documents have them, packed by bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, found, counts = None, [], []
+
+        def end() -> Iterator[pa.RecordBatch]:
+            if not found:
+                return
             coded = pa.chunked_array(found).combine_chunks().dictionary_encode()
             n = np.bincount(np.array(coded.indices), np.concatenate(counts), len(coded.dictionary)).astype(np.int64)
-            for t in range(0, len(n), BATCH):
-                names = coded.dictionary[t: t + BATCH]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(names), part, np.int32)), names, pa.array(n[t: t + BATCH])], ["part", "term", "n"])
-
-    for batch in _whole(batches):
-        own = batch.column("part")[0].as_py()
-        if own != part:
-            yield from end()
-            part, found, counts = own, [], []
-        _, _, code, _, names = _postings(batch)
-        found.append(names)
-        counts.append(np.bincount(code, minlength=len(names)))
+            # neighbours in order share their beginnings
+            order = pc.sort_indices(coded.dictionary)
+            names, n = coded.dictionary.take(order), n[np.array(order)]
+            own = _bucket(names, buckets) if len(names) else np.zeros(0, np.int64)
+            order = np.argsort(own, kind="stable")
+            names, n, own = names.take(pa.array(order)), n[order], own[order]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else []
+            for a, b in zip(first, [*first[1:], len(own)]):
+                packed = _packed(names[a:b], n[a:b])
+                yield pa.RecordBatch.from_arrays([pa.array([int(own[a])], pa.int32()), pa.array([part], pa.int32()), *(pa.array([x]) for x in packed)],
+                                                 ["bucket", "part", "names", "n"])
+
+        for batch in _whole(batches):
+            own = batch.column("part")[0].as_py()
+            if own != part:
+                yield from end()
+                part, found, counts = own, [], []
+            _, _, code, _, names = _postings(batch)
+            found.append(names)
+            counts.append(np.bincount(code, minlength=len(names)))
+        yield from end()
+
+    return run
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, bucket, names, n): of each packet the terms that several documents of the corpus have, with the number of all that have them."""
+    bucket, rows = None, []
+
+    def end() -> Iterator[pa.RecordBatch]:
+        if not rows:
+            return
+        coded = pa.chunked_array([names for _, names, _ in rows]).combine_chunks().dictionary_encode()
+        code = np.array(coded.indices)
+        df = np.bincount(code, np.concatenate([n for *_, n in rows])).astype(np.int64)[code]
+        at = 0
+        for part, names, _ in rows:
+            own = df[at: at + len(names)]
+            at += len(names)
+            some = own > 1
+            if some.any():
+                packed = _packed(names.filter(pa.array(some)), own[some])
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([bucket], pa.int64()), *(pa.array([x]) for x in packed)],
+                                                 ["part", "bucket", "names", "n"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bucket"] != bucket:
+                yield from end()
+                bucket, rows = row["bucket"], []
+            rows.append((row["part"], *_unpacked(row["names"], row["n"])))
     yield from end()
 
 
@@ -98,9 +174,10 @@ def _weighted(n_docs: int):
             listed = np.array(batch.column("n").is_valid())
             if listed.any():
                 # the terms of a part come first
-                some = batch.filter(pa.array(listed))
-                names.append(some.column("term"))
-                counts.append(np.array(some.column("n")))
+                for row in batch.select(["names", "n"]).filter(pa.array(listed)).to_pylist():
+                    told = _unpacked(row["names"], row["n"])
+                    names.append(told[0])
+                    counts.append(told[1])
                 batch = batch.filter(pa.array(~listed))
                 if not batch.num_rows:
                     continue
@@ -135,13 +212,15 @@ def tfidf_postings(docs: DataFrame, doc_id: str, text: str, characters: int = CH
         named = df.select("part", "doc", *more, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
         return named.select("part", "doc", *more, F.concat("tokens", bigrams).alias("terms"))
 
+    buckets = max(parts, math.ceil(2 * (size[1] or 0) / characters))
     counted = taken_apart(rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc")).mapInArrow(
-        _counted, "part int, term string, n bigint")
-    # df of the terms that some other document has as well; what a part is not told occurs once
-    shared = counted.withColumn("n", F.sum("n").over(Window.partitionBy("term"))).where("n > 1")
-    none = F.lit(None).cast("string")
-    both = shared.select("part", F.lit(0).alias("kind"), F.xxhash64("term").alias("doc"), none.alias("text"), "term", "n").unionByName(
-        rows.select("part", F.lit(1).alias("kind"), "doc", "text", none.alias("term"), F.lit(None).cast("bigint").alias("n")))
+        _counted(buckets), "bucket int, part int, names binary, n binary")
+    # what a part is not told occurs in one document
+    shared = counted.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket").mapInArrow(
+        _shared, "part int, bucket bigint, names binary, n binary")
+    no_list = [F.lit(None).cast("binary").alias(c) for c in ("names", "n")]
+    both = shared.select("part", F.lit(0).alias("kind"), F.col("bucket").alias("doc"), F.lit(None).cast("string").alias("text"), "names", "n").unionByName(
+        rows.select("part", F.lit(1).alias("kind"), "doc", "text", *no_list))
     dealt = both.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind", "doc")
-    found = taken_apart(dealt, "term", "n").mapInArrow(_weighted(size[0]), "doc bigint, term string, weight double")
+    found = taken_apart(dealt, "names", "n").mapInArrow(_weighted(size[0]), "doc bigint, term string, weight double")
     return found.select(F.col("doc").cast(dict(docs.dtypes)[doc_id]).alias(doc_id), "term", "weight")
