@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from trolley.operators.documents import terms
 from trolley.operators.vectors import NO_ID
 
-#: Characters of a part, and rows of a batch of results.
-CHARACTERS, BATCH = 32_000_000, 100_000
+#: Characters of a part, rows of a batch of results, terms whose letters are hashed at once.
+CHARACTERS, BATCH, HASHED = 16_000_000, 100_000, 50_000
 
 
 def _postings(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -72,11 +72,11 @@ def _packed(names: pa.Array, n: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def _zip(plain: bytes) -> bytes:
-    return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
+    return len(plain).to_bytes(8, "little") + pa.Codec("zstd", compression_level=6).compress(plain, asbytes=True)
 
 
 def _unzip(packed: bytes) -> bytes:
-    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+    return pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
 
 
 def _unpacked(names: bytes, n: bytes) -> tuple[pa.Array, np.ndarray]:
@@ -88,6 +88,10 @@ _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 def _bucket(names: pa.Array, buckets: int) -> np.ndarray:
     """A bucket for each term, the same wherever it is computed."""
+    return np.concatenate([np.zeros(0, np.int64), *(_bucket_of(names[t: t + HASHED], buckets) for t in range(0, len(names), HASHED))])
+
+
+def _bucket_of(names: pa.Array, buckets: int) -> np.ndarray:
     raw = names.cast(pa.large_binary())
     _, offsets, data = raw.buffers()
     at = np.frombuffer(offsets, np.int64)[raw.offset: raw.offset + len(raw) + 1]
@@ -113,7 +117,7 @@ def _counted(buckets: int):
             # neighbours in order share their beginnings
             order = pc.sort_indices(coded.dictionary)
             names, n = coded.dictionary.take(order), n[np.array(order)]
-            own = _bucket(names, buckets) if len(names) else np.zeros(0, np.int64)
+            own = _bucket(names, buckets)
             order = np.argsort(own, kind="stable")
             names, n, own = names.take(pa.array(order)), n[order], own[order]
             first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else []
@@ -212,7 +216,7 @@ def tfidf_postings(docs: DataFrame, doc_id: str, text: str, characters: int = CH
         named = df.select("part", "doc", *more, F.coalesce(tokens, F.array().cast("array<string>")).alias("tokens"))
         return named.select("part", "doc", *more, F.concat("tokens", bigrams).alias("terms"))
 
-    buckets = max(parts, math.ceil(2 * (size[1] or 0) / characters))
+    buckets = max(parts, math.ceil((size[1] or 0) / characters))
     counted = taken_apart(rows.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "doc")).mapInArrow(
         _counted(buckets), "bucket int, part int, names binary, n binary")
     # what a part is not told occurs in one document
